@@ -93,14 +93,20 @@ def date_bounds(tables: Tables, filters: Filters = NO_FILTERS) -> DataFrame:
     )
 
 
-def resolve_date_range(tables: Tables, filters: Filters) -> Filters:
+def resolve_date_range(
+    tables: Tables, filters: Filters, bounds: DataFrame | None = None
+) -> Filters:
     """The dashboard's default: without a complete date range, use the full
     bounds of the sensor data. The bounds stay in Spark as scalar
     subqueries, so maintenance events outside them are dropped by the
-    maintenance filter without a round trip through the driver."""
+    maintenance filter without a round trip through the driver.
+
+    ``bounds`` may be a stored ``date_bounds`` result (one row), which
+    saves the scan of the readings."""
     if filters.has_date_range:
         return filters
-    bounds = date_bounds(tables)
+    if bounds is None:
+        bounds = date_bounds(tables)
     return Filters(
         factory=filters.factory,
         production_line=filters.production_line,

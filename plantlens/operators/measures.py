@@ -48,8 +48,8 @@ SENSOR_SUMS = (
 ROLLUP_GRAIN = ("machine_id", "date", "status")
 
 
-def reading_partials() -> list[Column]:
-    """Partial aggregates over row-level clean readings."""
+def reading_sums() -> list[Column]:
+    """Additive partial aggregates over row-level clean readings."""
     return [
         F.count(F.lit(1)).alias("readings"),
         F.count_if(F.col("status") == S.STATUS_WARNING).alias("warnings"),
@@ -58,6 +58,12 @@ def reading_partials() -> list[Column]:
         F.sum("vibration_mm_s").alias("sum_vibration"),
         F.sum("pressure_bar").alias("sum_pressure"),
         F.sum("energy_kwh").alias("sum_energy"),
+    ]
+
+
+def reading_partials() -> list[Column]:
+    """All partial aggregates over row-level readings (sums and date range)."""
+    return reading_sums() + [
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
     ]
