@@ -353,3 +353,42 @@ def default_range_sql() -> str:
 SELECT * FROM maintenance_enriched
 WHERE event_date BETWEEN (SELECT min("date") FROM sensors)
                      AND (SELECT max("date") FROM sensors)""")
+
+
+def refresh_manifest_sql() -> str:
+    """Rows of every result of an unfiltered refresh (default date range =
+    the sensor bounds, which also applies to maintenance events)."""
+    counts = [
+        ("date_bounds", "1", None),
+        ("machine_health", "count(*)", "health"),
+        ("health_status_counts", "1", None),
+        ("health_distribution", "count(DISTINCT health_status)", "health"),
+        ("top_risk_machines", "least(count(*), 5)", "health"),
+        ("options_factory", "count(DISTINCT factory)", "machines"),
+        ("options_production_line", "count(DISTINCT production_line)", "machines"),
+        ("options_model", "count(DISTINCT model)", "machines"),
+        ("options_machine", "count(DISTINCT machine_id)", "machines"),
+        ("kpis", "1", None),
+        ("latest_readings", "least(count(*), 500)", "se"),
+        ("maintenance_history", "least(count(*), 500)", "me"),
+        ("machine_master", "count(*)", "machines"),
+        ("daily_trend", 'count(DISTINCT "date")', "se"),
+        ("machine_performance", "count(DISTINCT machine_id)", "se"),
+        ("alerts", "count(DISTINCT machine_id) FILTER (WHERE status IN ('WARNING', 'CRITICAL'))",
+         "se"),
+        ("status_distribution", "count(DISTINCT coalesce(status, ' null'))", "se"),
+        ("maintenance_type", "count(DISTINCT maintenance_type)", "me"),
+        ("factory_downtime", "count(DISTINCT coalesce(factory, ' null'))", "me"),
+    ]
+    selects = "\nUNION ALL ".join(
+        f"SELECT '{name}' AS result, CAST({expr} AS BIGINT) AS rows"
+        + (f" FROM {source}" if source else "")
+        for name, expr, source in counts
+    )
+    return with_tables(_health_cte() + f"""
+, b AS (SELECT min("date") AS lo, max("date") AS hi FROM sensors)
+, se AS (SELECT * FROM sensor_enriched
+         WHERE "date" BETWEEN (SELECT lo FROM b) AND (SELECT hi FROM b))
+, me AS (SELECT * FROM maintenance_enriched
+         WHERE event_date BETWEEN (SELECT lo FROM b) AND (SELECT hi FROM b))
+{selects}""")

@@ -42,9 +42,11 @@ from plantlens.operators import (
     status_distribution,
     top_risk_machines,
 )
+from plantlens.plans.refresh import refresh
 from plantlens.session import fresh_dir
 from plantlens.sources import csv
 from plantlens.sources.bind import bind
+from plantlens.streaming import sensor_stream, start_ingest, streamed_tables
 from plantlens.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +101,28 @@ def _scan_csv(name: str) -> Query:
     return run
 
 
+# --- streaming ingest -------------------------------------------------------------
+
+
+def _streamed(op: Callable[[Tables], DataFrame]) -> Query:
+    """Land the bound readings as Parquet files in a fresh shared folder,
+    ingest them with the streaming job (clean -> curated readings + rollup
+    increments), and run ``op`` over the streamed tables."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = bind(spark, sf_dir)
+        landing = fresh_dir(spark, "landing")
+        raw.sensors.write.parquet(landing)
+        root = fresh_dir(spark, "streamed")
+        stream = sensor_stream(spark, landing, spark.read.parquet(landing).schema)
+        for query in start_ingest(stream, root, fresh_dir(spark, "stream-checkpoints")):
+            query.awaitTermination()
+        clean_static = clean(raw)
+        return op(streamed_tables(spark, root, clean_static.machines, clean_static.maintenance))
+
+    return run
+
+
 def _entries() -> dict[str, Entry]:
     e: dict[str, Entry] = {}
 
@@ -225,6 +249,18 @@ def _entries() -> dict[str, Entry]:
     add("machine_master", _on_tables(machine_master), O.machine_master_sql())
     add("machine_master_factory", _on_tables(lambda t: machine_master(t, FACTORY)),
         O.machine_master_sql(factory=O.FACTORY))
+
+    # streaming ingest, then the dashboard over the streamed layer
+    add("stream_ingest_readings", _streamed(lambda t: t.sensors),
+        O.with_tables("\nSELECT * FROM sensors"))
+    add("stream_ingest_kpis", _streamed(kpis), O.kpis_sql())
+    add("stream_ingest_health", _streamed(machine_health), O.machine_health_sql())
+
+    # the full refresh job: writes every result, returns (result, rows)
+    add("refresh_manifest",
+        lambda spark, sf_dir: refresh(spark, tables(spark, sf_dir), NONE,
+                                      fresh_dir(spark, "refresh")),
+        O.refresh_manifest_sql())
     return e
 
 
