@@ -82,10 +82,13 @@ def date_bounds(tables: Tables, filters: Filters = NO_FILTERS) -> DataFrame:
     """One row: first and last reading date (NULL when there are none).
 
     Without a dimension filter the left join keeps every reading at least
-    once, and min / max ignore repetition, so the join is skipped.
+    once, and min / max ignore repetition, so the join is skipped; and
+    every reading has a rollup row of its date, so the rollup (far smaller)
+    is read when there is one.
     """
     if not filters.has_dimension_filter:
-        readings = filter_readings(tables.sensors, filters)
+        source = tables.rollup if tables.rollup is not None else tables.sensors
+        readings = filter_readings(source, filters)
         return readings.agg(F.min("date").alias("min_date"), F.max("date").alias("max_date"))
     partials = attach_machines(sensor_measures(tables, filters), tables, filters)
     return partials.agg(

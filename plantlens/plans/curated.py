@@ -32,17 +32,19 @@ def write_curated(spark: SparkSession, clean: Tables, root: str) -> Tables:
     """Write the clean tables and the rollup below ``root``; return them
     read back from the files (with the rollup attached).
 
-    Readings are range-partitioned on (date, machine_id, timestamp) before
-    the write: each task then holds a contiguous slice and writes few,
-    well-sized files per date, and the timestamp in the key lets even one
-    machine-day that holds a large share of all rows spread over several
-    tasks. Within a file rows are sorted the same way, so Parquet min/max
-    statistics skip row groups for a machine filter.
+    Readings are rebalanced on ``date`` before the write (the AQE
+    ``rebalance`` hint): one shuffle, after which AQE splits any date whose
+    partition is larger than the advisory size into several tasks and
+    merges small ones. So each task writes few, well-sized files, a date
+    that holds a large share of all rows is still written in parallel, and
+    no sampling pass over the input is needed (range partitioning would
+    read the input twice). Within a task rows are sorted by (date,
+    machine_id, timestamp), so Parquet min/max statistics let a machine
+    filter skip row groups.
     """
-    order = ("date", "machine_id", "timestamp")
     (
-        clean.sensors.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        clean.sensors.hint("rebalance", "date")
+        .sortWithinPartitions("date", "machine_id", "timestamp")
         .write.mode("overwrite")
         .partitionBy("date")
         .parquet(parquet.table_path(root, parquet.SENSORS))
@@ -53,11 +55,10 @@ def write_curated(spark: SparkSession, clean: Tables, root: str) -> Tables:
     )
     # The rollup is computed from the written readings, not from the source.
     sensors = spark.read.parquet(parquet.table_path(root, parquet.SENSORS))
-    # One file per date: rollup rows per date are about machines x statuses,
-    # evenly sized, so hashing on date is not skewed.
+    # Rollup rows per date are about machines x statuses, evenly sized.
     (
         sensor_rollup(sensors)
-        .repartition("date")
+        .hint("rebalance", "date")
         .write.mode("overwrite")
         .partitionBy("date")
         .parquet(parquet.table_path(root, parquet.ROLLUP))

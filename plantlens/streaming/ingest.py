@@ -56,7 +56,7 @@ def _rollup_increment(rollup_root: str):
             return
         (
             sensor_rollup(batch)
-            .repartition("date")
+            .hint("rebalance", "date")
             .write.mode("overwrite")
             .partitionBy("date")
             .parquet(os.path.join(rollup_root, f"batch={batch_id}"))
@@ -116,5 +116,5 @@ def compact_rollup(spark: SparkSession, curated_root: str, out: str) -> DataFram
     job); returns it read back from ``out``."""
     increments = spark.read.parquet(parquet.table_path(curated_root, parquet.ROLLUP))
     merged = increments.groupBy(*ROLLUP_GRAIN).agg(*[F.sum(c).alias(c) for c in SENSOR_SUMS])
-    merged.repartition("date").write.mode("overwrite").partitionBy("date").parquet(out)
+    merged.hint("rebalance", "date").write.mode("overwrite").partitionBy("date").parquet(out)
     return spark.read.parquet(out)
