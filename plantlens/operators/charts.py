@@ -17,21 +17,19 @@ from plantlens.operators.measures import (
     average,
     event_measures,
     sensor_measures,
+    sorted_small,
 )
 from plantlens.tables import Tables
 
 
 def daily_trend(tables: Tables, filters: Filters = NO_FILTERS) -> DataFrame:
     partials = attach_machines(sensor_measures(tables, filters, ["date"]), tables, filters)
-    return (
-        partials.groupBy("date")
-        .agg(
-            average("sum_temperature").alias("average_temperature"),
-            average("sum_vibration").alias("average_vibration"),
-            F.sum("sum_energy").alias("total_energy"),
-        )
-        .orderBy("date")
+    daily = partials.groupBy("date").agg(
+        average("sum_temperature").alias("average_temperature"),
+        average("sum_vibration").alias("average_vibration"),
+        F.sum("sum_energy").alias("total_energy"),
     )
+    return sorted_small(daily, F.col("date").asc())
 
 
 def machine_performance(tables: Tables, filters: Filters = NO_FILTERS) -> DataFrame:
@@ -68,38 +66,33 @@ def alerts_by_machine(tables: Tables, filters: Filters = NO_FILTERS) -> DataFram
 def status_distribution(tables: Tables, filters: Filters = NO_FILTERS) -> DataFrame:
     """Readings per status; NULL status is a group of its own."""
     partials = attach_machines(sensor_measures(tables, filters, ["status"]), tables, filters)
-    return (
-        partials.groupBy("status")
-        .agg(F.sum("readings").alias("count"))
-        .orderBy(F.col("count").desc(), F.col("status").asc())
-    )
+    counts = partials.groupBy("status").agg(F.sum("readings").alias("count"))
+    return sorted_small(counts, F.col("count").desc(), F.col("status").asc())
 
 
 def maintenance_by_type(tables: Tables, filters: Filters = NO_FILTERS) -> DataFrame:
     partials = attach_machines(
         event_measures(tables, filters, ["maintenance_type"]), tables, filters
     )
-    return (
-        partials.groupBy("maintenance_type")
-        .agg(
-            F.sum("cost").alias("maintenance_cost"),
-            F.sum("downtime").alias("downtime_minutes"),
-            F.sum("events").alias("maintenance_events"),
-        )
-        .orderBy(F.col("maintenance_cost").desc(), F.col("maintenance_type").asc())
+    by_type = partials.groupBy("maintenance_type").agg(
+        F.sum("cost").alias("maintenance_cost"),
+        F.sum("downtime").alias("downtime_minutes"),
+        F.sum("events").alias("maintenance_events"),
+    )
+    return sorted_small(
+        by_type, F.col("maintenance_cost").desc(), F.col("maintenance_type").asc()
     )
 
 
 def downtime_by_factory(tables: Tables, filters: Filters = NO_FILTERS) -> DataFrame:
     """Downtime and cost per factory; unknown machines form the NULL group."""
     partials = attach_machines(event_measures(tables, filters), tables, filters, ["factory"])
-    return (
-        partials.groupBy("factory")
-        .agg(
-            F.sum("downtime").alias("downtime_minutes"),
-            F.sum("cost").alias("maintenance_cost"),
-        )
-        .orderBy(F.col("downtime_minutes").desc(), F.col("factory").asc())
+    by_factory = partials.groupBy("factory").agg(
+        F.sum("downtime").alias("downtime_minutes"),
+        F.sum("cost").alias("maintenance_cost"),
+    )
+    return sorted_small(
+        by_factory, F.col("downtime_minutes").desc(), F.col("factory").asc()
     )
 
 

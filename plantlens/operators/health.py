@@ -16,7 +16,12 @@ from plantlens import schemas as S
 from plantlens.functions import alert_rate_pct, health_score, health_status
 from plantlens.operators.enrich import NO_FILTERS
 from plantlens.operators.filters import Filters
-from plantlens.operators.measures import attach_machines, average, sensor_measures
+from plantlens.operators.measures import (
+    attach_machines,
+    average,
+    sensor_measures,
+    sorted_small,
+)
 from plantlens.tables import Tables
 
 HEALTH_KEYS = ("machine_id", "factory", "production_line", "model", "criticality")
@@ -73,11 +78,8 @@ def health_status_counts(health: DataFrame) -> DataFrame:
 
 def health_distribution(health: DataFrame) -> DataFrame:
     """Machines per category that occurs, most frequent first."""
-    return (
-        health.groupBy("health_status")
-        .agg(F.count(F.lit(1)).alias("machines"))
-        .orderBy(F.col("machines").desc(), F.col("health_status").asc())
-    )
+    counts = health.groupBy("health_status").agg(F.count(F.lit(1)).alias("machines"))
+    return sorted_small(counts, F.col("machines").desc(), F.col("health_status").asc())
 
 
 def top_risk_machines(health: DataFrame, n: int = S.TOP_RISK_ROWS) -> DataFrame:

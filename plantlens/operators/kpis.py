@@ -1,9 +1,8 @@
 """KPIs: one row of totals and averages for the current filters.
 
 Two global aggregates, one per fact table, each over partial aggregates at
-the machine grain. The maintenance totals enter the sensor row as one
-scalar subquery (a struct), so the result is a single-row DataFrame built
-without a cross join and without collecting anything to the driver.
+the machine grain, combined into a single-row DataFrame without a cross
+join and without collecting anything to the driver.
 """
 
 from __future__ import annotations
@@ -46,22 +45,32 @@ def maintenance_totals(tables: Tables, filters: Filters = NO_FILTERS) -> DataFra
 
 
 def kpis(tables: Tables, filters: Filters = NO_FILTERS) -> DataFrame:
-    """The KPI row; machines are those seen in the filtered readings."""
-    readings = attach_machines(sensor_measures(tables, filters), tables, filters)
+    """The KPI row; machines are those seen in the filtered readings.
+
+    After the join a machine id repeats only when the dimension repeats it;
+    re-grouping by machine_id (free: the join output is already hashed on
+    it) makes the machine count a plain count instead of a distinct count.
+    """
+    sums = ("readings", "warnings", "criticals", "sum_temperature", "sum_vibration")
+    readings = (
+        attach_machines(sensor_measures(tables, filters), tables, filters)
+        .groupBy("machine_id")
+        .agg(*[F.sum(c).alias(c) for c in sums])
+    )
     sensor = readings.agg(
-        F.count_distinct("machine_id").alias("total_machines"),
+        F.count(F.lit(1)).alias("total_machines"),
         F.coalesce(F.sum("readings"), F.lit(0).cast("bigint")).alias("total_readings"),
         F.coalesce(F.sum("warnings"), F.lit(0).cast("bigint")).alias("warning_events"),
         F.coalesce(F.sum("criticals"), F.lit(0).cast("bigint")).alias("critical_events"),
         average("sum_temperature").alias("average_temperature"),
         average("sum_vibration").alias("average_vibration"),
     )
-    maintenance = (
-        maintenance_totals(tables, filters)
-        .select(F.struct("total_downtime", "total_maintenance_cost").alias("m"))
-        .scalar()
-    )
-    row = sensor.withColumn("m", maintenance)
+    # Each one-row aggregate fills its own columns; the union of the two rows
+    # collapses to one with max() per column. AQE runs the stages of both
+    # branches at the same time (a scalar subquery would wait for the
+    # sensor stages), and there is no cross join.
+    both = sensor.unionByName(maintenance_totals(tables, filters), allowMissingColumns=True)
+    row = both.agg(*[F.max(c).alias(c) for c in both.columns])
     return row.select(
         "total_machines",
         "total_readings",
@@ -69,12 +78,12 @@ def kpis(tables: Tables, filters: Filters = NO_FILTERS) -> DataFrame:
         "critical_events",
         "average_temperature",
         "average_vibration",
-        F.col("m.total_downtime").alias("total_downtime"),
-        F.col("m.total_maintenance_cost").alias("total_maintenance_cost"),
+        "total_downtime",
+        "total_maintenance_cost",
         alert_rate(
             F.col("warning_events"), F.col("critical_events"), F.col("total_readings")
         ).alias("alert_rate"),
-        (F.col("m.total_downtime") / 60).alias("downtime_hours"),
+        (F.col("total_downtime") / 60).alias("downtime_hours"),
     )
 
 

@@ -123,3 +123,15 @@ def attach_machines(
 def average(total: str, count: str = "readings") -> Column:
     """Average from summed partials; NULL when there are no rows."""
     return F.sum(total) / F.sum(count)
+
+
+def sorted_small(df: DataFrame, *order: Column) -> DataFrame:
+    """Order a result whose rows are few by construction (one per day,
+    status, type, factory or category).
+
+    The aggregation above stays parallel; only its output rows move to one
+    partition and are sorted there. A global ``orderBy`` would add a
+    sampling job for its range partitioner, which costs more than sorting
+    a few thousand rows. Results with one row per machine keep ``orderBy``.
+    """
+    return df.repartition(1).sortWithinPartitions(*order)
