@@ -8,10 +8,13 @@ aggregates at the machine grain (plus the chart key), which Spark computes
 map-side before its only shuffle of the facts, and only those rows meet
 the dimension.
 
-This is exact, not an approximation: the join repeats a machine's partial
-aggregate once per matching dimension row, just as it would repeat each
-reading, and sums / counts / min / max distribute over the repetition.
-Averages are carried as (sum, count) and divided at the end.
+This is exact, not an approximation. A machine id that occurs k times in
+the dimension repeats each of its readings k times in the plain join; here
+the dimension is also reduced first, to (machine_id, attributes, copies),
+and the additive partials are multiplied by ``copies``: sums and counts
+scale with the repetition, min / max do not change. So a machine id with a
+huge number of copies costs one row, not copies x partials. Averages are
+carried as (sum, count) and divided at the end.
 
 The partial aggregates come either from the row-level readings or, when
 ``Tables.rollup`` is set, from the stored rollup at (machine_id, date,
@@ -46,6 +49,8 @@ SENSOR_SUMS = (
     "sum_energy",
 )
 ROLLUP_GRAIN = ("machine_id", "date", "status")
+# Additive partial aggregates of the maintenance events.
+EVENT_SUMS = ("events", "downtime", "cost")
 
 
 def reading_sums() -> list[Column]:
@@ -113,11 +118,22 @@ def attach_machines(
     """Partial aggregates joined with the filtered dimension.
 
     Only ``machine_id`` and the requested attributes of the dimension are
-    read. Left join without a dimension filter (unknown machines keep NULL
-    attributes), inner join with one.
+    read, reduced to one row per distinct (machine_id, attributes) with its
+    number of copies (partial aggregation, so a hot id is combined before
+    the shuffle). Left join without a dimension filter (unknown machines
+    keep NULL attributes and count once), inner join with one. The output
+    has one row per (partial row, attribute combination), additive columns
+    already multiplied by the copies.
     """
-    machines = filter_machines(tables.machines, filters).select("machine_id", *attributes)
-    return enrich(measures, machines, join_how(filters))
+    machines = (
+        filter_machines(tables.machines, filters)
+        .groupBy("machine_id", *attributes)
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
+    joined = enrich(measures, machines, join_how(filters))
+    copies = F.coalesce(F.col("copies"), F.lit(1).cast("bigint"))
+    additive = [c for c in measures.columns if c in SENSOR_SUMS + EVENT_SUMS]
+    return joined.withColumns({c: F.col(c) * copies for c in additive}).drop("copies")
 
 
 def average(total: str, count: str = "readings") -> Column:

@@ -2,10 +2,13 @@
 
 The "latest n" tables are top-k queries (``TakeOrderedAndProject``): each
 task keeps its best n rows and one task merges them, so no full sort and
-no shuffle of the facts. Without a dimension filter the top-k runs on the
-bare facts first and only the n survivors are joined (a left join keeps
-every fact at least once, so the first n enriched rows come from them);
-a second top-k then cuts the joined rows back to n.
+no shuffle of the facts. The top-k runs on the bare facts first and only
+the n survivors are joined with the dimension; a second top-k then cuts
+the joined rows back to n. This is exact because every surviving fact
+keeps at least one joined row: without a dimension filter the join is a
+left join, and with one the facts are first semi-joined with the distinct
+machine ids that pass it (broadcast when the planner finds that id list
+small, which a dimension filter usually makes it).
 
 Ties are broken by every column that can differ, so the n rows are
 deterministic.
@@ -40,9 +43,10 @@ def _latest(
     fact_keys: tuple[str, ...],
     n: int,
 ) -> DataFrame:
-    fact_order = _order(facts, first, fact_keys)
-    if not filters.has_dimension_filter:
-        facts = facts.orderBy(*fact_order).limit(n)
+    if filters.has_dimension_filter:
+        ids = machines.select("machine_id").distinct()
+        facts = facts.join(ids, on="machine_id", how="left_semi")
+    facts = facts.orderBy(*_order(facts, first, fact_keys)).limit(n)
     joined = enrich(facts, machines, join_how(filters))
     return joined.orderBy(*_order(joined, first, fact_keys + S.MACHINE_ATTRIBUTES)).limit(n)
 
