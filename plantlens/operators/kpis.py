@@ -47,10 +47,16 @@ def maintenance_totals(tables: Tables, filters: Filters = NO_FILTERS) -> DataFra
 def kpis(tables: Tables, filters: Filters = NO_FILTERS) -> DataFrame:
     """The KPI row; machines are those seen in the filtered readings.
 
-    The partials joined with the dimension keep one row per machine id (no
-    attributes are attached), so the machine count is a plain count.
+    After the join a machine id can repeat (one row per dimension variant);
+    re-grouping by machine_id -- free, the join output is already hashed on
+    it -- makes the machine count a plain count, not a distinct count.
     """
-    readings = attach_machines(sensor_measures(tables, filters), tables, filters)
+    sums = ("readings", "warnings", "criticals", "sum_temperature", "sum_vibration")
+    readings = (
+        attach_machines(sensor_measures(tables, filters), tables, filters)
+        .groupBy("machine_id")
+        .agg(*[F.sum(c).alias(c) for c in sums])
+    )
     sensor = readings.agg(
         F.count(F.lit(1)).alias("total_machines"),
         F.coalesce(F.sum("readings"), F.lit(0).cast("bigint")).alias("total_readings"),

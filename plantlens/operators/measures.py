@@ -49,8 +49,9 @@ SENSOR_SUMS = (
     "sum_energy",
 )
 ROLLUP_GRAIN = ("machine_id", "date", "status")
-# Additive partial aggregates of the maintenance events.
+# Additive partial aggregates of the maintenance events (the event rollup's).
 EVENT_SUMS = ("events", "downtime", "cost")
+EVENT_ROLLUP_GRAIN = ("machine_id", "event_date", "maintenance_type")
 
 
 def reading_sums() -> list[Column]:
@@ -97,16 +98,29 @@ def sensor_measures(
     return source.groupBy(*grain).agg(*reading_partials())
 
 
+def event_sums() -> list[Column]:
+    """Additive partial aggregates over row-level clean events."""
+    return [
+        F.count(F.lit(1)).alias("events"),
+        F.sum("downtime_minutes").alias("downtime"),
+        F.sum("cost_eur").alias("cost"),
+    ]
+
+
 def event_measures(
     tables: Tables, filters: Filters, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Fact-side filtered maintenance events reduced to (machine_id, *keys)."""
+    if tables.event_rollup is not None:
+        source = filter_events(tables.event_rollup, filters)
+        return source.groupBy("machine_id", *keys).agg(*[F.sum(c).alias(c) for c in EVENT_SUMS])
     source = filter_events(tables.maintenance, filters)
-    return source.groupBy("machine_id", *keys).agg(
-        F.count(F.lit(1)).alias("events"),
-        F.sum("downtime_minutes").alias("downtime"),
-        F.sum("cost_eur").alias("cost"),
-    )
+    return source.groupBy("machine_id", *keys).agg(*event_sums())
+
+
+def machine_copies(machines: DataFrame) -> DataFrame:
+    """The dimension with identical rows collapsed: distinct rows + ``copies``."""
+    return machines.groupBy(*machines.columns).agg(F.count(F.lit(1)).alias("copies"))
 
 
 def attach_machines(
@@ -120,16 +134,24 @@ def attach_machines(
     Only ``machine_id`` and the requested attributes of the dimension are
     read, reduced to one row per distinct (machine_id, attributes) with its
     number of copies (partial aggregation, so a hot id is combined before
-    the shuffle). Left join without a dimension filter (unknown machines
-    keep NULL attributes and count once), inner join with one. The output
-    has one row per (partial row, attribute combination), additive columns
-    already multiplied by the copies.
+    the shuffle) -- or taken from ``Tables.machine_copies`` when the
+    aggregate layer has it. Left join without a dimension filter (unknown
+    machines keep NULL attributes and count once), inner join with one.
+    Additive columns come out multiplied by the copies; a machine id may
+    keep several rows (one per variant), so callers group by what they need.
     """
-    machines = (
-        filter_machines(tables.machines, filters)
-        .groupBy("machine_id", *attributes)
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
+    if tables.machine_copies is not None:
+        # Already collapsed: a machine id keeps one row per distinct variant,
+        # each weighted by its copies, so no aggregation is needed here.
+        machines = filter_machines(tables.machine_copies, filters).select(
+            "machine_id", *attributes, "copies"
+        )
+    else:
+        machines = (
+            filter_machines(tables.machines, filters)
+            .groupBy("machine_id", *attributes)
+            .agg(F.count(F.lit(1)).alias("copies"))
+        )
     joined = enrich(measures, machines, join_how(filters))
     copies = F.coalesce(F.col("copies"), F.lit(1).cast("bigint"))
     additive = [c for c in measures.columns if c in SENSOR_SUMS + EVENT_SUMS]

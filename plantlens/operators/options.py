@@ -28,7 +28,7 @@ def machine_metadata(tables: Tables) -> DataFrame:
 def option_values(tables: Tables, column: str, filters: Filters = NO_FILTERS) -> DataFrame:
     """Choices for ``column`` given the choices earlier in the cascade."""
     position = CASCADE.index(column)
-    machines = tables.machines
+    machines = tables.machine_copies if tables.machine_copies is not None else tables.machines
     for earlier in CASCADE[:position]:
         value = getattr(filters, earlier)
         if value is not None:

@@ -1,24 +1,37 @@
-"""Curated layer: the clean tables written once as Parquet, plus a rollup.
+"""Curated layer: the clean tables written once as Parquet, plus the
+aggregate layer.
 
 Cleaning is done once per load instead of once per query, and later
-queries read columnar files with pushed-down filters:
+queries read columnar files with pushed-down filters. ``sensors`` is
+partitioned by ``date``, so a date range prunes whole folders
+(``PartitionFilters`` in the scan).
 
-* ``sensors`` is partitioned by ``date``, so a date range prunes whole
-  folders (``PartitionFilters`` in the scan);
-* ``sensor_rollup`` holds the readings pre-aggregated at (machine_id,
-  date, status) -- counts and sums only, so every sensor chart, the KPIs
-  and the health table are re-aggregations of it. Its size grows with
-  machines x days, not with the reading rate. Also partitioned by date.
+The aggregate layer (``write_aggregates``) holds what every aggregate
+result is a re-aggregation of:
 
-Writing the layer to the shared folder also cuts the lineage: the queries
-that follow plan over files, not over the raw source and cleaning steps.
+* ``sensor_rollup``: readings at (machine_id, date, status), counts and
+  sums only -- feeds the KPIs, every sensor chart and the health table.
+  Its size grows with machines x days, not with the reading rate.
+* ``event_rollup``: maintenance events at (machine_id, event_date,
+  maintenance_type) -- feeds the maintenance totals and charts.
+* ``machine_copies``: the dimension with identical rows collapsed and
+  counted, so a machine id repeated many times is one row.
+
+Writing to the shared folder also cuts the lineage: the queries that
+follow plan over files, not over the source and cleaning steps.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plantlens.operators.measures import ROLLUP_GRAIN, reading_sums
+from plantlens.operators.measures import (
+    EVENT_ROLLUP_GRAIN,
+    ROLLUP_GRAIN,
+    event_sums,
+    machine_copies,
+    reading_sums,
+)
 from plantlens.sources import parquet
 from plantlens.tables import Tables
 
@@ -28,9 +41,42 @@ def sensor_rollup(sensors: DataFrame) -> DataFrame:
     return sensors.groupBy(*ROLLUP_GRAIN).agg(*reading_sums())
 
 
+def event_rollup(maintenance: DataFrame) -> DataFrame:
+    """Clean events reduced to (machine_id, event_date, maintenance_type)."""
+    return maintenance.groupBy(*EVENT_ROLLUP_GRAIN).agg(*event_sums())
+
+
+def write_aggregates(spark: SparkSession, tables: Tables, root: str) -> Tables:
+    """Write the aggregate layer of ``tables`` below ``root`` (one pass over
+    each table) and return ``tables`` with it attached, read from the files.
+
+    Rollup rows per date are about machines x statuses, evenly sized; the
+    ``rebalance`` hint lets AQE size the written files.
+    """
+    (
+        sensor_rollup(tables.sensors)
+        .hint("rebalance", "date")
+        .write.mode("overwrite")
+        .partitionBy("date")
+        .parquet(parquet.table_path(root, parquet.ROLLUP))
+    )
+    (
+        event_rollup(tables.maintenance)
+        .hint("rebalance")
+        .write.mode("overwrite")
+        .parquet(parquet.table_path(root, parquet.EVENT_ROLLUP))
+    )
+    (
+        machine_copies(tables.machines)
+        .write.mode("overwrite")
+        .parquet(parquet.table_path(root, parquet.MACHINE_COPIES))
+    )
+    return parquet.read_aggregates(spark, tables, root)
+
+
 def write_curated(spark: SparkSession, clean: Tables, root: str) -> Tables:
-    """Write the clean tables and the rollup below ``root``; return them
-    read back from the files (with the rollup attached).
+    """Write the clean tables and the aggregate layer below ``root``; return
+    them read back from the files (with the aggregate layer attached).
 
     Readings are rebalanced on ``date`` before the write (the AQE
     ``rebalance`` hint): one shuffle, after which AQE splits any date whose
@@ -53,14 +99,6 @@ def write_curated(spark: SparkSession, clean: Tables, root: str) -> Tables:
     clean.maintenance.write.mode("overwrite").parquet(
         parquet.table_path(root, parquet.MAINTENANCE)
     )
-    # The rollup is computed from the written readings, not from the source.
-    sensors = spark.read.parquet(parquet.table_path(root, parquet.SENSORS))
-    # Rollup rows per date are about machines x statuses, evenly sized.
-    (
-        sensor_rollup(sensors)
-        .hint("rebalance", "date")
-        .write.mode("overwrite")
-        .partitionBy("date")
-        .parquet(parquet.table_path(root, parquet.ROLLUP))
-    )
-    return parquet.read_tables(spark, root, with_rollup=True)
+    # The aggregates are computed from the written tables, not the source.
+    written = parquet.read_tables(spark, root)
+    return write_aggregates(spark, written, root)

@@ -7,9 +7,12 @@ and writes each result to ``<out>/<name>``. Nothing passes through the
 driver: the returned manifest is a DataFrame of (result, rows) read back
 from the written files.
 
-The health table feeds four results, so it is written first and the
-other three are computed from the written table instead of recomputing
-the aggregation; the date bounds likewise feed the default date range.
+The facts are read once: unless the tables already carry the aggregate
+layer (a curated layer does), it is written first (``write_aggregates``:
+one pass over readings, events and dimension), and every aggregate result
+is then a small re-aggregation of it. The health table feeds four
+results, so it is written next and the other three read it; the date
+bounds likewise feed the default date range.
 
 The results are independent Spark jobs, mostly small; they are submitted
 from a few driver threads at once, so the scheduler runs their stages
@@ -41,6 +44,8 @@ from plantlens.operators import (
     resolve_date_range,
     top_risk_machines,
 )
+from plantlens.plans.curated import write_aggregates
+from plantlens.session import fresh_dir
 from plantlens.tables import Tables
 
 HEALTH = "machine_health"
@@ -64,6 +69,23 @@ def _results(tables: Tables, filters: Filters) -> dict[str, Callable[[], DataFra
     return out
 
 
+def dashboard(tables: Tables, filters: Filters) -> dict[str, DataFrame]:
+    """Every result of one dashboard view, lazily, for a caller that
+    collects them (all are small: one row per day, machine, category...).
+    ``refresh`` is the variant that writes them and shares intermediates."""
+    scoped = resolve_date_range(tables, filters)
+    health = machine_health(tables, scoped)
+    out = {
+        "date_bounds": date_bounds(tables),
+        HEALTH: health,
+        "health_status_counts": health_status_counts(health),
+        "health_distribution": health_distribution(health),
+        "top_risk_machines": top_risk_machines(health),
+    }
+    out.update({name: make() for name, make in _results(tables, scoped).items()})
+    return out
+
+
 def refresh(
     spark: SparkSession,
     tables: Tables,
@@ -72,6 +94,8 @@ def refresh(
     concurrent_jobs: int = 4,
 ) -> DataFrame:
     """Write all results of ``filters`` below ``out_dir``; return the manifest."""
+    if not tables.has_aggregates:
+        tables = write_aggregates(spark, tables, fresh_dir(spark, "refresh-aggregates"))
 
     def write(name: str, make: Callable[[], DataFrame]) -> str:
         make().write.mode("overwrite").parquet(os.path.join(out_dir, name))

@@ -17,19 +17,30 @@ SENSORS = "sensors"
 MACHINES = "machines"
 MAINTENANCE = "maintenance"
 ROLLUP = "sensor_rollup"
+EVENT_ROLLUP = "event_rollup"
+MACHINE_COPIES = "machine_copies"
 
 
 def table_path(root: str, name: str) -> str:
     return os.path.join(root, name)
 
 
-def read_tables(spark: SparkSession, root: str, with_rollup: bool = False) -> Tables:
-    """The three tables below ``root``; with the rollup if asked for."""
+def read_tables(spark: SparkSession, root: str, with_aggregates: bool = False) -> Tables:
+    """The three tables below ``root``; with the aggregate layer if asked."""
     tables = Tables(
         sensors=spark.read.parquet(table_path(root, SENSORS)),
         machines=spark.read.parquet(table_path(root, MACHINES)),
         maintenance=spark.read.parquet(table_path(root, MAINTENANCE)),
     )
-    if with_rollup:
-        tables = tables.with_rollup(spark.read.parquet(table_path(root, ROLLUP)))
+    if with_aggregates:
+        tables = read_aggregates(spark, tables, root)
     return tables
+
+
+def read_aggregates(spark: SparkSession, tables: Tables, root: str) -> Tables:
+    """``tables`` with the aggregate layer stored below ``root`` attached."""
+    return tables.with_aggregates(
+        rollup=spark.read.parquet(table_path(root, ROLLUP)),
+        event_rollup=spark.read.parquet(table_path(root, EVENT_ROLLUP)),
+        machine_copies=spark.read.parquet(table_path(root, MACHINE_COPIES)),
+    )

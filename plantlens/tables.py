@@ -11,16 +11,35 @@ from pyspark.sql import DataFrame
 class Tables:
     """Sensor readings, machine dimension and maintenance events.
 
-    ``rollup`` is optional: the readings pre-aggregated at the grain
-    (machine_id, date, status) -- see ``plans.curated.sensor_rollup``. When
-    it is set, aggregate operators read it instead of the row-level readings.
-    Row-level operators (previews, enriched rows) always read ``sensors``.
+    The three optional members form the aggregate layer (see
+    ``plans.curated``); when set, aggregate operators read them instead of
+    the row-level tables, which row-level operators (previews, enriched
+    rows) always read:
+
+    * ``rollup``: readings pre-aggregated at (machine_id, date, status);
+    * ``event_rollup``: events pre-aggregated at (machine_id, event_date,
+      maintenance_type);
+    * ``machine_copies``: the dimension with identical rows collapsed into
+      one row and a ``copies`` count.
     """
 
     sensors: DataFrame
     machines: DataFrame
     maintenance: DataFrame
     rollup: DataFrame | None = None
+    event_rollup: DataFrame | None = None
+    machine_copies: DataFrame | None = None
 
     def with_rollup(self, rollup: DataFrame | None) -> "Tables":
         return replace(self, rollup=rollup)
+
+    def with_aggregates(
+        self, rollup: DataFrame, event_rollup: DataFrame, machine_copies: DataFrame
+    ) -> "Tables":
+        return replace(
+            self, rollup=rollup, event_rollup=event_rollup, machine_copies=machine_copies
+        )
+
+    @property
+    def has_aggregates(self) -> bool:
+        return all(x is not None for x in (self.rollup, self.event_rollup, self.machine_copies))

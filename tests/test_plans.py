@@ -80,10 +80,11 @@ def test_date_filter_prunes_curated_partitions(curated):
     assert "2024-01-05" in text.split("PartitionFilters:")[1].split("\n")[0]
 
 
-def test_rollup_feeds_the_aggregates(curated):
+def test_aggregate_layer_feeds_the_aggregates(curated):
     text = plan(kpis(curated))
-    assert "sensor_rollup" in text
-    assert "/sensors" not in text.replace("/sensor_rollup", "")
+    assert "sensor_rollup" in text and "event_rollup" in text and "machine_copies" in text
+    for row_level in ("/sensors]", "/maintenance]", "/machines]"):
+        assert row_level not in text
 
 
 @pytest.mark.parametrize("name", sorted(ENTRIES))
