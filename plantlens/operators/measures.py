@@ -75,27 +75,26 @@ def reading_partials() -> list[Column]:
     ]
 
 
-def merged_partials() -> list[Column]:
-    """The same partial aggregates over rows that already hold partials."""
-    return [F.sum(c).alias(c) for c in SENSOR_SUMS] + [
-        F.min("first_date").alias("first_date"),
-        F.max("last_date").alias("last_date"),
-    ]
-
-
 def sensor_measures(
     tables: Tables, filters: Filters, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Fact-side filtered readings reduced to (machine_id, *keys)."""
-    grain = ["machine_id", *keys]
+    """Fact-side filtered readings as partial aggregates at (machine_id, *keys)
+    or finer.
+
+    From row-level readings they are aggregated to exactly that grain
+    (map-side partial aggregation, then one shuffle). Rollup rows are
+    already aggregated and are returned as they are, only filtered: every
+    consumer sums them again after the dimension join, so grouping them
+    here first would cost an exchange and change nothing.
+    """
     if tables.rollup is not None:
         rollup = tables.rollup.withColumns(
             {"first_date": F.col("date"), "last_date": F.col("date")}
         )
         source = filter_readings(rollup, filters)
-        return source.groupBy(*grain).agg(*merged_partials())
+        return source.select("machine_id", *keys, *SENSOR_SUMS, "first_date", "last_date")
     source = filter_readings(tables.sensors, filters)
-    return source.groupBy(*grain).agg(*reading_partials())
+    return source.groupBy("machine_id", *keys).agg(*reading_partials())
 
 
 def event_sums() -> list[Column]:
@@ -110,10 +109,11 @@ def event_sums() -> list[Column]:
 def event_measures(
     tables: Tables, filters: Filters, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Fact-side filtered maintenance events reduced to (machine_id, *keys)."""
+    """Fact-side filtered events as partial aggregates at (machine_id, *keys)
+    or finer (event-rollup rows are returned as they are, see above)."""
     if tables.event_rollup is not None:
         source = filter_events(tables.event_rollup, filters)
-        return source.groupBy("machine_id", *keys).agg(*[F.sum(c).alias(c) for c in EVENT_SUMS])
+        return source.select("machine_id", *keys, *EVENT_SUMS)
     source = filter_events(tables.maintenance, filters)
     return source.groupBy("machine_id", *keys).agg(*event_sums())
 
