@@ -3,8 +3,8 @@ aggregate layer.
 
 Cleaning is done once per load instead of once per query, and later
 queries read columnar files with pushed-down filters. ``sensors`` is
-partitioned by ``date``, so a date range prunes whole folders
-(``PartitionFilters`` in the scan).
+partitioned by ``date`` and ``maintenance`` by ``event_date``, so a date
+range prunes whole folders (``PartitionFilters`` in the scan).
 
 The aggregate layer (``write_aggregates``) holds what every aggregate
 result is a re-aggregation of:
@@ -62,8 +62,9 @@ def write_aggregates(spark: SparkSession, tables: Tables, root: str) -> Tables:
     )
     (
         event_rollup(tables.maintenance)
-        .hint("rebalance")
+        .hint("rebalance", "event_date")
         .write.mode("overwrite")
+        .partitionBy("event_date")
         .parquet(parquet.table_path(root, parquet.EVENT_ROLLUP))
     )
     (
@@ -96,8 +97,12 @@ def write_curated(spark: SparkSession, clean: Tables, root: str) -> Tables:
         .parquet(parquet.table_path(root, parquet.SENSORS))
     )
     clean.machines.write.mode("overwrite").parquet(parquet.table_path(root, parquet.MACHINES))
-    clean.maintenance.write.mode("overwrite").parquet(
-        parquet.table_path(root, parquet.MAINTENANCE)
+    (
+        clean.maintenance.hint("rebalance", "event_date")
+        .sortWithinPartitions("event_date", "machine_id")
+        .write.mode("overwrite")
+        .partitionBy("event_date")
+        .parquet(parquet.table_path(root, parquet.MAINTENANCE))
     )
     # The aggregates are computed from the written tables, not the source.
     written = parquet.read_tables(spark, root)
