@@ -42,6 +42,7 @@ from plantlens.operators import (
     status_distribution,
     top_risk_machines,
 )
+from plantlens.plans.checks import duplicate_machines
 from plantlens.plans.refresh import refresh
 from plantlens.session import fresh_dir
 from plantlens.sources import csv
@@ -250,6 +251,12 @@ def _entries() -> dict[str, Entry]:
     add("machine_master_factory", _on_tables(lambda t: machine_master(t, FACTORY)),
         O.machine_master_sql(factory=O.FACTORY))
 
+    # data quality: machine ids repeated in the dimension (they repeat facts)
+    add("duplicate_machines", _on_tables(lambda t: duplicate_machines(t.machines)),
+        O.with_tables("""
+SELECT machine_id, count(*) AS copies FROM machines
+GROUP BY machine_id HAVING count(*) > 1"""))
+
     # streaming ingest, then the dashboard over the streamed layer
     add("stream_ingest_readings", _streamed(lambda t: t.sensors),
         O.with_tables("\nSELECT * FROM sensors"))
