@@ -11,7 +11,7 @@ from plantlens.operators.charts import (
     status_distribution,
 )
 from plantlens.operators.clean import clean, clean_machines, clean_maintenance, clean_sensors
-from plantlens.operators.enrich import enrich, enrich_maintenance, enrich_sensors
+from plantlens.operators.enrich import enrich, enrich_maintenance, enrich_sensors, prepare
 from plantlens.operators.filters import Filters
 from plantlens.operators.health import (
     health_distribution,
@@ -49,6 +49,7 @@ __all__ = [
     "maintenance_history",
     "maintenance_totals",
     "option_values",
+    "prepare",
     "resolve_date_range",
     "series",
     "status_distribution",

@@ -53,3 +53,8 @@ def enrich_maintenance(tables: Tables, filters: Filters = NO_FILTERS) -> DataFra
         filter_machines(tables.machines, filters),
         join_how(filters),
     )
+
+
+def prepare(tables: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Clean tables -> (enriched readings, enriched events, clean machines)."""
+    return enrich_sensors(tables), enrich_maintenance(tables), tables.machines

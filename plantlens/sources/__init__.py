@@ -1,5 +1,6 @@
-"""Sources: CSV and Parquet readers, and the binding of the test tables."""
+"""Sources: CSV and Parquet readers, one loader, and the test-table binding."""
 
 from plantlens.sources import bind, csv, parquet
+from plantlens.sources.load import load
 
-__all__ = ["bind", "csv", "parquet"]
+__all__ = ["bind", "csv", "load", "parquet"]

@@ -289,3 +289,23 @@ def test_dependent_options(spark):  # F13, D3-D6
     assert values("production_line", Filters(factory="A")) == ["L1", "L3"]
     assert values("model", Filters(factory="A", production_line="L1")) == ["X", "Y"]
     assert values("machine_id", Filters(factory="A", production_line="L1", model="X")) == ["M3"]
+
+
+def test_load_csv_folder_and_prepare(spark, tmp_path):  # S4, J3
+    from plantlens.operators import clean, prepare
+    from plantlens.sources import load
+
+    (tmp_path / "sensor_readings.csv").write_text(
+        "timestamp,machine_id,temperature_c,pressure_bar,vibration_mm_s,energy_kwh,status\n"
+        "2024-01-02 10:00:00,M1,70,5,2,10,OK\n2024-01-02 11:00:00,M2,71,5,2,10,WARNING\n")
+    (tmp_path / "machines.csv").write_text(
+        "machine_id,factory,production_line,model,install_date,criticality,"
+        "maintenance_interval_days\nM1,F1,L1,X1,2020-01-01,Low,30\n")
+    (tmp_path / "maintenance_events.csv").write_text(
+        "event_id,machine_id,event_date,maintenance_type,downtime_minutes,cost_eur,"
+        "technician_id,issue\nE1,M1,2024-01-02,Preventive,30,12.5,T01,Routine inspection\n")
+    sensors, events, machines = prepare(clean(load(spark, str(tmp_path))))
+    assert sorted((r["machine_id"], r["factory"]) for r in sensors.collect()) == [
+        ("M1", "F1"), ("M2", None)]
+    assert events.first()["factory"] == "F1"
+    assert machines.count() == 1
