@@ -108,7 +108,8 @@ def _scan_csv(name: str) -> Query:
 def _streamed(op: Callable[[Tables], DataFrame]) -> Query:
     """Land the bound readings as Parquet files in a fresh shared folder,
     ingest them with the streaming job (clean -> curated readings + rollup
-    increments), and run ``op`` over the streamed tables."""
+    increments), and run ``op`` over the streamed tables. The readings
+    carry the ingest's ``batch`` partition column, which is dropped."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = bind(spark, sf_dir)
@@ -116,8 +117,7 @@ def _streamed(op: Callable[[Tables], DataFrame]) -> Query:
         raw.sensors.write.parquet(landing)
         root = fresh_dir(spark, "streamed")
         stream = sensor_stream(spark, landing, spark.read.parquet(landing).schema)
-        for query in start_ingest(stream, root, fresh_dir(spark, "stream-checkpoints")):
-            query.awaitTermination()
+        start_ingest(stream, root, fresh_dir(spark, "stream-checkpoint")).awaitTermination()
         clean_static = clean(raw)
         return op(streamed_tables(spark, root, clean_static.machines, clean_static.maintenance))
 
@@ -258,7 +258,7 @@ SELECT machine_id, count(*) AS copies FROM machines
 GROUP BY machine_id HAVING count(*) > 1"""))
 
     # streaming ingest, then the dashboard over the streamed layer
-    add("stream_ingest_readings", _streamed(lambda t: t.sensors),
+    add("stream_ingest_readings", _streamed(lambda t: t.sensors.drop("batch")),
         O.with_tables("\nSELECT * FROM sensors"))
     add("stream_ingest_kpis", _streamed(kpis), O.kpis_sql())
     add("stream_ingest_health", _streamed(machine_health), O.machine_health_sql())

@@ -1,21 +1,22 @@
 """Incremental ingest of sensor readings with Structured Streaming.
 
 New raw sensor files (CSV or Parquet) landing in a folder are cleaned with
-the batch clean step and appended to the curated layer, so dashboards over
-``plans.curated`` stay current without a full rebuild:
-
-* readings -> the Parquet file sink, partitioned by ``date``. The sink's
-  metadata log makes the append exactly-once, also when an executor or the
-  driver is lost and the query restarts from its checkpoint.
-* rollup -> each micro-batch's partial aggregates at (machine_id, date,
-  status) are written to ``<rollup>/batch=<id>``. The rollup is additive:
-  rows of the same grain from different batches sum up when the operators
-  re-aggregate it, so increments need no merge step and no state store. A
-  batch replayed after a failure overwrites its own folder, so nothing is
-  counted twice. ``compact_rollup`` folds the increments into one table.
-
-No watermark is needed and no reading is dropped for being late: a late
-reading just adds to its day's rollup rows in a later batch.
+the batch clean step and added to the curated layer, so dashboards over it
+stay current without a full rebuild. One streaming query reads each new
+file once; for every micro-batch (``foreachBatch``, batch persisted for
+its two writes) it writes
+
+* the clean readings to ``<sensors>/batch=<id>/date=<day>/``, and
+* the batch's rollup increment -- partial aggregates at (machine_id, date,
+  status) -- to ``<rollup>/batch=<id>/date=<day>/``.
+
+Both writes overwrite their batch folder. A batch replayed after a driver
+or executor failure has the same id and the same files, so it replaces
+its own output: each reading lands exactly once. The rollup is additive,
+so rows of the same grain from different batches simply sum up when the
+operators re-aggregate it -- no merge step, no state store, no watermark,
+and no reading is dropped for being late. ``compact_rollup`` folds the
+increments into one table when they become many.
 """
 
 from __future__ import annotations
@@ -50,17 +51,31 @@ def sensor_stream(
     return reader.load(landing)
 
 
-def _rollup_increment(rollup_root: str):
+def _ingest_batch(curated_root: str):
+    sensors = parquet.table_path(curated_root, parquet.SENSORS)
+    rollup = parquet.table_path(curated_root, parquet.ROLLUP)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        (
-            sensor_rollup(batch)
-            .hint("rebalance", "date")
-            .write.mode("overwrite")
-            .partitionBy("date")
-            .parquet(os.path.join(rollup_root, f"batch={batch_id}"))
-        )
+        batch.persist()
+        try:
+            if batch.isEmpty():
+                return
+            folder = f"batch={batch_id}"
+            (
+                batch.hint("rebalance", "date")
+                .write.mode("overwrite")
+                .partitionBy("date")
+                .parquet(os.path.join(sensors, folder))
+            )
+            (
+                sensor_rollup(batch)
+                .hint("rebalance", "date")
+                .write.mode("overwrite")
+                .partitionBy("date")
+                .parquet(os.path.join(rollup, folder))
+            )
+        finally:
+            batch.unpersist()
 
     return write
 
@@ -68,41 +83,33 @@ def _rollup_increment(rollup_root: str):
 def start_ingest(
     raw_readings: DataFrame,
     curated_root: str,
-    checkpoint_root: str,
+    checkpoint: str,
     available_now: bool = True,
     processing_time: str | None = None,
-) -> list[StreamingQuery]:
-    """Start the two sinks over the cleaned stream; returns both queries.
+) -> StreamingQuery:
+    """Start the ingest query over the cleaned stream.
 
     ``available_now`` processes what has landed and stops (scheduled jobs);
     otherwise ``processing_time`` (e.g. "1 minute") runs continuously.
     """
-    readings = clean_sensors(raw_readings)
-
-    def trigger(writer):
-        if available_now:
-            return writer.trigger(availableNow=True)
-        return writer.trigger(processingTime=processing_time or "1 minute")
-
-    files = trigger(
-        readings.writeStream.format("parquet")
-        .partitionBy("date")
-        .option("path", parquet.table_path(curated_root, parquet.SENSORS))
-        .option("checkpointLocation", os.path.join(checkpoint_root, "sensors"))
-    ).start()
-    rollup = trigger(
-        readings.writeStream.foreachBatch(
-            _rollup_increment(parquet.table_path(curated_root, parquet.ROLLUP))
-        ).option("checkpointLocation", os.path.join(checkpoint_root, "rollup"))
-    ).start()
-    return [files, rollup]
+    writer = (
+        clean_sensors(raw_readings)
+        .writeStream.foreachBatch(_ingest_batch(curated_root))
+        .option("checkpointLocation", checkpoint)
+    )
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    else:
+        writer = writer.trigger(processingTime=processing_time or "1 minute")
+    return writer.start()
 
 
 def streamed_tables(
     spark: SparkSession, curated_root: str, machines: DataFrame, maintenance: DataFrame
 ) -> Tables:
     """The tables a dashboard reads after ingest: streamed readings and
-    rollup increments, plus the (batch-loaded) clean dimension and events."""
+    rollup increments (each with a ``batch`` partition column), plus the
+    (batch-loaded) clean dimension and events."""
     return Tables(
         sensors=spark.read.parquet(parquet.table_path(curated_root, parquet.SENSORS)),
         machines=machines,

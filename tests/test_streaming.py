@@ -21,15 +21,14 @@ def test_incremental_ingest_matches_batch(spark):
 
     def ingest():
         stream = sensor_stream(spark, landing, schema, max_files_per_trigger=1)
-        for q in start_ingest(stream, root, checkpoints):
-            q.awaitTermination()
+        start_ingest(stream, root, checkpoints).awaitTermination()
 
     ingest()
     ingest()  # restart from the checkpoints: nothing is processed twice
     direct = clean(raw)
     streamed = streamed_tables(spark, root, direct.machines, direct.maintenance)
-    batches = streamed.rollup.select("batch").distinct().count()
-    assert batches == 4
+    assert streamed.rollup.select("batch").distinct().count() == 4
+    assert streamed.sensors.select("batch").distinct().count() == 4
 
     for f in (Filters(), Filters(factory="ASIA", start_date="2024-01-03", end_date="2024-01-20")):
         for op in (kpis, machine_health, status_distribution):
