@@ -13,15 +13,16 @@ from pyspark.sql import types as T
 from plantlens import schemas as S
 
 
-def present(df: DataFrame, name: str) -> Column:
-    """True when ``name`` holds a value: not NULL and, for floats, not NaN.
+def present(name: str, dtype: T.DataType) -> Column:
+    """True when column ``name`` (of type ``dtype``) holds a value: not NULL
+    and, for floats, not NaN.
 
     This is what ``DataFrame.dropna`` tests, written as plain predicates so
     that the Parquet reader receives ``IsNotNull`` filters (``dropna`` is an
     opaque ``AtLeastNNonNulls`` that is never pushed down).
     """
     col = F.col(name)
-    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return col.isNotNull() & ~F.isnan(col)
     return col.isNotNull()
 

@@ -21,7 +21,8 @@ from plantlens.tables import Tables
 
 def drop_incomplete(df: DataFrame, required: tuple[str, ...]) -> DataFrame:
     """Rows of ``df`` with a value (not NULL, not NaN) in every ``required``."""
-    return df.filter(reduce(and_, (present(df, c) for c in required)))
+    schema = df.schema  # one round trip for all columns
+    return df.filter(reduce(and_, (present(c, schema[c].dataType) for c in required)))
 
 
 def clean_sensors(raw: DataFrame) -> DataFrame:
