@@ -142,7 +142,7 @@ def filter_events(maintenance: DataFrame, filters: Filters) -> DataFrame:
 
 
 def filter_enriched_sensors(enriched: DataFrame, filters: Filters) -> DataFrame:
-    """All filters on an already enriched sensor frame (reference order)."""
+    """All filters on an already enriched sensor frame (filter after the join)."""
     return _where(_where(enriched, filters.machine_predicate()), filters.reading_predicate())
 
 
