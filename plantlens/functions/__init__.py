@@ -8,7 +8,6 @@ from plantlens.functions.exprs import (
     health_score,
     health_status,
     present,
-    weighted,
 )
 
 __all__ = [
@@ -19,5 +18,4 @@ __all__ = [
     "health_score",
     "health_status",
     "present",
-    "weighted",
 ]

@@ -49,11 +49,6 @@ def as_date(df: DataFrame, name: str) -> Column:
     return F.to_date(col)
 
 
-def weighted(measure: str, weight: str = "weight") -> Column:
-    """Partial aggregate ``measure`` repeated ``weight`` times (see measures)."""
-    return F.col(measure) * F.col(weight)
-
-
 def alert_rate(warnings: Column, criticals: Column, readings: Column) -> Column:
     """KPI alert rate in percent, unrounded; 0.0 when there are no readings."""
     return F.when(readings > 0, (warnings + criticals) / readings * 100).otherwise(

@@ -139,12 +139,3 @@ def filter_readings(readings: DataFrame, filters: Filters, date_column: str = "d
 def filter_events(maintenance: DataFrame, filters: Filters) -> DataFrame:
     """Fact-side filters of the maintenance table."""
     return _where(maintenance, filters.event_predicate())
-
-
-def filter_enriched_sensors(enriched: DataFrame, filters: Filters) -> DataFrame:
-    """All filters on an already enriched sensor frame (filter after the join)."""
-    return _where(_where(enriched, filters.machine_predicate()), filters.reading_predicate())
-
-
-def filter_enriched_maintenance(enriched: DataFrame, filters: Filters) -> DataFrame:
-    return _where(_where(enriched, filters.machine_predicate()), filters.event_predicate())

@@ -21,19 +21,6 @@ from plantlens.operators.measures import (
 )
 from plantlens.tables import Tables
 
-KPI_COLUMNS = (
-    "total_machines",
-    "total_readings",
-    "warning_events",
-    "critical_events",
-    "average_temperature",
-    "average_vibration",
-    "total_downtime",
-    "total_maintenance_cost",
-    "alert_rate",
-    "downtime_hours",
-)
-
 
 def maintenance_totals(tables: Tables, filters: Filters = NO_FILTERS) -> DataFrame:
     """One row: total downtime (minutes) and cost; 0 when there are no events."""

@@ -309,3 +309,9 @@ def test_load_csv_folder_and_prepare(spark, tmp_path):  # S4, J3
         ("M1", "F1"), ("M2", None)]
     assert events.first()["factory"] == "F1"
     assert machines.count() == 1
+
+
+def test_status_options_are_fixed_values():  # D7
+    from plantlens.operators import status_options
+
+    assert status_options() == ("OK", "WARNING", "CRITICAL")
