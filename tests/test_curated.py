@@ -8,6 +8,8 @@ from conftest import SF001, clean_tables, event, machine, reading
 
 from plantlens.operators import (
     Filters,
+    latest_readings,
+    maintenance_history,
     alerts_by_machine,
     daily_trend,
     date_bounds,
@@ -49,6 +51,21 @@ def test_rollup_path_equals_direct_path(direct, curated, op, f):
     assert spark_rows(op(curated, f)) == spark_rows(op(direct, f))
 
 
+@pytest.mark.parametrize("op", (latest_readings, maintenance_history), ids=lambda op: op.__name__)
+@pytest.mark.parametrize("f", FILTER_SETS, ids=range(len(FILTER_SETS)))
+@pytest.mark.parametrize("n", (1, 7, 500, 100000))
+def test_previews_read_recent_days_only_and_stay_exact(direct, curated, op, f, n):
+    assert spark_rows(op(curated, f, n=n)) == spark_rows(op(direct, f, n=n))
+
+
+def test_preview_scan_is_pruned_by_the_rollup(curated):
+    from test_plans import plan
+
+    text = plan(latest_readings(curated))
+    scan = text.split("PartitionFilters:")[1].split("\n")[0]
+    assert "date" in scan and "subquery" in scan.lower()
+
+
 def test_rollup_path_on_duplicates_and_unknown_machines(spark):
     t = clean_tables(
         spark,
@@ -59,7 +76,7 @@ def test_rollup_path_on_duplicates_and_unknown_machines(spark):
     )
     c = write_curated(spark, t, fresh_dir(spark, "test-curated-edge"))
     for f in (Filters(), Filters(factory="F1"), Filters(status="OK")):
-        for op in AGGREGATES:
+        for op in AGGREGATES + (latest_readings, maintenance_history):
             assert spark_rows(op(c, f)) == spark_rows(op(t, f)), op.__name__
 
 
