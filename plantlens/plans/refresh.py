@@ -91,7 +91,7 @@ def refresh(
     tables: Tables,
     filters: Filters,
     out_dir: str,
-    concurrent_jobs: int = 4,
+    concurrent_jobs: int = 8,
 ) -> DataFrame:
     """Write all results of ``filters`` below ``out_dir``; return the manifest."""
     if not tables.has_aggregates:
