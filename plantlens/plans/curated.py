@@ -46,6 +46,20 @@ def event_rollup(maintenance: DataFrame) -> DataFrame:
     return maintenance.groupBy(*EVENT_ROLLUP_GRAIN).agg(*event_sums())
 
 
+def store(
+    spark: SparkSession, df: DataFrame, path: str, partition_by: str | None = None
+) -> DataFrame:
+    """Write ``df`` as Parquet (replacing ``path``) and return it read back
+    with its own schema -- so an empty table, which a partitioned write
+    leaves without any file to infer a schema from, still reads."""
+    schema = df.schema
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def write_aggregates(spark: SparkSession, tables: Tables, root: str) -> Tables:
     """Write the aggregate layer of ``tables`` below ``root`` (one pass over
     each table) and return ``tables`` with it attached, read from the files.
@@ -53,26 +67,23 @@ def write_aggregates(spark: SparkSession, tables: Tables, root: str) -> Tables:
     Rollup rows per date are about machines x statuses, evenly sized; the
     ``rebalance`` hint lets AQE size the written files.
     """
-    (
-        sensor_rollup(tables.sensors)
-        .hint("rebalance", "date")
-        .write.mode("overwrite")
-        .partitionBy("date")
-        .parquet(parquet.table_path(root, parquet.ROLLUP))
-    )
-    (
-        event_rollup(tables.maintenance)
-        .hint("rebalance", "event_date")
-        .write.mode("overwrite")
-        .partitionBy("event_date")
-        .parquet(parquet.table_path(root, parquet.EVENT_ROLLUP))
+    return tables.with_aggregates(
+        rollup=store(
+            spark,
+            sensor_rollup(tables.sensors).hint("rebalance", "date"),
+            parquet.table_path(root, parquet.ROLLUP),
+            "date",
+        ),
+        event_rollup=store(
+            spark,
+            event_rollup(tables.maintenance).hint("rebalance", "event_date"),
+            parquet.table_path(root, parquet.EVENT_ROLLUP),
+            "event_date",
+        ),
+        machine_copies=store(
+            spark, machine_copies(tables.machines), parquet.table_path(root, parquet.MACHINE_COPIES)
+        ),
     )
-    (
-        machine_copies(tables.machines)
-        .write.mode("overwrite")
-        .parquet(parquet.table_path(root, parquet.MACHINE_COPIES))
-    )
-    return parquet.read_aggregates(spark, tables, root)
 
 
 def write_curated(spark: SparkSession, clean: Tables, root: str) -> Tables:
@@ -89,21 +100,24 @@ def write_curated(spark: SparkSession, clean: Tables, root: str) -> Tables:
     machine_id, timestamp), so Parquet min/max statistics let a machine
     filter skip row groups.
     """
-    (
-        clean.sensors.hint("rebalance", "date")
-        .sortWithinPartitions("date", "machine_id", "timestamp")
-        .write.mode("overwrite")
-        .partitionBy("date")
-        .parquet(parquet.table_path(root, parquet.SENSORS))
-    )
-    clean.machines.write.mode("overwrite").parquet(parquet.table_path(root, parquet.MACHINES))
-    (
-        clean.maintenance.hint("rebalance", "event_date")
-        .sortWithinPartitions("event_date", "machine_id")
-        .write.mode("overwrite")
-        .partitionBy("event_date")
-        .parquet(parquet.table_path(root, parquet.MAINTENANCE))
+    written = Tables(
+        sensors=store(
+            spark,
+            clean.sensors.hint("rebalance", "date").sortWithinPartitions(
+                "date", "machine_id", "timestamp"
+            ),
+            parquet.table_path(root, parquet.SENSORS),
+            "date",
+        ),
+        machines=store(spark, clean.machines, parquet.table_path(root, parquet.MACHINES)),
+        maintenance=store(
+            spark,
+            clean.maintenance.hint("rebalance", "event_date").sortWithinPartitions(
+                "event_date", "machine_id"
+            ),
+            parquet.table_path(root, parquet.MAINTENANCE),
+            "event_date",
+        ),
     )
     # The aggregates are computed from the written tables, not the source.
-    written = parquet.read_tables(spark, root)
     return write_aggregates(spark, written, root)

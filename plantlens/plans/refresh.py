@@ -44,7 +44,7 @@ from plantlens.operators import (
     resolve_date_range,
     top_risk_machines,
 )
-from plantlens.plans.curated import write_aggregates
+from plantlens.plans.curated import store, write_aggregates
 from plantlens.session import fresh_dir
 from plantlens.tables import Tables
 
@@ -103,11 +103,10 @@ def refresh(
 
     # The bounds are written first; the default date range then reads the
     # one-row file instead of scanning the readings again for every result.
-    names = [write("date_bounds", lambda: date_bounds(tables))]
-    bounds = spark.read.parquet(os.path.join(out_dir, "date_bounds"))
+    names = ["date_bounds", HEALTH]
+    bounds = store(spark, date_bounds(tables), os.path.join(out_dir, "date_bounds"))
     scoped = resolve_date_range(tables, filters, bounds)
-    names.append(write(HEALTH, lambda: machine_health(tables, scoped)))
-    health = spark.read.parquet(os.path.join(out_dir, HEALTH))
+    health = store(spark, machine_health(tables, scoped), os.path.join(out_dir, HEALTH))
 
     pending = {
         "health_status_counts": lambda: health_status_counts(health),

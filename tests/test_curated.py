@@ -89,3 +89,16 @@ def test_refresh_writes_every_result(spark, curated):
     assert rows["latest_readings"] == 500
     assert rows["daily_trend"] == 30
     assert len(rows) == 19
+
+
+def test_empty_tables_through_the_curated_layer(spark):
+    """A partitioned write of an empty table leaves no file to infer a
+    schema from; the layer still reads back and the results are empty."""
+    t = clean_tables(spark, machines=[machine("M1")])
+    c = write_curated(spark, t, fresh_dir(spark, "test-curated-empty"))
+    k = kpis(c).first()
+    assert (k["total_readings"], k["total_downtime"], k["alert_rate"]) == (0, 0, 0.0)
+    assert machine_health(c).count() == 0 and latest_readings(c).count() == 0
+    rows = {r["result"]: r["rows"] for r in refresh(spark, c, Filters(),
+                                                    fresh_dir(spark, "test-refresh-empty")).collect()}
+    assert rows["machine_master"] == 1 and rows["daily_trend"] == 0
