@@ -29,7 +29,8 @@ reading_rows = st.lists(
 )
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=8, deadline=None, derandomize=True, database=None,
+          suppress_health_check=list(HealthCheck))
 @given(dims=dimension_rows, reads=reading_rows, filtered=st.booleans())
 def test_operators_equal_join_then_aggregate(spark, dims, reads, filtered):
     machines = [machine(m, f, line) for m, f, line, copies in dims for _ in range(copies)]
