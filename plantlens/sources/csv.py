@@ -30,7 +30,8 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 def read_sensors(spark: SparkSession, path: str, with_reading_id: bool = False) -> DataFrame:
     schema = S.SENSOR_CSV
     if with_reading_id:
-        schema = schema.add(S.READING_ID, T.LongType())
+        # A new StructType: StructType.add would change the shared schema.
+        schema = T.StructType([*schema.fields, T.StructField(S.READING_ID, T.LongType())])
     return _read(spark, path, schema)
 
 

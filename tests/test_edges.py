@@ -315,3 +315,14 @@ def test_status_options_are_fixed_values():  # D7
     from plantlens.operators import status_options
 
     assert status_options() == ("OK", "WARNING", "CRITICAL")
+
+
+def test_reading_id_option_leaves_the_declared_schema_alone(spark, tmp_path):
+    from plantlens.schemas import SENSOR_CSV
+
+    before = len(SENSOR_CSV.fields)
+    path = tmp_path / "s.csv"
+    path.write_text("timestamp,machine_id,temperature_c,pressure_bar,vibration_mm_s,"
+                    "energy_kwh,status,reading_id\n2024-01-02 10:00:00,M1,70,5,2,10,OK,7\n")
+    assert csv.read_sensors(spark, str(path), with_reading_id=True).first()["reading_id"] == 7
+    assert len(SENSOR_CSV.fields) == before
