@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plantlens.llm import decontaminate, line_dedup, mixing
+from plantlens.llm import decontaminate, line_dedup, mixing, ngram_join, quality_rules
 from plantlens.llm import sql as S
 from plantlens.llm.common import table
 
@@ -26,6 +26,17 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents linked by their 4-word shingles."""
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents")).drop("class_id")
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules with thresholds per language and source."""
+    judged = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+    return judged.drop("lang", "source", "n_lines")
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages found in the documents."""
     found = decontaminate.contamination(
@@ -39,6 +50,8 @@ QUERIES: dict[str, Query] = {
     for f in (
         op2_mix,
         op3_line_dedup,
+        op4_ngram_join,
+        op6_quality_rules,
         op9_decontaminate,
     )
 }
@@ -46,5 +59,7 @@ QUERIES: dict[str, Query] = {
 ORACLE_SQL: dict[str, str] = {
     "op2_mix": S.MIX,
     "op3_line_dedup": S.LINE_DEDUP,
+    "op4_ngram_join": S.NGRAM_JOIN,
+    "op6_quality_rules": S.QUALITY_RULES,
     "op9_decontaminate": S.DECONTAMINATE,
 }

@@ -87,3 +87,82 @@ select d.doc_id, len(d.w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_it
        sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join words on d.doc_id = words.doc_id left join items on d.doc_id = items.doc_id
 """
+
+_FENCES = {"symbols": 0.05, "dup_lines": 0.30, "repeat_words": 0.25, "word_length": 3.0}
+
+QUALITY_RULES = rf"""
+with d as (
+  select doc_id, lang, source, coalesce(text, '') as t,
+         regexp_extract_all(coalesce(text, ''), '{WORD}') as w from documents),
+lines as (
+  select doc_id, count(*) as n_lines, count(*) - count(distinct line) as n_dup_lines
+  from (select doc_id, unnest(string_split(t, chr(10))) as line from d)
+  where regexp_matches(line, '{WORD}') group by doc_id),
+spots as (
+  select doc_id, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] as gram
+  from (select doc_id, w, unnest(range(1, len(w) - 1)) as p from d where len(w) >= 3)),
+twice as (select doc_id, gram from spots group by doc_id, gram having count(*) >= 2),
+inside as (
+  select doc_id, count(distinct word) as n_repeat_words
+  from (select doc_id, unnest(range(p, p + 3)) as word from spots semi join twice using (doc_id, gram))
+  group by doc_id),
+m as (
+  select d.doc_id, lang, source, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]')) as n_symbols, coalesce(n_lines, 0) as n_lines,
+         coalesce(n_dup_lines, 0) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words
+  from d left join lines using (doc_id) left join inside using (doc_id)),
+r as (
+  select doc_id, lang, source, unnest(['symbols', 'dup_lines', 'repeat_words', 'word_length']) as rule,
+         unnest([n_symbols::double / greatest(word_chars, 1), n_dup_lines::double / greatest(n_lines, 1),
+                 n_repeat_words::double / greatest(n_words, 1), word_chars::double / greatest(n_words, 1)]) as ratio
+  from m),
+sketch as (
+  select lang, source, rule, case when ratio > 0 then cast(ceil(ln(ratio) / ln(1.02::double)) as int) end as bucket,
+         count(*) as n
+  from r group by all),
+ranked as (
+  select *, sum(n) over (partition by lang, source, rule order by bucket nulls first
+                         rows between unbounded preceding and current row) as upto,
+         sum(n) over (partition by lang, source, rule) as total,
+         coalesce(2 * pow(1.02::double, bucket) / 2.02::double, 0) as v
+  from sketch),
+quartiles as (
+  select lang, source, rule, min(v) filter (where upto >= 0.25 * total) as q1,
+         min(v) filter (where upto >= 0.5 * total) as q2, min(v) filter (where upto >= 0.75 * total) as q3
+  from ranked group by lang, source, rule),
+bounds as (
+  select *, case rule {" ".join(f"when '{k}' then {v}::double" for k, v in _FENCES.items())} end as slack
+  from quartiles),
+bad as (
+  select distinct r.doc_id from r join bounds f
+  on r.rule = f.rule and r.lang is not distinct from f.lang and r.source is not distinct from f.source
+  where ratio > q2 + greatest(4 * (q3 - q2), slack)
+     or r.rule = 'word_length' and ratio < q2 - greatest(4 * (q2 - q1), slack))
+select m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+       not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and bad.doc_id is null as kept
+from m left join bad on m.doc_id = bad.doc_id
+"""
+
+NGRAM_JOIN = rf"""
+with recursive d as materialized (select doc_id, regexp_extract_all({FOLDED}, '{WORD}') as w from documents),
+shingles as materialized (
+  select distinct doc_id, case when len(w) >= 4 then array_to_string(w[p:p + 3], ' ')
+                               else 'short ' || array_to_string(w, ' ') end as gram
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) as p from d where len(w) > 0)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (
+  select x.doc_id as a, y.doc_id as b, count(*) as common
+  from shingles x join shingles y on x.gram = y.gram and x.doc_id < y.doc_id group by x.doc_id, y.doc_id),
+links as materialized (
+  select a, b from shared join sizes p on a = p.doc_id join sizes q on b = q.doc_id
+  where 100 * common >= 85 * (p.n + q.n - common)),
+both_ways as materialized (select a, b from links union select b, a from links),
+reach as (
+  select doc_id as node, doc_id as other from d
+  union
+  select r.node, e.b from reach r join both_ways e on r.other = e.a)
+select d.doc_id, coalesce(n, 0) as n_shingles, c.component_id
+from d left join sizes using (doc_id)
+join (select node, min(other) as component_id from reach group by node) c on d.doc_id = c.node
+"""
