@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +25,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shipped(spark: SparkSession, value) -> Callable:
+    """A broadcast of ``value`` with its class; call the result inside a
+    task. The caller bounds the size."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(sent.value)
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as ''."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds

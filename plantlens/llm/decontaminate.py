@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plantlens.llm.common import with_text
+from plantlens.llm.common import shipped, with_text
 from plantlens.llm.fm_index import FMIndex
 from plantlens.llm.text import ITEM_WORD, item_words, raw
 
@@ -135,12 +135,12 @@ def _long(windows: Windows, shard_words: int, words: list[bytes]):
         yield from shard.search()
 
 
-def _scan(broadcast, shard_words: int, cutting: bool):
+def _scan(windows_, shard_words: int, cutting: bool):
     """Batches of (row, text, spans, items): spans and items gain what the
     broadcast windows hit, or the text loses it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows: Windows = broadcast.value
+        windows: Windows = windows_()
         shard, sizes = Shard(windows), []
 
         def out(part: pa.RecordBatch, hits) -> pa.RecordBatch:
@@ -228,14 +228,14 @@ def contamination(
 ) -> DataFrame:
     """Per document: doc_id, n_words, spans (merged [start, end) word
     positions inside occurring windows) and items (their ids, sorted)."""
-    sc = documents.sparkSession.sparkContext
+    spark = documents.sparkSession
     found = documents.select(
         F.struct(F.col(id_col).alias("doc_id")).alias("row"), F.col(text_col).alias("text"),
         F.lit(0).cast("bigint").alias("n_words"), F.lit(None).cast(SPANS).alias("spans"),
         F.array().cast("array<string>").alias("items"),
     )
     for block in _blocks(benchmark, item_col, text_col, block_words):
-        windows = sc.broadcast(Windows(block, window))
+        windows = shipped(spark, Windows(block, window))
         found = found.mapInArrow(_scan(windows, shard_words, False), found.schema)
     return found.select("row.doc_id", "n_words", "spans", "items")
 
@@ -259,10 +259,10 @@ def decontaminate(
 ) -> DataFrame:
     """``documents`` with the removal spans cut out of their texts; no
     document is dropped. A column n_chars follows its text."""
-    sc = documents.sparkSession.sparkContext
+    spark = documents.sparkSession
     rest = [F.col(f"`{c}`") for c in documents.columns if c != text_col]
     clean = documents.select(F.struct(*rest, F.lit(0).alias("_")).alias("row"), F.col(text_col).alias("text"))
     for block in _blocks(benchmark, item_col, text_col, block_words):
-        windows = sc.broadcast(Windows(block, window))
+        windows = shipped(spark, Windows(block, window))
         clean = clean.mapInArrow(_scan(windows, shard_words, True), clean.schema)
     return with_text(clean, documents.columns, text_col)

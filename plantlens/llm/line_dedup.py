@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plantlens.llm.common import with_text, written
+from plantlens.llm.common import shipped, with_text, written
 from plantlens.llm.text import raw
 
 MIN_CHARS = 10
@@ -251,11 +251,11 @@ class LineIndex:
 
     def drops(self, documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """Per document with drops: doc and the keys of its dropped lines."""
-        sc = documents.sparkSession.sparkContext
+        spark = documents.sparkSession
         maybe = None
         for group in self._groups():
             held = references(documents, id_col, text_col).mapInArrow(
-                _probe(sc.broadcast(group)), "k1 bigint, k2 bigint, doc bigint"
+                _probe(shipped(spark, group)), "k1 bigint, k2 bigint, doc bigint"
             )
             maybe = held if maybe is None else maybe.unionByName(held)
         lost = maybe.distinct().join(self.shared, ["k1", "k2"]).where("doc <> keeper")
@@ -304,9 +304,9 @@ def _move(filters: pd.DataFrame, moves: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def _probe(broadcast):
+def _probe(filters_):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters: Filters = broadcast.value
+        filters: Filters = filters_()
         for batch in batches:
             k1, k2 = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             yield batch.filter(pa.array(filters.holds(k1, k2)))

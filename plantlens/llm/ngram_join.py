@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plantlens.llm.common import written
+from plantlens.llm.common import shipped, written
 from plantlens.llm.components import components
 from plantlens.llm.text import raw
 
@@ -150,7 +150,7 @@ def _sets(order_, n: int, percent: int):
     """Per document: set key, size and the leading n-grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order, grams = order_.value, Grams(n)
+        order, grams = order_(), Grams(n)
         for batch in batches:
             keys, sizes, lead = [], [], []
             for text in raw(batch.column("text")):
@@ -176,7 +176,7 @@ def _segments(order_, n: int):
     """Per document and fragment: its n-grams there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order, grams = order_.value, Grams(n)
+        order, grams = order_(), Grams(n)
         for batch in batches:
             docs, fragments, parts = [], [], []
             for doc, text in zip(batch.column("doc").to_pylist(), raw(batch.column("text"))):
@@ -245,7 +245,7 @@ def ngram_join(
     docs = documents.select(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("doc"), F.col(text_col).alias("text")
     )
-    order = spark.sparkContext.broadcast(Order.over(docs, n, fragments))
+    order = shipped(spark, Order.over(docs, n, fragments))
     sets = written(
         docs.mapInArrow(_sets(order, n, percent), "doc bigint, k1 bigint, k2 bigint, n bigint, lead array<bigint>"),
         "gram-sets",

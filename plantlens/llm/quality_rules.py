@@ -53,7 +53,7 @@ class Rule:
 
 RULES = (
     Rule("symbols", "n_symbols", "word_chars", 0.05),
-    Rule("dup_lines", "n_dup_lines", "n_lines", 0.30),
+    Rule("dup_lines", "n_dup_lines", "n_lines", 0.50),
     Rule("repeat_words", "n_repeat_words", "n_words", 0.25),
     Rule("word_length", "word_chars", "n_words", 3.0, both=True),
 )

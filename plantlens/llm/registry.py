@@ -8,13 +8,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plantlens.llm import decontaminate, line_dedup, mixing, ngram_join, quality_rules
+from plantlens.llm import decontaminate, line_dedup, mixing, ngram_join, quality_classifier, quality_rules, toxicity
 from plantlens.llm import sql as S
 from plantlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources mixed to their target weights."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -37,6 +42,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("lang", "source", "n_lines")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text."""
+    return quality_classifier.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages found in the documents."""
     found = decontaminate.contamination(
@@ -48,10 +58,12 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_toxicity,
         op2_mix,
         op3_line_dedup,
         op4_ngram_join,
         op6_quality_rules,
+        op8_quality,
         op9_decontaminate,
     )
 }

@@ -88,7 +88,7 @@ select d.doc_id, len(d.w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_it
 from d left join words on d.doc_id = words.doc_id left join items on d.doc_id = items.doc_id
 """
 
-_FENCES = {"symbols": 0.05, "dup_lines": 0.30, "repeat_words": 0.25, "word_length": 3.0}
+_FENCES = {"symbols": 0.05, "dup_lines": 0.50, "repeat_words": 0.25, "word_length": 3.0}
 
 QUALITY_RULES = rf"""
 with d as (
