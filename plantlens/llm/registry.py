@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plantlens.llm import decontaminate, line_dedup, mixing, ngram_join, quality_classifier, quality_rules, toxicity
+from plantlens.llm import decontaminate, license_scan, line_dedup, mixing, ngram_join, quality_classifier, quality_rules, toxicity
 from plantlens.llm import sql as S
 from plantlens.llm.common import table
 
@@ -36,6 +36,11 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents")).drop("class_id")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates."""
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules with thresholds per language and source."""
     judged = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
@@ -62,6 +67,7 @@ QUERIES: dict[str, Query] = {
         op2_mix,
         op3_line_dedup,
         op4_ngram_join,
+        op5_license_scan,
         op6_quality_rules,
         op8_quality,
         op9_decontaminate,
@@ -72,6 +78,7 @@ ORACLE_SQL: dict[str, str] = {
     "op2_mix": S.MIX,
     "op3_line_dedup": S.LINE_DEDUP,
     "op4_ngram_join": S.NGRAM_JOIN,
+    "op5_license_scan": S.LICENSE_SCAN,
     "op6_quality_rules": S.QUALITY_RULES,
     "op9_decontaminate": S.DECONTAMINATE,
 }

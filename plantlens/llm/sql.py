@@ -166,3 +166,45 @@ select d.doc_id, coalesce(n, 0) as n_shingles, c.component_id
 from d left join sizes using (doc_id)
 join (select node, min(other) as component_id from reach group by node) c on d.doc_id = c.node
 """
+
+
+def _license_sql() -> str:
+    from plantlens.llm import license_scan as L
+
+    templates = ", ".join(
+        f"('{label}', {L.tokens(text)}, {L.need(L.tokens(text))})" for label, text in L.TEMPLATES
+    )
+    spots = " union all ".join(
+        f"select doc_id, '{label}' as label, p - 1 as spot from places where array_to_string(w[p:p + {n - 1}], ' ') = '{phrase}'"
+        for phrase, label in L.PHRASES for n in [len(phrase.split())]
+    )
+    return rf"""
+with d as (select doc_id, {FOLDED} as t, regexp_extract_all({FOLDED}, '{ITEM_WORD}') as w from documents),
+places as (select doc_id, w, unnest(range(1, len(w) + 1)) as p from d where list_contains(w, 'license')),
+spots as ({spots}),
+base as (
+  select doc_id, count(*) as n_base, min(spot) as first_word, max(spot) as last_word,
+         string_agg(distinct label, ',' order by label) as base_labels from spots group by doc_id),
+lines as (
+  select doc_id, regexp_extract_all(line, '{ITEM_WORD}') as w
+  from (select doc_id, unnest(string_split(t, chr(10))) as line from d)),
+blocks as (
+  select doc_id, list_distinct(w[p:p + {2 * L.LONGEST - 1}]) as held
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - {L.LONGEST}, 1) + 1, {L.LONGEST})) as p from lines)),
+templates(label, words, need) as (values {templates}),
+met as (
+  select doc_id, label, len(list_intersect(held, words))::double / len(words) as share
+  from blocks, templates where len(list_intersect(held, words)) >= need),
+found as (select doc_id, max(share) as share from met group by doc_id),
+every as (
+  select doc_id, string_agg(label, ',' order by label) as labels
+  from (select distinct doc_id, label from met union select distinct doc_id, label from spots) group by doc_id)
+select d.doc_id, len(d.w) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+       coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels,
+       case when n_base > 0 then 1.0::double else coalesce(share, 0.0)::double end as score
+from d left join base on d.doc_id = base.doc_id left join found on d.doc_id = found.doc_id
+left join every on d.doc_id = every.doc_id
+"""
+
+
+LICENSE_SCAN = _license_sql()
