@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plantlens.llm import decontaminate, license_scan, line_dedup, mixing, ngram_join, quality_classifier, quality_rules, toxicity
+from plantlens.llm import decontaminate, license_scan, line_dedup, mixing, ngram_join, pii, quality_classifier, quality_rules, toxicity
 from plantlens.llm import sql as S
 from plantlens.llm.common import table
 
@@ -60,6 +60,11 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text."""
+    return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -71,6 +76,7 @@ QUERIES: dict[str, Query] = {
         op6_quality_rules,
         op8_quality,
         op9_decontaminate,
+        op10_pii,
     )
 }
 
