@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plantlens.llm import decontaminate, license_scan, line_dedup, mixing, ngram_join, pii, quality_classifier, quality_rules, toxicity
+from plantlens.llm import decontaminate, license_scan, line_dedup, lm_score, mixing, ngram_join, pii, quality_classifier, quality_rules, toxicity
 from plantlens.llm import sql as S
 from plantlens.llm.common import table
 
@@ -47,6 +47,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("lang", "source", "n_lines")
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model score of every text."""
+    return lm_score.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every text."""
     return quality_classifier.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -74,6 +79,7 @@ QUERIES: dict[str, Query] = {
         op4_ngram_join,
         op5_license_scan,
         op6_quality_rules,
+        op7_lm_score,
         op8_quality,
         op9_decontaminate,
         op10_pii,
