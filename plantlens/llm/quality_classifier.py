@@ -149,3 +149,23 @@ def quality(
         "doc_id", (fold(F.col("doc_id"), folds) == held).alias("held_out"), "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+def keep_good(
+    documents: DataFrame, labels: DataFrame, *, folds: int = 5, held: int = 0, sample: int = SAMPLE, pairs: int = PAIRS,
+) -> DataFrame:
+    """``documents`` without those scored below the threshold; all columns
+    stay, and nothing is shuffled."""
+    model = shipped(
+        documents.sparkSession, fit(documents, labels, folds=folds, held=held, sample=sample, pairs=pairs)
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: Model = model()
+        for batch in batches:
+            row = batch.column("row")
+            good = own.score(measured(raw(row.field("text")))) >= THRESHOLD
+            yield pa.RecordBatch.from_arrays([row.filter(pa.array(good))], ["row"])
+
+    rows = documents.select(F.struct("*").alias("row"))
+    return rows.mapInArrow(run, rows.schema).select("row.*")
