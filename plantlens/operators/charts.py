@@ -17,7 +17,6 @@ from plantlens.operators.measures import (
     average,
     event_measures,
     sensor_measures,
-    sorted_small,
 )
 from plantlens.tables import Tables
 
@@ -29,7 +28,7 @@ def daily_trend(tables: Tables, filters: Filters = NO_FILTERS) -> DataFrame:
         average("sum_vibration").alias("average_vibration"),
         F.sum("sum_energy").alias("total_energy"),
     )
-    return sorted_small(daily, F.col("date").asc())
+    return daily.orderBy(F.col("date").asc())
 
 
 def machine_performance(tables: Tables, filters: Filters = NO_FILTERS) -> DataFrame:
@@ -67,7 +66,7 @@ def status_distribution(tables: Tables, filters: Filters = NO_FILTERS) -> DataFr
     """Readings per status; NULL status is a group of its own."""
     partials = attach_machines(sensor_measures(tables, filters, ["status"]), tables, filters)
     counts = partials.groupBy("status").agg(F.sum("readings").alias("count"))
-    return sorted_small(counts, F.col("count").desc(), F.col("status").asc())
+    return counts.orderBy(F.col("count").desc(), F.col("status").asc())
 
 
 def maintenance_by_type(tables: Tables, filters: Filters = NO_FILTERS) -> DataFrame:
@@ -79,8 +78,7 @@ def maintenance_by_type(tables: Tables, filters: Filters = NO_FILTERS) -> DataFr
         F.sum("downtime").alias("downtime_minutes"),
         F.sum("events").alias("maintenance_events"),
     )
-    return sorted_small(
-        by_type, F.col("maintenance_cost").desc(), F.col("maintenance_type").asc()
+    return by_type.orderBy(F.col("maintenance_cost").desc(), F.col("maintenance_type").asc()
     )
 
 
@@ -91,21 +89,23 @@ def downtime_by_factory(tables: Tables, filters: Filters = NO_FILTERS) -> DataFr
         F.sum("downtime").alias("downtime_minutes"),
         F.sum("cost").alias("maintenance_cost"),
     )
-    return sorted_small(
-        by_factory, F.col("downtime_minutes").desc(), F.col("factory").asc()
+    return by_factory.orderBy(F.col("downtime_minutes").desc(), F.col("factory").asc()
     )
 
 
 def chart_data(tables: Tables, filters: Filters = NO_FILTERS) -> dict[str, DataFrame]:
     """All six chart tables, lazily."""
-    return {
-        "daily_trend": daily_trend(tables, filters),
-        "machine_performance": machine_performance(tables, filters),
-        "alerts": alerts_by_machine(tables, filters),
-        "status_distribution": status_distribution(tables, filters),
-        "maintenance_type": maintenance_by_type(tables, filters),
-        "factory_downtime": downtime_by_factory(tables, filters),
-    }
+    return {name: chart(tables, filters) for name, chart in CHARTS.items()}
+
+
+CHARTS = {
+    "daily_trend": daily_trend,
+    "machine_performance": machine_performance,
+    "alerts": alerts_by_machine,
+    "status_distribution": status_distribution,
+    "maintenance_type": maintenance_by_type,
+    "factory_downtime": downtime_by_factory,
+}
 
 
 # Two-column series the dashboard plots from the chart tables.
@@ -123,4 +123,4 @@ SERIES = {
 def series(tables: Tables, name: str, filters: Filters = NO_FILTERS) -> DataFrame:
     """One plotted series (x, y) from its chart table."""
     chart, x, y = SERIES[name]
-    return chart_data(tables, filters)[chart].select(x, y)
+    return CHARTS[chart](tables, filters).select(x, y)

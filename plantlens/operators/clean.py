@@ -9,10 +9,12 @@ that the Parquet scan can push the NULL checks down.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from plantlens import schemas as S
 from plantlens.functions import as_date, as_timestamp, present
@@ -42,10 +44,32 @@ def clean_maintenance(raw: DataFrame) -> DataFrame:
 
 
 def clean(raw: Tables) -> Tables:
-    """All three tables cleaned (a rollup, if any, is already clean)."""
-    return Tables(
+    """All three tables cleaned (an aggregate layer, if any, is already
+    clean and stays)."""
+    return replace(
+        raw,
         sensors=clean_sensors(raw.sensors),
         machines=clean_machines(raw.machines),
         maintenance=clean_maintenance(raw.maintenance),
-        rollup=raw.rollup,
     )
+
+
+def rejects(raw: Tables) -> DataFrame:
+    """(table, reason, rows): rows that ``clean`` drops, by the required
+    column that holds no value after parsing (a row may count for several),
+    and all of them under the reason ``any``."""
+    tables = (
+        ("sensors", raw.sensors, "timestamp", as_timestamp, S.SENSOR_REQUIRED),
+        ("machines", raw.machines, "install_date", as_date, S.MACHINE_REQUIRED),
+        ("maintenance", raw.maintenance, "event_date", as_date, S.MAINTENANCE_REQUIRED),
+    )
+    counts = []
+    for name, df, column, parse, required in tables:
+        parsed = df.withColumn(column, parse(df, column))
+        schema = parsed.schema
+        missing = {c: ~present(c, schema[c].dataType) for c in required}
+        every = {**missing, "any": reduce(or_, missing.values())}
+        row = parsed.agg(*[F.count_if(test).alias(c) for c, test in every.items()])
+        long = row.unpivot([], list(every), "reason", "rows")
+        counts.append(long.select(F.lit(name).alias("table"), "reason", "rows"))
+    return reduce(DataFrame.unionByName, counts)

@@ -52,6 +52,9 @@ class Filters:
     status: str | None = None
     start_date: DateBound = None
     end_date: DateBound = None
+    # The date range is the full range of the readings (resolve_date_range):
+    # it keeps every reading, and every event if there are no readings.
+    full_range: bool = False
 
     def __post_init__(self) -> None:
         for name in ("factory", "production_line", "model", "machine_id", "status"):
@@ -65,14 +68,6 @@ class Filters:
         """The health view: every filter except the status filter."""
         return replace(self, status=None)
 
-    def with_date_range(self, date_range) -> "Filters":
-        """Apply a date-picker value: a complete (start, end) pair sets the
-        range, anything else clears it (the full bounds of the data, which
-        ``resolve_date_range`` turns into an explicit range)."""
-        if isinstance(date_range, (list, tuple)) and len(date_range) == 2:
-            return replace(self, start_date=_day(date_range[0]), end_date=_day(date_range[1]))
-        return replace(self, start_date=None, end_date=None)
-
     # -- what is set -----------------------------------------------------------
 
     @property
@@ -106,7 +101,7 @@ class Filters:
             preds.append(F.col("machine_id") == F.lit(self.machine_id))
         if self.status is not None:
             preds.append(F.col("status") == F.lit(self.status))
-        if self.has_date_range:
+        if self.has_date_range and not self.full_range:
             preds.append(
                 F.col(date_column).between(_bound(self.start_date), _bound(self.end_date))
             )
@@ -117,9 +112,8 @@ class Filters:
         if self.machine_id is not None:
             preds.append(F.col("machine_id") == F.lit(self.machine_id))
         if self.has_date_range:
-            preds.append(
-                F.col("event_date").between(_bound(self.start_date), _bound(self.end_date))
-            )
+            inside = F.col("event_date").between(_bound(self.start_date), _bound(self.end_date))
+            preds.append(F.coalesce(inside, F.lit(True)) if self.full_range else inside)
         return reduce(and_, preds) if preds else None
 
 

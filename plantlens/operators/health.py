@@ -20,7 +20,6 @@ from plantlens.operators.measures import (
     attach_machines,
     average,
     sensor_measures,
-    sorted_small,
 )
 from plantlens.tables import Tables
 
@@ -79,7 +78,7 @@ def health_status_counts(health: DataFrame) -> DataFrame:
 def health_distribution(health: DataFrame) -> DataFrame:
     """Machines per category that occurs, most frequent first."""
     counts = health.groupBy("health_status").agg(F.count(F.lit(1)).alias("machines"))
-    return sorted_small(counts, F.col("machines").desc(), F.col("health_status").asc())
+    return counts.orderBy(F.col("machines").desc(), F.col("health_status").asc())
 
 
 def top_risk_machines(health: DataFrame, n: int = S.TOP_RISK_ROWS) -> DataFrame:

@@ -98,7 +98,8 @@ def resolve_date_range(
     """The dashboard's default: without a complete date range, use the full
     bounds of the sensor data. The bounds stay in Spark as scalar
     subqueries, so maintenance events outside them are dropped by the
-    maintenance filter without a round trip through the driver.
+    maintenance filter without a round trip through the driver. Readings
+    need no filter then, and without any reading no event is dropped.
 
     ``bounds`` may be a stored ``date_bounds`` result (one row), which
     saves the scan of the readings."""
@@ -114,4 +115,5 @@ def resolve_date_range(
         status=filters.status,
         start_date=bounds.select("min_date").scalar(),
         end_date=bounds.select("max_date").scalar(),
+        full_range=True,
     )

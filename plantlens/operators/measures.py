@@ -123,6 +123,19 @@ def machine_copies(machines: DataFrame) -> DataFrame:
     return machines.groupBy(*machines.columns).agg(F.count(F.lit(1)).alias("copies"))
 
 
+def machine_repeats(machines: DataFrame) -> DataFrame:
+    """Machine ids that the dimension holds more than once, with ``copies``."""
+    counts = machines.groupBy("machine_id").agg(F.count(F.lit(1)).alias("copies"))
+    return counts.where("copies > 1")
+
+
+def repeats(tables: Tables) -> DataFrame:
+    """The stored ``machine_repeats``, or computed ones."""
+    if tables.machine_repeats is not None:
+        return tables.machine_repeats
+    return machine_repeats(tables.machines)
+
+
 def attach_machines(
     measures: DataFrame,
     tables: Tables,
@@ -139,8 +152,16 @@ def attach_machines(
     machines keep NULL attributes and count once), inner join with one.
     Additive columns come out multiplied by the copies; a machine id may
     keep several rows (one per variant), so callers group by what they need.
+
+    Without attributes and without a dimension filter only the repetition
+    matters, so the join is with the repeated ids alone: a table that is
+    usually empty and small enough for the planner to broadcast.
     """
-    if tables.machine_copies is not None:
+    if not attributes and not filters.has_dimension_filter:
+        machines = repeats(tables)
+        if filters.machine_id is not None:
+            machines = machines.where(F.col("machine_id") == filters.machine_id)
+    elif tables.machine_copies is not None:
         # Already collapsed: a machine id keeps one row per distinct variant,
         # each weighted by its copies, so no aggregation is needed here.
         machines = filter_machines(tables.machine_copies, filters).select(
@@ -161,15 +182,3 @@ def attach_machines(
 def average(total: str, count: str = "readings") -> Column:
     """Average from summed partials; NULL when there are no rows."""
     return F.sum(total) / F.sum(count)
-
-
-def sorted_small(df: DataFrame, *order: Column) -> DataFrame:
-    """Order a result whose rows are few by construction (one per day,
-    status, type, factory or category).
-
-    The aggregation above stays parallel; only its output rows move to one
-    partition and are sorted there. A global ``orderBy`` would add a
-    sampling job for its range partitioner, which costs more than sorting
-    a few thousand rows. Results with one row per machine keep ``orderBy``.
-    """
-    return df.repartition(1).sortWithinPartitions(*order)

@@ -18,7 +18,7 @@ from __future__ import annotations
 _SENSORS = """
 sensors_raw AS (
   SELECT CAST(ts AS TIMESTAMP) AS "timestamp",
-         'M' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS machine_id,
+         'M' || lpad(CAST(user_id AS VARCHAR), greatest(6, length(CAST(user_id AS VARCHAR)))::INTEGER, '0') AS machine_id,
          CASE WHEN event_id % 97 = 5 THEN NULL
               WHEN event_id % 89 = 5 THEN CAST('NaN' AS DOUBLE)
               ELSE 60 + CAST(floor(value) AS BIGINT) / 8.0e0 END AS temperature_c,
@@ -45,7 +45,7 @@ sensors AS (
 
 _MACHINES = """
 machines_raw AS (
-  SELECT 'M' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS machine_id,
+  SELECT 'M' || lpad(CAST(c_custkey AS VARCHAR), greatest(6, length(CAST(c_custkey AS VARCHAR)))::INTEGER, '0') AS machine_id,
          r_name AS factory,
          n_name AS production_line,
          CASE WHEN c_custkey % 29 = 7 THEN NULL ELSE c_mktsegment END AS model,
@@ -67,8 +67,8 @@ machines AS (
 
 _MAINTENANCE = """
 maintenance_raw AS (
-  SELECT 'E' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS event_id,
-         'M' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS machine_id,
+  SELECT 'E' || lpad(CAST(o_orderkey AS VARCHAR), greatest(8, length(CAST(o_orderkey AS VARCHAR)))::INTEGER, '0') AS event_id,
+         'M' || lpad(CAST(o_custkey AS VARCHAR), greatest(6, length(CAST(o_custkey AS VARCHAR)))::INTEGER, '0') AS machine_id,
          CAST(DATE '2024-01-01'
               + CAST(datediff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) % 30 AS INTEGER)
               AS DATE) AS event_date,
@@ -355,6 +355,44 @@ WHERE event_date BETWEEN (SELECT min("date") FROM sensors)
                      AND (SELECT max("date") FROM sensors)""")
 
 
+def default_range_narrow_sql() -> str:
+    return with_tables(f"""
+SELECT * FROM maintenance_enriched
+WHERE event_date BETWEEN (SELECT min("date") FROM sensors WHERE "date" BETWEEN DATE '{START}' AND DATE '{END}')
+                     AND (SELECT max("date") FROM sensors WHERE "date" BETWEEN DATE '{START}' AND DATE '{END}')""")
+
+
+def with_repeated_machines(sql: str) -> str:
+    """``sql`` with the machines whose id ends in 5 twice in the dimension."""
+    twice = _MACHINES.replace("\nmachines AS (", "\nmachines_once AS (") + """,
+machines AS (
+  SELECT * FROM machines_once
+  UNION ALL SELECT * FROM machines_once WHERE machine_id LIKE '%5'
+)"""
+    return sql.replace(_MACHINES, twice)
+
+
+def reject_counts_sql() -> str:
+    def missing(column: str, number: bool) -> str:
+        return f"({column} IS NULL" + (f" OR isnan({column}))" if number else ")")
+
+    parts = []
+    for table, columns in {
+        "sensors": {"machine_id": 0, '"timestamp"': 0, "temperature_c": 1, "pressure_bar": 1,
+                    "vibration_mm_s": 1, "energy_kwh": 1},
+        "machines": {"machine_id": 0, "factory": 0, "production_line": 0, "model": 0},
+        "maintenance": {"event_id": 0, "machine_id": 0, "event_date": 0, "maintenance_type": 0,
+                        "downtime_minutes": 0, "cost_eur": 1},
+    }.items():
+        tests = {c.strip('"'): missing(c, bool(n)) for c, n in columns.items()}
+        tests["any"] = "(" + " OR ".join(tests.values()) + ")"
+        parts += [
+            f"SELECT '{table}' AS \"table\", '{reason}' AS reason, count(*) FILTER (WHERE {test}) AS \"rows\""
+            f" FROM {table}_raw" for reason, test in tests.items()
+        ]
+    return with_tables("\n" + "\nUNION ALL ".join(parts))
+
+
 def refresh_manifest_sql() -> str:
     """Rows of every result of an unfiltered refresh (default date range =
     the sensor bounds, which also applies to maintenance events)."""

@@ -23,6 +23,9 @@ follow plan over files, not over the source and cleaning steps.
 
 from __future__ import annotations
 
+import os
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 
 from plantlens.operators.measures import (
@@ -30,6 +33,7 @@ from plantlens.operators.measures import (
     ROLLUP_GRAIN,
     event_sums,
     machine_copies,
+    machine_repeats,
     reading_sums,
 )
 from plantlens.sources import parquet
@@ -49,14 +53,17 @@ def event_rollup(maintenance: DataFrame) -> DataFrame:
 def store(
     spark: SparkSession, df: DataFrame, path: str, partition_by: str | None = None
 ) -> DataFrame:
-    """Write ``df`` as Parquet (replacing ``path``) and return it read back
-    with its own schema -- so an empty table, which a partitioned write
-    leaves without any file to infer a schema from, still reads."""
+    """Write ``df`` as Parquet (replacing ``path``), its schema beside it, and
+    return it read back with that schema -- so an empty table, which a
+    partitioned write leaves without any file to infer a schema from, still
+    reads, in later sessions too."""
     schema = df.schema
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
+    line = spark.createDataFrame([(schema.json(),)], "value string").coalesce(1)
+    line.write.mode("overwrite").text(parquet.schema_path(path))
     return spark.read.schema(schema).parquet(path)
 
 
@@ -83,12 +90,17 @@ def write_aggregates(spark: SparkSession, tables: Tables, root: str) -> Tables:
         machine_copies=store(
             spark, machine_copies(tables.machines), parquet.table_path(root, parquet.MACHINE_COPIES)
         ),
+        machine_repeats=store(
+            spark, machine_repeats(tables.machines), parquet.table_path(root, parquet.MACHINE_REPEATS)
+        ),
     )
 
 
 def write_curated(spark: SparkSession, clean: Tables, root: str) -> Tables:
-    """Write the clean tables and the aggregate layer below ``root``; return
-    them read back from the files (with the aggregate layer attached).
+    """Write the clean tables and the aggregate layer to a new version folder
+    below ``root``; return them read back from the files (with the aggregate
+    layer attached). Readers see the version once all of it is written; a
+    failed run leaves the one before in place.
 
     Readings are rebalanced on ``date`` before the write (the AQE
     ``rebalance`` hint): one shuffle, after which AQE splits any date whose
@@ -100,6 +112,8 @@ def write_curated(spark: SparkSession, clean: Tables, root: str) -> Tables:
     machine_id, timestamp), so Parquet min/max statistics let a machine
     filter skip row groups.
     """
+    base, version = root, f"v{time.time_ns():020d}"
+    root = os.path.join(base, version)
     written = Tables(
         sensors=store(
             spark,
@@ -120,4 +134,8 @@ def write_curated(spark: SparkSession, clean: Tables, root: str) -> Tables:
         ),
     )
     # The aggregates are computed from the written tables, not the source.
-    return write_aggregates(spark, written, root)
+    curated = write_aggregates(spark, written, root)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    line = spark.createDataFrame([(f"{version} {zone}",)], "value string").coalesce(1)
+    line.write.mode("append").text(os.path.join(base, parquet.VERSIONS))
+    return curated

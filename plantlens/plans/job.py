@@ -31,6 +31,8 @@ def _parser() -> argparse.ArgumentParser:
         cmd.add_argument("--source", required=True, help="input folder")
         cmd.add_argument("--format", default="csv", choices=("csv", "parquet"))
         cmd.add_argument("--out", required=True, help="output folder")
+        cmd.add_argument("--time-zone", default="UTC",
+                         help="zone of the dates; the session must have it (default UTC)")
     view.add_argument("--curated", action="store_true",
                       help="--source is a curated layer (with its aggregate layer)")
     for name in ("factory", "production_line", "model", "machine_id", "status"):
@@ -43,6 +45,9 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"plantlens-{args.command}").getOrCreate()
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone != args.time_zone:
+        raise SystemExit(f"the session's time zone is {zone}, not {args.time_zone}: dates would differ")
     if args.command == "curate":
         write_curated(spark, clean(load(spark, args.source, args.format)), args.out)
         return

@@ -9,11 +9,13 @@ tables; the only row limits are the features' own (top 5, latest 500).
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from plantlens import oracle as O
+from plantlens import schemas as S
 from plantlens.operators import (
     Filters,
     alerts_by_machine,
@@ -37,16 +39,20 @@ from plantlens.operators import (
     maintenance_by_type,
     maintenance_history,
     option_values,
+    prepare,
     resolve_date_range,
     series,
     status_distribution,
     top_risk_machines,
 )
+from plantlens.operators.clean import rejects
 from plantlens.plans.checks import duplicate_machines
+from plantlens.plans.curated import write_curated
 from plantlens.plans.refresh import refresh
 from plantlens.session import fresh_dir
-from plantlens.sources import csv
+from plantlens.sources import csv, load, parquet
 from plantlens.sources.bind import bind
+from plantlens.sources.loader import CSV_FILES
 from plantlens.streaming import sensor_stream, start_ingest, streamed_tables
 from plantlens.tables import Tables
 
@@ -94,7 +100,7 @@ def _scan_csv(name: str) -> Query:
         path = fresh_dir(spark, f"csv-{name}")
         csv.write_csv(getattr(raw, name), path)
         if name == "sensors":
-            return clean_sensors(csv.read_sensors(spark, path, with_reading_id=True))
+            return clean_sensors(csv.read_sensors(spark, path))
         if name == "machines":
             return clean_machines(csv.read_machines(spark, path))
         return clean_maintenance(csv.read_maintenance(spark, path))
@@ -108,8 +114,7 @@ def _scan_csv(name: str) -> Query:
 def _streamed(op: Callable[[Tables], DataFrame]) -> Query:
     """Land the bound readings as Parquet files in a fresh shared folder,
     ingest them with the streaming job (clean -> curated readings + rollup
-    increments), and run ``op`` over the streamed tables. The readings
-    carry the ingest's ``batch`` partition column, which is dropped."""
+    increments), and run ``op`` over the streamed tables."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = bind(spark, sf_dir)
@@ -124,6 +129,41 @@ def _streamed(op: Callable[[Tables], DataFrame]) -> Query:
     return run
 
 
+def _narrow_default_range(t: Tables) -> DataFrame:
+    """Events in the default range of a plant with readings of a few days."""
+    few = replace(t, sensors=t.sensors.where(F.col("date").between(F.lit(O.START), F.lit(O.END))))
+    return enrich_maintenance(few, resolve_date_range(few, NONE))
+
+
+def _repeated(t: Tables) -> Tables:
+    """The tables with some machines twice in the dimension."""
+    twice = t.machines.where(F.col("machine_id").endswith("5"))
+    return replace(t, machines=t.machines.unionByName(twice))
+
+
+def _curated(op: Callable[[Tables], DataFrame]) -> Query:
+    """``op`` over a fresh curated layer, read back as a later session does."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = fresh_dir(spark, "curated")
+        write_curated(spark, tables(spark, sf_dir), root)
+        return op(parquet.read_tables(spark, root, with_aggregates=True))
+
+    return run
+
+
+def _loaded(op: Callable[[Tables], DataFrame]) -> Query:
+    """``op`` over the tables written as CSV files, loaded and cleaned."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw, root = bind(spark, sf_dir), fresh_dir(spark, "csv")
+        for df, name in zip((raw.sensors, raw.machines, raw.maintenance), CSV_FILES):
+            csv.write_csv(df.drop(S.READING_ID), f"{root}/{name}")
+        return op(clean(load(spark, root, "csv")))
+
+    return run
+
+
 def _entries() -> dict[str, Entry]:
     e: dict[str, Entry] = {}
 
@@ -133,8 +173,10 @@ def _entries() -> dict[str, Entry]:
     # sources and cleaning
     add("scan_sensors_csv", _scan_csv("sensors"), O.with_tables("\nSELECT * FROM sensors"))
     add("scan_machines_csv", _scan_csv("machines"), O.with_tables("\nSELECT * FROM machines"))
+    # Minutes are read from text as numbers that may have decimals.
     add("scan_maintenance_csv", _scan_csv("maintenance"),
-        O.with_tables("\nSELECT * FROM maintenance"))
+        O.with_tables("\nSELECT * REPLACE (CAST(downtime_minutes AS DOUBLE) AS downtime_minutes)"
+                      " FROM maintenance"))
     add("clean_sensors", _on_tables(lambda t: t.sensors), O.with_tables("\nSELECT * FROM sensors"))
     add("clean_machines", _on_tables(lambda t: t.machines),
         O.with_tables("\nSELECT * FROM machines"))
@@ -170,6 +212,14 @@ def _entries() -> dict[str, Entry]:
         _on_tables(lambda t: enrich_maintenance(t, resolve_date_range(t, NONE))),
         O.default_range_sql())
 
+    add("filter_default_range_narrow", _on_tables(_narrow_default_range), O.default_range_narrow_sql())
+    for name, f, values in (("production_line", LINE, {"production_line": O.LINE}),
+                            ("model", MODEL, {"model": O.MODEL})):
+        add(f"filter_{name}_maintenance", _on_tables(lambda t, f=f: enrich_maintenance(t, f)),
+            O.maintenance_rows_sql(**values))
+        add(f"machine_master_{name}", _on_tables(lambda t, f=f: machine_master(t, f)),
+            O.machine_master_sql(**values))
+
     # KPIs and bounds
     add("kpis", _on_tables(kpis), O.kpis_sql())
     add("kpis_empty", _on_tables(lambda t: kpis(t, NOWHERE)), O.kpis_sql(factory="NOWHERE"))
@@ -257,8 +307,29 @@ def _entries() -> dict[str, Entry]:
 SELECT machine_id, count(*) AS copies FROM machines
 GROUP BY machine_id HAVING count(*) > 1"""))
 
+    add("reject_counts", lambda spark, sf_dir: rejects(bind(spark, sf_dir)), O.reject_counts_sql())
+    add("kpis_repeated_machines", _on_tables(lambda t: kpis(_repeated(t))),
+        O.with_repeated_machines(O.kpis_sql()))
+    add("machine_health_repeated_machines", _on_tables(lambda t: machine_health(_repeated(t))),
+        O.with_repeated_machines(O.machine_health_sql()))
+
+    # the loader over CSV files, prepared
+    add("load_prepare_sensors", _loaded(lambda t: prepare(t)[0].drop(S.READING_ID)),
+        O.sensor_rows_sql().replace("SELECT * FROM sensor_enriched",
+                                    "SELECT * EXCLUDE (reading_id) FROM sensor_enriched"))
+
+    # results over the curated layer, read again from its files
+    for name, op, sql in (
+        ("kpis", kpis, O.kpis_sql()),
+        ("machine_health", machine_health, O.machine_health_sql()),
+        ("daily_trend", daily_trend, O.chart_sql("daily_trend")),
+        ("downtime_by_factory", downtime_by_factory, O.chart_sql("downtime_by_factory")),
+        ("latest_readings", latest_readings, O.latest_readings_sql()),
+    ):
+        add(f"curated_{name}", _curated(op), sql)
+
     # streaming ingest, then the dashboard over the streamed layer
-    add("stream_ingest_readings", _streamed(lambda t: t.sensors.drop("batch")),
+    add("stream_ingest_readings", _streamed(lambda t: t.sensors),
         O.with_tables("\nSELECT * FROM sensors"))
     add("stream_ingest_kpis", _streamed(kpis), O.kpis_sql())
     add("stream_ingest_health", _streamed(machine_health), O.machine_health_sql())

@@ -41,7 +41,7 @@ MAINTENANCE_CSV = T.StructType(
         T.StructField("machine_id", T.StringType()),
         T.StructField("event_date", T.StringType()),
         T.StructField("maintenance_type", T.StringType()),
-        T.StructField("downtime_minutes", T.IntegerType()),
+        T.StructField("downtime_minutes", T.DoubleType()),
         T.StructField("cost_eur", T.DoubleType()),
         T.StructField("technician_id", T.StringType()),
         T.StructField("issue", T.StringType()),

@@ -6,7 +6,11 @@ helpers are for scripts, tests and the bench.
 
 from __future__ import annotations
 
+import atexit
+import functools
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -41,15 +45,23 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for written intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).
-    Only a local-mode session without one gets a fresh temporary folder;
-    on a cluster a machine-local folder would be wrong, so that is an error.
+    Only a session in one process (``local[...]``) without one gets a
+    temporary folder; on a cluster, also one of several processes on this
+    machine, a local folder would be wrong, so that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="plantlens-")
-        spark.sparkContext.setCheckpointDir(base)
+        base = _own_dir()
+    return base
+
+
+@functools.cache
+def _own_dir() -> str:
+    """This process's temporary folder, removed when it ends."""
+    base = tempfile.mkdtemp(prefix="plantlens-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
     return base
 
 

@@ -37,11 +37,12 @@ INTERVAL_DAYS = (30, 45, 60, 90)  # by c_custkey % 4 = 0, 1, 2, 3
 
 
 def _padded(prefix: str, key: str, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(F.col(key).cast("string"), width, "0"))
+    text = F.col(key).cast("string")
+    return F.concat(F.lit(prefix), F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0")))
 
 
 def machine_key(key: str) -> Column:
-    """``M`` plus the key left-padded to 6 digits."""
+    """``M`` plus the key left-padded to 6 digits at least (never cut)."""
     return _padded("M", key, 6)
 
 

@@ -1,14 +1,16 @@
 """Text sources: the three tables as CSV files with a header row.
 
-The schema is declared, never inferred: inference costs a full pass over
-the files and one bad cell changes a column's type. Date and timestamp
+Columns are found by their names in the header. Their types are declared,
+never inferred: inference costs a full pass over the files and one bad cell
+changes a column's type. Date and timestamp
 columns are read as text and parsed by the clean step, which drops only
 the rows that fail to parse.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plantlens import schemas as S
@@ -18,21 +20,36 @@ from plantlens.tables import Tables
 TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
+def _read(
+    spark: SparkSession, path: str, schema: T.StructType, optional: tuple[str, ...] = ()
+) -> DataFrame:
+    """The columns of ``schema`` by their names in the header, in any order;
+    other columns are ignored. All files of a folder must have the same
+    header. Cells that do not parse become NULL."""
+    text = (
+        spark.read.option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .csv(path)
     )
+    missing = [f.name for f in schema if f.name not in text.columns and f.name not in optional]
+    if missing:
+        raise ValueError(f"{path}: the header lacks {', '.join(missing)}")
+    return text.select(*[_cell(f).alias(f.name) for f in schema if f.name in text.columns])
+
+
+def _cell(field: T.StructField) -> Column:
+    """Text as the declared type; whole numbers may be written as 45.0."""
+    cell = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.IntegerType):
+        return cell.try_cast("double").try_cast("int")
+    return cell if isinstance(field.dataType, T.StringType) else cell.try_cast(field.dataType)
 
 
-def read_sensors(spark: SparkSession, path: str, with_reading_id: bool = False) -> DataFrame:
-    schema = S.SENSOR_CSV
-    if with_reading_id:
-        # A new StructType: StructType.add would change the shared schema.
-        schema = T.StructType([*schema.fields, T.StructField(S.READING_ID, T.LongType())])
-    return _read(spark, path, schema)
+def read_sensors(spark: SparkSession, path: str) -> DataFrame:
+    """Readings; a column reading_id is read where the file has one."""
+    reading_id = T.StructField(S.READING_ID, T.LongType())
+    return _read(spark, path, T.StructType([*S.SENSOR_CSV.fields, reading_id]), (S.READING_ID,))
 
 
 def read_machines(spark: SparkSession, path: str) -> DataFrame:
@@ -48,11 +65,10 @@ def read_tables(
     sensors: str,
     machines: str,
     maintenance: str,
-    with_reading_id: bool = False,
 ) -> Tables:
     """The raw (uncleaned) tables from three CSV paths (files or folders)."""
     return Tables(
-        sensors=read_sensors(spark, sensors, with_reading_id),
+        sensors=read_sensors(spark, sensors),
         machines=read_machines(spark, machines),
         maintenance=read_maintenance(spark, maintenance),
     )

@@ -7,9 +7,12 @@ same layout, sensors partitioned by ``date``).
 
 from __future__ import annotations
 
+import json
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from plantlens.tables import Tables
 
@@ -19,28 +22,57 @@ MAINTENANCE = "maintenance"
 ROLLUP = "sensor_rollup"
 EVENT_ROLLUP = "event_rollup"
 MACHINE_COPIES = "machine_copies"
+MACHINE_REPEATS = "machine_repeats"
+VERSIONS = "versions"
 
 
 def table_path(root: str, name: str) -> str:
     return os.path.join(root, name)
 
 
+def schema_path(path: str) -> str:
+    """Where the schema of the table at ``path`` is stored."""
+    return os.path.join(os.path.dirname(path), "schemas", os.path.basename(path))
+
+
+def first_text(spark: SparkSession, path: str) -> str | None:
+    """The largest line of the text files at ``path``; None without any."""
+    try:
+        row = spark.read.text(path).agg({"value": "max"}).first()
+    except AnalysisException:  # no such folder
+        return None
+    return row[0]
+
+
+def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table below ``root``, by its stored schema if there is one: a table
+    without rows has no file to infer a schema from."""
+    path = table_path(root, name)
+    schema = first_text(spark, schema_path(path))
+    reader = spark.read.schema(T.StructType.fromJson(json.loads(schema))) if schema else spark.read
+    return reader.parquet(path)
+
+
+def current_version(spark: SparkSession, root: str) -> tuple[str, str | None]:
+    """The folder of the newest finished curated layer below ``root``, and
+    the time zone it was written in; ``root`` itself without versions."""
+    line = first_text(spark, os.path.join(root, VERSIONS))
+    if line is None:
+        return root, None
+    version, zone = line.split(" ")
+    return os.path.join(root, version), zone
+
+
 def read_tables(spark: SparkSession, root: str, with_aggregates: bool = False) -> Tables:
-    """The three tables below ``root``; with the aggregate layer if asked."""
-    tables = Tables(
-        sensors=spark.read.parquet(table_path(root, SENSORS)),
-        machines=spark.read.parquet(table_path(root, MACHINES)),
-        maintenance=spark.read.parquet(table_path(root, MAINTENANCE)),
-    )
+    """The three tables of the newest layer below ``root``; with the
+    aggregate layer if asked. A layer written in another session time zone
+    is refused: its dates would not be this session's."""
+    root, zone = current_version(spark, root)
+    own = spark.conf.get("spark.sql.session.timeZone")
+    if zone is not None and zone != own:
+        raise ValueError(f"{root} was written in time zone {zone}, the session has {own}")
+    tables = Tables(*(read_table(spark, root, name) for name in (SENSORS, MACHINES, MAINTENANCE)))
     if with_aggregates:
-        tables = read_aggregates(spark, tables, root)
+        names = (ROLLUP, EVENT_ROLLUP, MACHINE_COPIES, MACHINE_REPEATS)
+        tables = tables.with_aggregates(*(read_table(spark, root, name) for name in names))
     return tables
-
-
-def read_aggregates(spark: SparkSession, tables: Tables, root: str) -> Tables:
-    """``tables`` with the aggregate layer stored below ``root`` attached."""
-    return tables.with_aggregates(
-        rollup=spark.read.parquet(table_path(root, ROLLUP)),
-        event_rollup=spark.read.parquet(table_path(root, EVENT_ROLLUP)),
-        machine_copies=spark.read.parquet(table_path(root, MACHINE_COPIES)),
-    )

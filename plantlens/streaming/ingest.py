@@ -4,33 +4,42 @@ New raw sensor files (CSV or Parquet) landing in a folder are cleaned with
 the batch clean step and added to the curated layer, so dashboards over it
 stay current without a full rebuild. One streaming query reads each new
 file once; for every micro-batch (``foreachBatch``, batch persisted for
-its two writes) it writes
+its two writes) it writes, below ``<root>/stream``,
 
-* the clean readings to ``<sensors>/batch=<id>/date=<day>/``, and
+* the clean readings to ``sensors/source=<id>/batch=<n>/date=<day>/``, and
 * the batch's rollup increment -- partial aggregates at (machine_id, date,
-  status) -- to ``<rollup>/batch=<id>/date=<day>/``.
-
-Both writes overwrite their batch folder. A batch replayed after a driver
-or executor failure has the same id and the same files, so it replaces
-its own output: each reading lands exactly once. The rollup is additive,
-so rows of the same grain from different batches simply sum up when the
-operators re-aggregate it -- no merge step, no state store, no watermark,
-and no reading is dropped for being late. ``compact_rollup`` folds the
-increments into one table when they become many.
+  status) -- to ``sensor_rollup/source=<id>/batch=<n>/date=<day>/``.
+
+The source id is drawn once per checkpoint folder and kept in it, so
+streams with checkpoints of their own never write to each other's folders. A
+batch replayed after a driver or executor failure has the same id and the
+same files, and replaces its own output: each reading lands exactly once. A
+stream whose checkpoint is lost starts anew as another source; its files
+land a second time unless the old source's folders are removed first.
+
+The rollup is additive, so rows of the same grain from different batches
+simply sum up when the operators re-aggregate it -- no merge step, no state
+store, no watermark, and no reading is dropped for being late.
+``streamed_tables`` joins the increments to the curated layer below the same
+root. ``compact_rollup`` folds the increments into one table.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
+from dataclasses import replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from plantlens import schemas as S
 from plantlens.operators.clean import clean_sensors
-from plantlens.operators.measures import ROLLUP_GRAIN, SENSOR_SUMS
-from plantlens.plans.curated import sensor_rollup
+from plantlens.operators.measures import ROLLUP_GRAIN, SENSOR_SUMS, machine_copies, machine_repeats
+from plantlens.plans.curated import event_rollup, sensor_rollup, store
 from plantlens.sources import parquet
 from plantlens.tables import Tables
 
@@ -51,16 +60,30 @@ def sensor_stream(
     return reader.load(landing)
 
 
-def _ingest_batch(curated_root: str):
-    sensors = parquet.table_path(curated_root, parquet.SENSORS)
-    rollup = parquet.table_path(curated_root, parquet.ROLLUP)
+def _stream_path(curated_root: str, name: str) -> str:
+    return os.path.join(curated_root, "stream", name)
+
+
+def _source_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream with this checkpoint, drawn at its first start."""
+    path = os.path.join(checkpoint, "source-id")
+    found = parquet.first_text(spark, path)
+    if found is None:
+        found = uuid.uuid4().hex
+        spark.createDataFrame([(found,)], "value string").coalesce(1).write.text(path)
+    return found
+
+
+def _ingest_batch(curated_root: str, source: str):
+    sensors = _stream_path(curated_root, parquet.SENSORS)
+    rollup = _stream_path(curated_root, parquet.ROLLUP)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             if batch.isEmpty():
                 return
-            folder = f"batch={batch_id}"
+            folder = os.path.join(f"source={source}", f"batch={batch_id}")
             (
                 batch.hint("rebalance", "date")
                 .write.mode("overwrite")
@@ -92,9 +115,10 @@ def start_ingest(
     ``available_now`` processes what has landed and stops (scheduled jobs);
     otherwise ``processing_time`` (e.g. "1 minute") runs continuously.
     """
+    source = _source_id(raw_readings.sparkSession, checkpoint)
     writer = (
         clean_sensors(raw_readings)
-        .writeStream.foreachBatch(_ingest_batch(curated_root))
+        .writeStream.foreachBatch(_ingest_batch(curated_root, source))
         .option("checkpointLocation", checkpoint)
     )
     if available_now:
@@ -104,24 +128,53 @@ def start_ingest(
     return writer.start()
 
 
+def _increments(spark: SparkSession, curated_root: str, name: str) -> DataFrame | None:
+    """What the streams have added to a table; None before the first row."""
+    try:
+        found = spark.read.parquet(_stream_path(curated_root, name))
+    except AnalysisException:  # nothing has landed
+        return None
+    return found.drop("source", "batch")
+
+
 def streamed_tables(
-    spark: SparkSession, curated_root: str, machines: DataFrame, maintenance: DataFrame
+    spark: SparkSession,
+    curated_root: str,
+    machines: DataFrame | None = None,
+    maintenance: DataFrame | None = None,
 ) -> Tables:
-    """The tables a dashboard reads after ingest: streamed readings and
-    rollup increments (each with a ``batch`` partition column), plus the
-    (batch-loaded) clean dimension and events."""
-    return Tables(
-        sensors=spark.read.parquet(parquet.table_path(curated_root, parquet.SENSORS)),
-        machines=machines,
-        maintenance=maintenance,
-        rollup=spark.read.parquet(parquet.table_path(curated_root, parquet.ROLLUP)),
+    """The tables a dashboard reads after ingest, with the whole aggregate
+    layer: the newest curated layer below the root, if there is one, and
+    what the streams added. Without a curated layer ``machines`` and
+    ``maintenance`` (clean) are needed."""
+    root, _ = parquet.current_version(spark, curated_root)
+    if root != curated_root:
+        base = parquet.read_tables(spark, curated_root, with_aggregates=True)
+    elif machines is None or maintenance is None:
+        raise ValueError(f"{curated_root} has no curated layer: pass machines and maintenance")
+    else:
+        nothing = clean_sensors(spark.createDataFrame([], S.SENSOR_CSV))
+        base = Tables(
+            sensors=nothing, machines=machines, maintenance=maintenance, rollup=sensor_rollup(nothing),
+            event_rollup=event_rollup(maintenance), machine_copies=machine_copies(machines),
+            machine_repeats=machine_repeats(machines),
+        )
+    sensors = _increments(spark, curated_root, parquet.SENSORS)
+    rollup = _increments(spark, curated_root, parquet.ROLLUP)
+    if sensors is None or rollup is None:
+        return base
+    if root == curated_root:
+        return replace(base, sensors=sensors, rollup=rollup)
+    return replace(
+        base,
+        sensors=base.sensors.unionByName(sensors, allowMissingColumns=True),
+        rollup=base.rollup.unionByName(rollup),
     )
 
 
 def compact_rollup(spark: SparkSession, curated_root: str, out: str) -> DataFrame:
-    """Fold the per-batch increments into one rollup at the grain (batch
-    job); returns it read back from ``out``."""
-    increments = spark.read.parquet(parquet.table_path(curated_root, parquet.ROLLUP))
+    """Fold the increments into one rollup at the grain (batch job); returns
+    it read back from ``out``."""
+    increments = spark.read.parquet(_stream_path(curated_root, parquet.ROLLUP))
     merged = increments.groupBy(*ROLLUP_GRAIN).agg(*[F.sum(c).alias(c) for c in SENSOR_SUMS])
-    merged.hint("rebalance", "date").write.mode("overwrite").partitionBy("date").parquet(out)
-    return spark.read.parquet(out)
+    return store(spark, merged.hint("rebalance", "date"), out, "date")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 class Tables:
     """Sensor readings, machine dimension and maintenance events.
 
-    The three optional members form the aggregate layer (see
+    The optional members form the aggregate layer (see
     ``plans.curated``); when set, aggregate operators read them instead of
     the row-level tables, which row-level operators (previews, enriched
     rows) always read:
@@ -20,7 +20,9 @@ class Tables:
     * ``event_rollup``: events pre-aggregated at (machine_id, event_date,
       maintenance_type);
     * ``machine_copies``: the dimension with identical rows collapsed into
-      one row and a ``copies`` count.
+      one row and a ``copies`` count;
+    * ``machine_repeats``: machine ids with more than one row (usually none)
+      and how many they have.
     """
 
     sensors: DataFrame
@@ -29,17 +31,27 @@ class Tables:
     rollup: DataFrame | None = None
     event_rollup: DataFrame | None = None
     machine_copies: DataFrame | None = None
+    machine_repeats: DataFrame | None = None
 
     def with_rollup(self, rollup: DataFrame | None) -> "Tables":
         return replace(self, rollup=rollup)
 
     def with_aggregates(
-        self, rollup: DataFrame, event_rollup: DataFrame, machine_copies: DataFrame
+        self,
+        rollup: DataFrame,
+        event_rollup: DataFrame,
+        machine_copies: DataFrame,
+        machine_repeats: DataFrame,
     ) -> "Tables":
         return replace(
-            self, rollup=rollup, event_rollup=event_rollup, machine_copies=machine_copies
+            self,
+            rollup=rollup,
+            event_rollup=event_rollup,
+            machine_copies=machine_copies,
+            machine_repeats=machine_repeats,
         )
 
     @property
     def has_aggregates(self) -> bool:
-        return all(x is not None for x in (self.rollup, self.event_rollup, self.machine_copies))
+        layer = (self.rollup, self.event_rollup, self.machine_copies, self.machine_repeats)
+        return all(x is not None for x in layer)

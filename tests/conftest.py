@@ -60,7 +60,8 @@ def machine(mid, factory="F1", line="L1", model="X1", install="2020-01-01",
 
 def event(eid, mid, day="2024-01-02", kind="Preventive", downtime=60, cost=100.0,
           tech="T01", issue="Routine inspection"):
-    return (eid, mid, day, kind, downtime, cost, tech, issue)
+    minutes = None if downtime is None else float(downtime)
+    return (eid, mid, day, kind, minutes, cost, tech, issue)
 
 
 D = dt.date

@@ -24,6 +24,7 @@ from plantlens.plans.curated import write_curated
 from plantlens.plans.refresh import refresh
 from plantlens.registry import tables
 from plantlens.session import fresh_dir
+from plantlens.sources import parquet
 
 AGGREGATES = (kpis, machine_health, daily_trend, machine_performance, alerts_by_machine,
               status_distribution, maintenance_by_type, downtime_by_factory, date_bounds)
@@ -95,10 +96,40 @@ def test_empty_tables_through_the_curated_layer(spark):
     """A partitioned write of an empty table leaves no file to infer a
     schema from; the layer still reads back and the results are empty."""
     t = clean_tables(spark, machines=[machine("M1")])
-    c = write_curated(spark, t, fresh_dir(spark, "test-curated-empty"))
+    root = fresh_dir(spark, "test-curated-empty")
+    c = write_curated(spark, t, root)
     k = kpis(c).first()
     assert (k["total_readings"], k["total_downtime"], k["alert_rate"]) == (0, 0, 0.0)
     assert machine_health(c).count() == 0 and latest_readings(c).count() == 0
-    rows = {r["result"]: r["rows"] for r in refresh(spark, c, Filters(),
+    again = parquet.read_tables(spark, root, with_aggregates=True)  # as a later session does
+    assert again.maintenance.schema == c.maintenance.schema and machine_health(again).count() == 0
+    rows = {r["result"]: r["rows"] for r in refresh(spark, again, Filters(),
                                                     fresh_dir(spark, "test-refresh-empty")).collect()}
     assert rows["machine_master"] == 1 and rows["daily_trend"] == 0
+
+
+def test_readers_see_the_last_finished_version(spark, monkeypatch):
+    root = fresh_dir(spark, "test-versions")
+    write_curated(spark, clean_tables(spark, machines=[machine("M1")]), root)
+    two = clean_tables(spark, machines=[machine("M1"), machine("M2")])
+    with monkeypatch.context() as m:
+        def broken(*_):
+            raise OSError("disk full")
+
+        m.setattr("plantlens.plans.curated.write_aggregates", broken)
+        with pytest.raises(OSError):
+            write_curated(spark, two, root)
+    assert parquet.read_tables(spark, root).machines.count() == 1
+    write_curated(spark, two, root)
+    assert parquet.read_tables(spark, root, with_aggregates=True).machine_copies.count() == 2
+
+
+def test_another_time_zone_is_refused(spark):
+    root = fresh_dir(spark, "test-zone")
+    write_curated(spark, clean_tables(spark, machines=[machine("M1")]), root)
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        with pytest.raises(ValueError, match="time zone"):
+            parquet.read_tables(spark, root)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

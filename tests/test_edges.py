@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from conftest import D, clean_tables, event, machine, reading
 
 from plantlens.operators import (
@@ -190,8 +192,7 @@ def test_default_date_range_is_the_sensor_bounds(spark):  # F14
         maintenance=[event("E1", "M1", day="2024-01-02"), event("E2", "M1", day="2024-01-03"),
                      event("E3", "M1", day="2024-01-09"), event("E4", "M1", day="2024-01-10")],
     )
-    f = Filters().with_date_range((D(2024, 1, 3),))  # incomplete picker value
-    resolved = resolve_date_range(t, f)
+    resolved = resolve_date_range(t, Filters(start_date=D(2024, 1, 3)))  # incomplete
     events = sorted(r["event_id"] for r in enrich_maintenance(t, resolved).collect())
     assert events == ["E2", "E3"]
     b = one(date_bounds(t))
@@ -317,6 +318,51 @@ def test_status_options_are_fixed_values():  # D7
     assert status_options() == ("OK", "WARNING", "CRITICAL")
 
 
+def test_without_readings_the_default_range_keeps_events(spark):  # F14
+    t = clean_tables(spark, machines=[machine("M1")], maintenance=[event("E1", "M1", downtime=60)])
+    k = one(kpis(t, resolve_date_range(t, Filters())))
+    assert (k["total_downtime"], k["total_readings"]) == (60, 0)
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):  # S1-S3
+    from plantlens.operators import clean
+    from plantlens.operators.clean import rejects
+    from plantlens.sources import load
+
+    (tmp_path / "sensor_readings.csv").write_text(
+        "note,status,energy_kwh,machine_id,pressure_bar,temperature_c,vibration_mm_s,timestamp\n"
+        "x,OK,10,M1,5,70,2,2024-01-02 10:00:00\ny,OK,10,M1,five,70,2,2024-01-02 11:00:00\n")
+    (tmp_path / "machines.csv").write_text(
+        "factory,machine_id,model,production_line,criticality,maintenance_interval_days,install_date\n"
+        "F1,M1,X1,L1,Low,30.0,2020-01-01\n")
+    (tmp_path / "maintenance_events.csv").write_text(
+        "event_id,machine_id,event_date,maintenance_type,downtime_minutes,cost_eur,technician_id,issue\n"
+        "E1,M1,2024-01-02,Preventive,45.5,12.5,T01,a\nE2,M1,2024-01-02,Preventive,45.0,1,T01,b\n"
+        "E3,M1,yesterday,Preventive,,1,T01,c\n")
+    raw = load(spark, str(tmp_path))
+    t = clean(raw)
+    s = one(t.sensors)
+    assert (s["machine_id"], s["temperature_c"], s["pressure_bar"], s["energy_kwh"]) == ("M1", 70.0, 5.0, 10.0)
+    assert (one(t.machines)["factory"], one(t.machines)["maintenance_interval_days"]) == ("F1", 30)
+    assert sorted(r["downtime_minutes"] for r in t.maintenance.collect()) == [45.0, 45.5]
+    counts = {(r["table"], r["reason"]): r["rows"] for r in rejects(raw).collect() if r["rows"]}
+    assert counts == {
+        ("sensors", "pressure_bar"): 1, ("sensors", "any"): 1, ("maintenance", "event_date"): 1,
+        ("maintenance", "downtime_minutes"): 1, ("maintenance", "any"): 1,
+    }
+    (tmp_path / "machines.csv").write_text("machine_id,factory\nM1,F1\n")
+    with pytest.raises(ValueError, match="production_line"):
+        load(spark, str(tmp_path))
+
+
+def test_long_keys_are_not_cut(spark):
+    from plantlens.sources.bind import machine_key
+
+    keys = [1, 123456, 1000000, 1000001, 123456789, None]
+    got = [r[0] for r in spark.createDataFrame([(k,) for k in keys], "k bigint").select(machine_key("k")).collect()]
+    assert got == ["M000001", "M123456", "M1000000", "M1000001", "M123456789", None]
+
+
 def test_reading_id_option_leaves_the_declared_schema_alone(spark, tmp_path):
     from plantlens.schemas import SENSOR_CSV
 
@@ -324,5 +370,5 @@ def test_reading_id_option_leaves_the_declared_schema_alone(spark, tmp_path):
     path = tmp_path / "s.csv"
     path.write_text("timestamp,machine_id,temperature_c,pressure_bar,vibration_mm_s,"
                     "energy_kwh,status,reading_id\n2024-01-02 10:00:00,M1,70,5,2,10,OK,7\n")
-    assert csv.read_sensors(spark, str(path), with_reading_id=True).first()["reading_id"] == 7
+    assert csv.read_sensors(spark, str(path)).first()["reading_id"] == 7
     assert len(SENSOR_CSV.fields) == before

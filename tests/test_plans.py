@@ -82,14 +82,14 @@ def test_date_filter_prunes_curated_partitions(curated):
 
 def test_aggregate_layer_feeds_the_aggregates(curated):
     text = plan(kpis(curated))
-    assert "sensor_rollup" in text and "event_rollup" in text and "machine_copies" in text
+    assert "sensor_rollup" in text and "event_rollup" in text and "machine_repeats" in text
     for row_level in ("/sensors]", "/maintenance]", "/machines]"):
         assert row_level not in text
 
 
 @pytest.mark.parametrize("name", sorted(ENTRIES))
 def test_no_python_udf_cross_join_or_driver_loop(spark, name):
-    if name.startswith("scan_") or name == "refresh_manifest":
+    if name.startswith("scan_") or name in ("refresh_manifest", "reject_counts"):
         pytest.skip("writes files; covered by the oracle test")
     text = plan(ENTRIES[name].run(spark, SF001))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct",
