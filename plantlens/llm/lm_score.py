@@ -30,7 +30,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import count
+from itertools import count, islice
 
 import numpy as np
 import pandas as pd
@@ -41,13 +41,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plantlens.llm.common import fold, written
-from plantlens.llm.text import raw
+from plantlens.llm.text import raw, slices
 
 HEAVY = 1 << 22
 ENTRY_BITS = 8
 MAX_BYTES = 128 << 20
-BLOCK_TOKENS = 1 << 21
-FLUSH_PAIRS = 1 << 22
+BLOCK_TOKENS = 1 << 20
+FLUSH_PAIRS = 1 << 21
 TASK_WORDS = 400_000
 END = b"\n"  # no word holds one
 CLASSES = 64
@@ -85,7 +85,7 @@ class Vocabulary:
             parts.append(np.fromiter(map(number, words), np.int64, len(words)))
             sizes.append(len(words))
         if len(self.number) > len(self.hashes):
-            new = list(self.number)[len(self.hashes) :]
+            new = list(islice(self.number, len(self.hashes), None))
             own = np.fromiter(map(xxhash.xxh3_64_intdigest, new), np.uint64, len(new))
             self.hashes = np.concatenate([self.hashes, own])
         starts = np.cumsum([0, *sizes])[:-1]
@@ -104,24 +104,29 @@ def contexts(tokens: np.ndarray, starts: np.ndarray, end: int) -> np.ndarray:
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = Vocabulary()
-    train, every = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    counts = np.zeros((2, 0), np.int64)  # in training texts, in all
 
     def rows() -> pa.RecordBatch:
+        size = len(words.hashes)
         return pa.RecordBatch.from_arrays(
-            [pa.array(words.hashes.view(np.int64)), pa.array(train), pa.array(every)], ["word", "train", "every"]
+            [pa.array(words.hashes.view(np.int64)), pa.array(counts[0, :size]), pa.array(counts[1, :size])],
+            ["word", "train", "every"],
         )
 
-    for batch in batches:
+    for batch in slices(batches):
         tokens, starts = words.tokens(raw(batch.column("text")))
         held = np.array(batch.column("held").to_pylist(), dtype=bool)
-        sizes = np.diff([*starts, len(tokens)])
+        learnt = np.repeat(~held, np.diff([*starts, len(tokens)]))
         size = len(words.hashes)
-        every = np.bincount(tokens, minlength=size) + np.pad(every, (0, size - len(every)))
-        train = np.bincount(tokens[np.repeat(~held, sizes)], minlength=size) + np.pad(train, (0, size - len(train)))
+        if size > counts.shape[1]:
+            counts = np.pad(counts, ((0, 0), (0, 2 * size - counts.shape[1])))
+        for row, own in zip(counts, (tokens[learnt], tokens)):
+            number, n = np.unique(own, return_counts=True)
+            row[number] += n
         if size > TASK_WORDS:
             yield rows()
             words.clear()
-            train, every = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            counts = np.zeros((2, 0), np.int64)
     yield rows()
 
 
@@ -165,7 +170,7 @@ def _count_grams(heavy_: Callable, block_bits: int):
     """Training words and pairs with their counts, packed per block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heavy, words = heavy_(), Vocabulary()
+        heavy, words, kinds = heavy_(), Vocabulary(), np.empty(0, np.uint8)
         grams: list[np.ndarray] = []
         classes: list[np.ndarray] = []
 
@@ -187,18 +192,18 @@ def _count_grams(heavy_: Callable, block_bits: int):
                 }
             )
 
-        for batch in batches:
+        for batch in slices(batches):
             tokens, starts = words.tokens(raw(batch.column("text")))
             before = contexts(tokens, starts, words.number[END] if len(tokens) else 0)
-            kinds = frequency_class(*heavy.lookup(words.hashes))
-            for at in range(0, len(tokens), FLUSH_PAIRS):
-                own, context = tokens[at : at + FLUSH_PAIRS], before[at : at + FLUSH_PAIRS]
-                grams += [pair(words.hashes[context], words.hashes[own]), mixed(words.hashes[own])]
-                classes += [kinds[context], np.full(len(own), WORD, np.uint8)]
-                if sum(map(len, grams)) >= FLUSH_PAIRS:
-                    yield packed()
+            fresh = words.hashes[len(kinds) :]
+            kinds = np.concatenate([kinds, frequency_class(*heavy.lookup(fresh))])
+            grams += [pair(words.hashes[before], words.hashes[tokens]), mixed(words.hashes[tokens])]
+            classes += [kinds[before], np.full(len(tokens), WORD, np.uint8)]
+            if sum(map(len, grams)) >= FLUSH_PAIRS:
+                yield packed()
             if len(words.number) > TASK_WORDS:
                 words.clear()
+                kinds = np.empty(0, np.uint8)
         yield packed()
 
     return run
@@ -309,7 +314,7 @@ def _score(heavy_: Callable, filter_: Callable):
         words, row = Vocabulary(), TaskContext.get().partitionId() << 40
         space = heavy.tokens + 0.5 * (heavy.words + 1)
         base = seen = kind = estimate = frequent = np.empty(0)
-        for batch in batches:
+        for batch in slices(batches):
             fresh = len(words.hashes)
             tokens, starts = words.tokens(raw(batch.column("text")))
             new = words.hashes[fresh:]

@@ -8,8 +8,13 @@ operations: ``bytes.split()`` cuts exactly at [\\x20\\x09-\\x0D] and
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+
+SLICE_BYTES = 2 << 20
 
 # A-Z to a-z; every other ASCII character but 0-9 and a-z to a space.
 ITEM_BYTES = bytes(
@@ -27,3 +32,13 @@ def raw(column: pa.Array) -> list[bytes]:
 def item_words(text: bytes) -> list[bytes]:
     """Lower-cased words [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+."""
     return text.translate(ITEM_BYTES).split()
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about ``size`` bytes of text, or one row."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(lengths) // size
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), batch.num_rows]
+        for start, stop in zip(cuts, cuts[1:]):
+            yield batch.slice(start, stop - start)
