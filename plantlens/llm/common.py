@@ -41,7 +41,8 @@ def with_text(changed: DataFrame, columns: list[str], text_col: str) -> DataFram
     """Documents again from (row, text): the given columns in their order,
     with n_chars, where there is one, counted anew."""
     text = F.col("text").alias(text_col)
-    size = F.length("text").cast("bigint").alias("n_chars")
+    kinds = dict(changed.select("row.*").dtypes)
+    size = F.length("text").cast(kinds.get("n_chars", "bigint")).alias("n_chars")
     return changed.select(
         *(text if c == text_col else size if c == "n_chars" else F.col(f"row.`{c}`") for c in columns)
     )

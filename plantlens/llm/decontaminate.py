@@ -261,7 +261,7 @@ def decontaminate(
     document is dropped. A column n_chars follows its text."""
     spark = documents.sparkSession
     rest = [F.col(f"`{c}`") for c in documents.columns if c != text_col]
-    clean = documents.select(F.struct(*rest, F.lit(0).alias("_")).alias("row"), F.col(text_col).alias("text"))
+    clean = documents.select(F.struct(*(rest or [F.lit(0)])).alias("row"), F.col(text_col).alias("text"))
     for block in _blocks(benchmark, item_col, text_col, block_words):
         windows = shipped(spark, Windows(block, window))
         clean = clean.mapInArrow(_scan(windows, shard_words, True), clean.schema)

@@ -14,7 +14,7 @@ sides follow when documents come (``insert``) or go (``delete``).
 Filters are broadcast in groups of at most ``GROUP_BYTES``, one pass of
 probes per group.
 
-Defined results: null text is one empty line; a null id sorts after all
+Defined results: null text is one empty line and stays null; a null id sorts after all
 others, and rows of one id are one document; each row gets its result;
 columns other than the id and the text are not read.
 """
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plantlens.llm.common import shipped, with_text, written
-from plantlens.llm.text import raw
+from plantlens.llm.text import raw, slices
 
 MIN_CHARS = 10
 SHARD_KEYS = 50_000
@@ -62,7 +62,7 @@ def references(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id, the largest bigint for null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids, found = [], []
             for doc, text in zip(batch.column(0).to_pylist(), raw(batch.column(1))):
                 own = {k for k in keys(text) if k}
@@ -315,10 +315,11 @@ def _probe(filters_):
 
 
 def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         texts, lines, dropped = [], [], []
+        null = batch.column("text").is_null().to_pylist()
         lost = batch.column("lost").to_pylist()
-        for text, gone in zip(raw(batch.column("text")), lost):
+        for text, gone, absent in zip(raw(batch.column("text")), lost, null):
             every = text.split(b"\n")
             lines.append(len(every))
             if gone:
@@ -326,7 +327,7 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 every = [line for line, key in zip(every, keys(text)) if key not in gone]
                 text = b"\n".join(every)
             dropped.append(lines[-1] - len(every))
-            texts.append(text)
+            texts.append(None if absent else text)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("row"),
@@ -342,7 +343,7 @@ def digest(documents: DataFrame) -> DataFrame:
     """The query's columns: n_lines, n_dropped and the hash of what stays."""
     docs = documents.select("doc_id", "text")
     kept = LineIndex.build(docs).apply(docs)
-    return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+    return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 def dedup_lines(documents: DataFrame) -> DataFrame:

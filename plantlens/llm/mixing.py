@@ -94,7 +94,7 @@ def tilts(cells: DataFrame, wanted: DataFrame, cap: int, steps: int = STEPS) ->
         gap = F.col("taken") - F.col("target")
         sums = sums.withColumn("low", F.when(gap < 0, F.col("lambda")).otherwise(F.col("low")))
         sums = sums.withColumn("high", F.when(gap > 0, F.col("lambda")).otherwise(F.col("high")))
-        newton = F.col("lambda") - gap / F.col("slope")
+        newton = F.col("lambda") - F.try_divide(gap, F.col("slope"))
         newton = F.when(F.abs(newton - F.col("lambda")) <= 4, newton)
         inside = F.coalesce(newton > F.col("low"), newton.isNotNull()) & F.coalesce(newton < F.col("high"), F.lit(True))
         middle = F.coalesce((F.col("low") + F.col("high")) / 2, F.col("low") + 1, F.col("high") - 1)

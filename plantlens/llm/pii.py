@@ -90,12 +90,13 @@ def confirmed(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _hits(pattern: str, number: int) -> Column:
+def _hits(number: int) -> Column:
     """Matches of a pattern, with the code points before each since the
-    last one and the characters around it."""
-    pieces = F.split("text", pattern, -1)
+    last one and the characters around it. Columns m and p with its number
+    hold the matches and the pieces between them."""
+    pieces = f"p{number}"
     return F.transform(
-        F.regexp_extract_all("text", F.lit(pattern), F.lit(0)),
+        f"m{number}",
         lambda m, i: F.struct(
             F.lit(number).alias("pattern"), i.alias("at"), F.length(F.get(pieces, i)).alias("gap"), m.alias("match"),
             F.right(F.get(pieces, i), F.lit(AROUND)).alias("before"),
@@ -106,13 +107,17 @@ def _hits(pattern: str, number: int) -> Column:
 
 def hits(documents: DataFrame) -> DataFrame:
     """Per document: row, doc_id and the matches of all patterns."""
-    docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    text = F.coalesce("text", F.lit(""))
+    docs = documents.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.when(text.rlike(CANDIDATES), text).alias("text")
+    )
     patterns = [*BASE.values(), *(p for _, p in WIDE.values())]
-    every = F.concat(*(_hits(p, k) for k, p in enumerate(patterns)))
-    return docs.select(
+    cut = docs.select(
         F.monotonically_increasing_id().alias("row"), "doc_id",
-        F.when(F.col("text").rlike(CANDIDATES), every).alias("hits"),
+        *(F.regexp_extract_all("text", F.lit(p), F.lit(0)).alias(f"m{k}") for k, p in enumerate(patterns)),
+        *(F.split("text", p, -1).alias(f"p{k}") for k, p in enumerate(patterns)),
     )
+    return cut.select("row", "doc_id", F.concat(*(_hits(k) for k in range(len(patterns)))).alias("hits"))
 
 
 def spans(found: DataFrame) -> DataFrame:
