@@ -7,12 +7,10 @@ Units are the words of a text, without inserted signs and digits
 ("id.io-t"), and the strings that runs of single characters spell
 ("i d i o t").
 
-Landmarks are the words by which toxic labelled sentences differ most from
-the others. A sentence stands for its witness, the unit closest to any
-landmark, by the Nystroem features of that unit; a linear support vector
-machine on labelled witnesses, calibrated to probabilities, scores
-sentences, and a text has the score of its highest one. Since all its
-witnesses are compared alike, that is the score of the text's own witness.
+Landmarks are the words that toxic labelled texts hold far more often than
+others. A text is described by its closest unit to each landmark; the
+Nystroem features of that profile feed a linear support vector machine,
+fitted on labelled texts and calibrated to probabilities.
 
 A unit is compared with a landmark if it shares at least ``share`` of its
 letters, and ORDER of them; elsewhere the kernel counts as 0. Units longer
@@ -20,7 +18,7 @@ than ``WIDTH`` are compared in overlapping windows.
 
 The model is fitted on at most ``SAMPLE`` labelled texts.
 
-Defined results: null and empty texts are scored as texts without a witness;
+Defined results: null and empty texts are scored as texts far from all landmarks;
 without labels of both kinds every score is the share of toxic labels (0
 without labels); each row gets its score; only doc_id and text are read.
 """
@@ -39,21 +37,26 @@ from pyspark.sql import functions as F
 
 from plantlens.llm.common import fold, shipped
 from plantlens.llm.learning import labelled_sample, logistic, sigmoid, svm
-from plantlens.llm.text import raw
+from plantlens.llm.text import raw, slices
 
 ORDER = 4
 DECAY = 0.7
-SHARE = 0.7
+SHARE = 0.85
+LEAST = 0.1
 WIDTH = 24
-LANDMARKS = 24
+LANDMARKS = 128
+ODDS = 0.1  # of a landmark in other texts, against toxic ones
+SURE = 5.0  # standard errors
 SAMPLE = 20_000
 CACHE_UNITS = 300_000
+CHUNK = 2048
+SLICE_BYTES = 16 << 20
 THRESHOLD = 0.3
 SPELLED = re.compile(rb"(?<!\S)(?:\S[ \t]){2,}\S(?!\S)")
 BLANKS = b" \t\n\x0b\x0c\r"
 #: ASCII characters that are neither letters nor blanks.
 INSERTED = bytes(c for c in range(128) if c not in BLANKS and not chr(c).isalpha())
-LETTERS = re.compile(rb"[^a-z]+")
+LETTERS = re.compile(rb"[^a-z\x80-\xff]+")
 
 
 def units(text: bytes) -> list[bytes]:
@@ -110,20 +113,24 @@ def kernel(match: list[np.ndarray]) -> np.ndarray:
     return total
 
 
-def closeness(rows: np.ndarray, landmark: bytes) -> np.ndarray:
-    """Kernel of each row with the landmark, over the landmark's letters;
-    other letters only widen gaps. The cosine (cubed, so that only what is
-    nearly equal counts) tells how much else the row holds of these
-    letters, the kernel relative to the landmark's own how wide the gaps
-    are."""
-    letters = np.frombuffer(landmark, np.uint8)
-    rows = rows[:, : max(int((rows != 0).sum(axis=1).max(initial=1)), 1)].T
-    own = np.isin(rows, letters)
-    both = kernel([(rows == c).astype(float) for c in letters])
-    row = kernel([((rows == c) & own & mine).astype(float) for c, mine in zip(rows, own)])
-    alone = kernel([(letters == c).astype(float)[:, None] for c in letters])
-    cosine = both / np.sqrt(np.maximum(row, 1e-12) * alone)
-    return cosine**3 * np.minimum(both / alone, 1)
+def closeness(rows: np.ndarray, landmarks: np.ndarray, alone: np.ndarray) -> np.ndarray:
+    """Kernel of each column of ``rows`` with the same column of
+    ``landmarks``, over the landmark's letters; other letters only widen
+    gaps. The cosine (cubed, so that only what is nearly equal counts) tells
+    how much else the row holds of these letters, the kernel relative to
+    the landmark's own (``alone``) how wide the gaps are. Below LEAST, which
+    the cosine cannot raise, it counts as 0."""
+    both = kernel([rows == letter for letter in landmarks])
+    out = np.zeros(rows.shape[1])
+    near = np.flatnonzero(both >= LEAST * alone)
+    if len(near):
+        rows, landmarks, both, alone = rows[:, near], landmarks[:, near], both[near], alone[near]
+        own = np.zeros(rows.shape, dtype=bool)
+        for letter in landmarks:
+            own |= rows == letter
+        itself = kernel([(rows == c) & own & mine for c, mine in zip(rows, own)])
+        out[near] = (both / np.sqrt(np.maximum(itself, 1e-12) * alone)) ** 3 * np.minimum(both / alone, 1)
+    return out
 
 
 @dataclass
@@ -131,23 +138,35 @@ class Landmarks:
     words: list[bytes]
 
     def __post_init__(self):
-        rows = matrix(self.words)
-        self.bits = letter_bits(rows)
+        self.rows = matrix(self.words)
+        self.sizes = (self.rows != 0).sum(axis=1)
+        self.bits = letter_bits(self.rows)
         self.least = np.maximum(np.ceil(SHARE * np.bitwise_count(self.bits)), ORDER)
-        near = np.array([closeness(rows, w) for w in self.words])
+        self.alone = np.array([self._alone(k) for k in range(len(self.words))])
+        near = self.closeness(self.words)
         values, vectors = np.linalg.eigh((near + near.T) / 2)
         self.basis = vectors / np.sqrt(np.maximum(values, 1e-2))
 
+    def _alone(self, k: int) -> float:
+        own = self.rows[k, : self.sizes[k], None]
+        return kernel([own == c for c in own])[0]
+
     def closeness(self, strings: list[bytes]) -> np.ndarray:
         """Kernel of each string with each landmark; 1 for the landmark."""
         rows = matrix(strings)
-        bits = letter_bits(rows)
+        bits, sizes = letter_bits(rows), (rows != 0).sum(axis=1)
         out = np.zeros((len(rows), len(self.words)))
-        for k, word in enumerate(self.words):
-            near = np.flatnonzero(np.bitwise_count(bits & self.bits[k]) >= self.least[k])
-            for part in np.array_split(near, len(near) // 2048 + 1):
-                if len(part):
-                    out[part, k] = closeness(rows[part], word)
+        for size in np.unique(self.sizes):
+            # Pairs with landmarks of one size, strings of like size together.
+            marks = np.flatnonzero(self.sizes == size)
+            near = [np.flatnonzero(np.bitwise_count(bits & self.bits[k]) >= self.least[k]) for k in marks]
+            string, mark = np.concatenate(near), np.repeat(marks, [len(x) for x in near])
+            order = np.argsort(sizes[string], kind="stable")
+            string, mark = string[order], mark[order]
+            for at in range(0, len(string), CHUNK):
+                own, k = string[at : at + CHUNK], mark[at : at + CHUNK]
+                width = int(sizes[own].max())
+                out[own, k] = closeness(rows[own, :width].T, self.rows[k, :size].T, self.alone[k])
         return out
 
     def features(self, near: np.ndarray) -> np.ndarray:
@@ -155,41 +174,39 @@ class Landmarks:
         return near @ self.basis
 
 
-class Witness:
-    """The unit of a text closest to any landmark."""
+class Profile:
+    """How close a text comes to each landmark, by its closest unit."""
 
     def __init__(self, landmarks: Landmarks):
         self.landmarks = landmarks
-        self.near: dict[bytes, float] = {}
-        self.rows: dict[bytes, np.ndarray] = {}
+        self.known: set[bytes] = set()
+        self.near: dict[bytes, np.ndarray] = {}
 
     def of(self, texts: list[bytes]) -> np.ndarray:
-        """Closeness of the witnesses, a row for each text."""
-        if len(self.near) > CACHE_UNITS:
+        """Closeness to the landmarks, a row for each text."""
+        if len(self.known) > CACHE_UNITS:
+            self.known.clear()
             self.near.clear()
-            self.rows.clear()
-        every = [units(t) for t in texts]
-        new = sorted(set().union(*every).difference(self.near))
+        every = [set(units(t)) for t in texts]
+        new = sorted(set().union(*every).difference(self.known))
         for at in range(0, len(new), 1 << 16):
             part = new[at : at + (1 << 16)]
-            near = self.landmarks.closeness(part)
-            best = near.max(axis=1)
-            self.near.update(zip(part, best.tolist()))
-            self.rows.update((part[k], near[k]) for k in np.flatnonzero(best))
-        out = np.zeros((len(texts), len(self.landmarks.words)))
+            rows = self.landmarks.closeness(part)
+            self.near.update((part[k], rows[k].copy()) for k in np.flatnonzero(rows.any(axis=1)))
+        self.known.update(new)
+        out, near = np.zeros((len(texts), len(self.landmarks.words))), set(self.near)
         for k, own in enumerate(every):
-            first = max(own, key=self.near.__getitem__, default=None)
-            if first in self.rows:
-                out[k] = self.rows[first]
+            for unit in own & near:
+                np.maximum(out[k], self.near[unit], out=out[k])
         return out
 
 
 # --- fitting ------------------------------------------------------------------------
 
 
-def find_landmarks(sample: DataFrame, most: int) -> Landmarks:
-    """The words that toxic texts hold more often than others do, down to a
-    quarter of the greatest difference."""
+def find_landmarks(sample: DataFrame, most: int) -> Landmarks | None:
+    """The words that toxic texts hold far more often than others do, beyond
+    chance."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, Counter] = {0: Counter(), 1: Counter()}
@@ -197,19 +214,33 @@ def find_landmarks(sample: DataFrame, most: int) -> Landmarks:
             for label, text in zip(batch.column("label").to_pylist(), raw(batch.column("text"))):
                 words = {LETTERS.sub(b"", w) for w in text.lower().split()}
                 held[label].update(w for w in words if ORDER <= len(w) <= WIDTH)
-        rows = [(label, w.decode(), n) for label, own in held.items() for w, n in own.items()]
+        rows = [(label, w, n) for label, own in held.items() for w, n in own.items()]
         names = ("label", "word", "n")
-        kinds = (pa.int32(), pa.string(), pa.int64())
+        kinds = (pa.int32(), pa.binary(), pa.int64())
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], list(names)
         )
 
+    # Copies of a text count once: texts of one label with the same smallest
+    # hash of three words.
+    split = sample.withColumn("words", F.split(F.lower("text"), r"\s+"))
+    hashes = F.transform("words", lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2)))
+    sample = split.withColumn("same", F.array_min(hashes)).dropDuplicates(["label", "same"])
+
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-    rate = [F.sum(F.when(F.col("label") == k, F.col("n")).otherwise(0)) / max(sizes.get(k, 0), 1) for k in (0, 1)]
-    counts = sample.select("label", "text").mapInArrow(run, "label int, word string, n bigint")
-    ranked = counts.groupBy("word").agg((rate[1] - rate[0]).alias("lead")).orderBy(F.desc("lead"), "word").limit(most)
-    top = [(r["word"].encode(), r["lead"]) for r in ranked.collect()]
-    return Landmarks([w for w, lead in top if lead > 0 and lead >= 0.25 * top[0][1]])
+    counts = sample.select("label", "text").mapInArrow(run, "label int, word binary, n bigint")
+    held = [F.sum(F.when(F.col("label") == k, F.col("n")).otherwise(0)) for k in (0, 1)]
+    plain, toxic = (held[k] / sizes[k] for k in (0, 1))
+    pooled = (held[0] + held[1]) / sum(sizes.values())
+    spread = F.sqrt(pooled * (1 - pooled) * (1 / sizes[0] + 1 / sizes[1]))
+    ranked = (
+        counts.groupBy("word").agg(toxic.alias("toxic"), plain.alias("plain"), spread.alias("spread"))
+        .withColumn("lead", F.col("toxic") - F.col("plain"))
+        .where(f"plain <= {ODDS} * toxic and lead >= {SURE} * spread")
+        .orderBy(F.desc("lead"), "word").limit(most)
+    )
+    words = [bytes(r["word"]) for r in ranked.collect()]
+    return Landmarks(words) if words else None
 
 
 @dataclass
@@ -232,13 +263,13 @@ def fit(documents: DataFrame, labels: DataFrame, *, folds: int, held: int, sampl
     if not (counts.get(0) and counts.get(1)):
         return Model(None, np.zeros(1), np.array([0.0, rate]))
     found = find_landmarks(rows, landmarks)
-    if not found.words:
+    if not found:
         return Model(None, np.zeros(1), np.array([0.0, rate]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        witness = Witness(found)
-        for batch in batches:
-            x = witness.of(raw(batch.column("text")))
+        profile = Profile(found)
+        for batch in slices(batches, size=SLICE_BYTES):
+            x = profile.of(raw(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(list(x))], ["label", "x"])
 
     seen = rows.mapInArrow(run, "label int, x array<double>").collect()
@@ -260,10 +291,10 @@ def toxicity(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: Model = model()
-        witness = Witness(own.landmarks) if own.landmarks else None
-        for batch in batches:
+        profile = Profile(own.landmarks) if own.landmarks else None
+        for batch in slices(batches, size=SLICE_BYTES):
             texts = raw(batch.column("text"))
-            closeness = witness.of(texts) if witness else np.zeros((len(texts), 1))
+            closeness = profile.of(texts) if profile else np.zeros((len(texts), 1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(own.score(closeness))], ["doc_id", "score"]
             )
