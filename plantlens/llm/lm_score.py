@@ -209,12 +209,19 @@ def _count_grams(heavy_: Callable, block_bits: int):
     return run
 
 
-def positions(grams: np.ndarray, level: np.ndarray | int, probe: int, size: np.ndarray | int) -> np.ndarray:
-    """Bit of a block that the entry (n-gram, level) sets by its probe."""
-    with np.errstate(over="ignore"):
-        entry = mixed(grams + np.uint64(0x9E3779B97F4A7C15) * np.asarray(level, np.uint64))
-        step = mixed(entry) | np.uint64(1)
-        return (entry + step * np.uint64(probe)) % np.asarray(size, np.uint64)
+class Entries:
+    """Bits of a block that the entries (n-gram, level) set, by probe."""
+
+    def __init__(self, grams: np.ndarray, level: int):
+        self.first = mixed(grams + np.uint64(0x9E3779B97F4A7C15 * level % 2**64))
+        self.step = mixed(self.first) | np.uint64(1)
+
+    def place(self, probe: int, size: np.ndarray | np.uint64) -> np.ndarray:
+        """The bit of each entry in a block of ``size`` bits (below 2**32)."""
+        return (((self.first + self.step * np.uint64(probe)) >> np.uint64(32)) * size) >> np.uint64(32)
+
+    def keep(self, chosen: np.ndarray) -> None:
+        self.first, self.step = self.first[chosen], self.step[chosen]
 
 
 def _build(bits_at_most: int):
@@ -231,13 +238,13 @@ def _build(bits_at_most: int):
         grams, counts, classes = grams[first], np.add.reduceat(counts, first), classes[first]
         levels = np.frexp(counts.astype(float))[1]
         entries = int(levels.sum())
-        size = max(64, min(ENTRY_BITS * entries, bits_at_most))
+        size = max(64, min(ENTRY_BITS * entries, bits_at_most, 2**32 - 1))
         probes = max(1, round(size / entries * np.log(2)))
         bits = np.zeros(size, dtype=bool)
         for level in range(1, int(levels.max()) + 1):
-            own = grams[levels >= level]
+            own = Entries(grams[levels >= level], level)
             for probe in range(probes):
-                bits[positions(own, level, probe, size)] = True
+                bits[own.place(probe, np.uint64(size))] = True
         pairs = classes < CLASSES
         every = np.bincount(classes[pairs], counts[pairs], CLASSES).astype(np.int64)
         once = np.bincount(classes[pairs & (counts == 1)], minlength=CLASSES).astype(np.int64)
@@ -264,16 +271,21 @@ class Filter:
     def counts(self, grams: np.ndarray) -> np.ndarray:
         """Estimated count of each n-gram: the middle of its class."""
         block = (grams >> np.uint64(64 - self.block_bits)).astype(np.int64)
-        offset, size, probes = self.offset[block], self.size[block], self.probes[block]
         levels = np.zeros(len(grams), np.int64)
-        live = np.flatnonzero(size > 0)
+        live = np.flatnonzero(self.size[block] > 0)
+        offset, size, probes = (x[block[live]] for x in (self.offset, self.size.astype(np.uint64), self.probes))
         level = 0
         while len(live) and level < 63:
             level += 1
-            for probe in range(int(probes[live].max())):
-                place = positions(grams[live], level, probe, size[live]).astype(np.int64)
-                held = (self.bits[offset[live] + (place >> 3)] >> (place & 7).astype(np.uint8)) & 1
-                live = live[(held > 0) | (probe >= probes[live])]
+            entries = Entries(grams[live], level)
+            for probe in range(int(probes.max())):
+                place = entries.place(probe, size)
+                byte = self.bits[offset + (place >> np.uint64(3)).astype(np.int64)]
+                held = (byte >> (place & np.uint64(7)).astype(np.uint8)) & 1
+                stay = np.flatnonzero((held > 0) | (probe >= probes))
+                if len(stay) < len(live):
+                    live, offset, size, probes = live[stay], offset[stay], size[stay], probes[stay]
+                    entries.keep(stay)
                 if not len(live):
                     break
             levels[live] = level
@@ -328,7 +340,8 @@ def _score(heavy_: Callable, filter_: Callable):
             estimate = np.concatenate([estimate, own_filter.counts(mixed(new))])
 
             context = contexts(tokens, starts, words.number[END] if len(tokens) else 0)
-            joint = own_filter.counts(pair(words.hashes[context], words.hashes[tokens]))
+            pairs, place = np.unique(pair(words.hashes[context], words.hashes[tokens]), return_inverse=True)
+            joint = own_filter.counts(pairs)[place]
             known = np.maximum(estimate[context], joint)
             weight = np.where(known > 0, weights[kind[context]], 0)
             alone = np.minimum((estimate[tokens] + 0.5) / space, 1)
