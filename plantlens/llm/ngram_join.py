@@ -37,13 +37,16 @@ from pyspark.sql import functions as F
 
 from plantlens.llm.common import shipped, written
 from plantlens.llm.components import components
-from plantlens.llm.text import raw
+from plantlens.llm.id_filter import id_filter, passing, places
+from plantlens.llm.text import raw, slices
 
 BUCKET_BITS = 21
 BUCKETS = 1 << BUCKET_BITS
 BLOCK = 1 << 14
 FRAGMENTS = 8
 CACHE_WORDS = 300_000
+SMALL = 16  # members of a group whose pairs need no further filter
+FIRST = 3
 NO_ID = 2**63 - 1
 
 
@@ -87,7 +90,7 @@ def bucket(grams: np.ndarray) -> np.ndarray:
 def _sketch(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, total = Grams(n), np.zeros(BUCKETS, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             sets = [grams.of(t) for t in raw(batch.column("text"))]
             if sets:
                 total += np.bincount(bucket(np.concatenate(sets)), minlength=BUCKETS)
@@ -146,38 +149,53 @@ class Order:
 # --- sets, leading n-grams and segments ---------------------------------------------
 
 
-def _sets(order_, n: int, percent: int):
-    """Per document: set key, size and the leading n-grams."""
+def _keys(n: int):
+    """Per document: set key and size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order, grams = order_(), Grams(n)
-        for batch in batches:
-            keys, sizes, lead = [], [], []
+        grams = Grams(n)
+        for batch in slices(batches):
+            own = [grams.of(text) for text in raw(batch.column("text"))]
+            keys = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x.tobytes()) for x in own), "<i8").reshape(-1, 2)
+            sizes = pa.array([len(x) for x in own], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc"), pa.array(keys[:, 0]), pa.array(keys[:, 1]), sizes], ["doc", "k1", "k2", "n"]
+            )
+
+    return run
+
+
+def _leads(order_, wanted_, n: int, percent: int):
+    """Per document that passes the filter of wanted ids: set size and the
+    leading n-grams."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order, grams, wanted = order_(), Grams(n), wanted_()
+        for batch in slices(batches):
+            batch = batch.filter(pa.array(passing(wanted, batch.column("places"))))
+            sizes, lead = [], []
             for text in raw(batch.column("text")):
                 own = grams.of(text)
-                keys.append(xxhash.xxh3_128_digest(own.tobytes()))
                 sizes.append(len(own))
                 lead.append(order.sort(own)[0][: len(own) - -(-percent * len(own) // 100) + 1])
-            pairs = np.frombuffer(b"".join(keys), "<i8").reshape(-1, 2)
             flat = np.concatenate([*lead, np.empty(0, np.uint64)]).view(np.int64)
-            offsets = np.cumsum([0] + [len(x) for x in lead])
+            offsets = pa.array(np.cumsum([0] + [len(x) for x in lead]), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc"), pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(sizes, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
-                ],
-                ["doc", "k1", "k2", "n", "lead"],
+                [batch.column("doc"), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(flat))],
+                ["doc", "n", "lead"],
             )
 
     return run
 
 
-def _segments(order_, n: int):
-    """Per document and fragment: its n-grams there."""
+def _segments(order_, wanted_, n: int):
+    """Per document that passes the filter of wanted ids, and fragment: its
+    n-grams there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order, grams = order_(), Grams(n)
-        for batch in batches:
+        order, grams, wanted = order_(), Grams(n), wanted_()
+        for batch in slices(batches):
+            batch = batch.filter(pa.array(passing(wanted, batch.column("places"))))
             docs, fragments, parts = [], [], []
             for doc, text in zip(batch.column("doc").to_pylist(), raw(batch.column("text"))):
                 own, ranks = order.sort(grams.of(text))
@@ -207,28 +225,71 @@ def _linked(overlap: Column, percent: int) -> Column:
     return 100 * overlap >= percent * (F.col("na") + F.col("nb") - overlap)
 
 
-def _candidates(pairs: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs that pass the length filter and the position filter:
-    nothing before the first common n-gram can be common."""
-    first = pairs.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).groupBy("a", "b", "na", "nb").agg(
-        F.min("pa").alias("pa"), F.min("pb").alias("pb")
-    )
-    most = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    return first.where(_linked(most, percent)).select("a", "b", "na", "nb")
+def _possible(percent: int) -> Column:
+    """Whether a pair that shares an n-gram at positions pa and pb can link:
+    by length, and by what can be common before and after the n-gram."""
+    length = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    around = F.least("pa", "pb") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    return length & _linked(around, percent)
+
+
+def _after_lead(n: Column, percent: int) -> Column:
+    """The n-grams after the leading ones."""
+    return F.ceil(percent * n / 100) - 1
+
+
+def _rest_pairs(rest: DataFrame, percent: int, lists: bool) -> DataFrame:
+    """Pairs (a, b, na, nb) of group members in different components that
+    may link. Without ``lists`` there is a row per shared leading n-gram.
+    With them (columns of ``_listed``) only pairs that have enough leading
+    n-grams in common, and only in the first FIRST of the large groups that
+    they share: not just the first, as digests of other n-grams may
+    coincide."""
+    more = ("digests", "large", "at", "lost") if lists else ()
+    names = {"doc": "", "n": "n", "pos": "p", "label": "label", **{c: c for c in more}}
+    x, y = (rest.select("gram", *(F.col(c).alias(short + end) for c, short in names.items())) for end in "ab")
+    may = (F.col("a") < F.col("b")) & (F.col("labela") != F.col("labelb")) & _possible(percent)
+    if lists:
+        earlier = F.array_intersect(*(F.slice(f"large{e}", 1, F.col(f"at{e}") - 1) for e in "ab"))
+        common = F.size(F.array_intersect("digestsa", "digestsb")) + F.col("losta") + F.col("lostb")
+        after = F.greatest(_after_lead(F.col("na"), percent), _after_lead(F.col("nb"), percent))
+        may &= (F.size(earlier) < FIRST) & _linked(common + after, percent)
+    return x.join(y, "gram").where(may).select("a", "b", "na", "nb")
+
+
+def _digest(gram: Column) -> Column:
+    return gram.bitwiseAND(0x7FFFFFFF).cast("int")
+
+
+def _listed(rest: DataFrame) -> DataFrame:
+    """The rows of large groups, with the digests of all the document's
+    n-grams in ``rest``, of those in large groups, the place of this one
+    among them, and how many digests coincide."""
+    own = rest.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("pos", "gram", "members"))).alias("own"))
+    lists = own.select(
+        "doc",
+        F.transform("own", lambda s: _digest(s["gram"])).alias("digests"),
+        F.transform(F.filter("own", lambda s: s["members"] > SMALL), lambda s: _digest(s["gram"])).alias("large"),
+    ).withColumn("lost", F.size("digests") - F.size(F.array_distinct("digests")))
+    rows = rest.where(F.col("members") > SMALL).join(lists, "doc")
+    return rows.withColumn("at", F.array_position("large", _digest(F.col("gram"))).cast("int"))
 
 
 def _links(docs: DataFrame, order_, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The candidate pairs that link: overlaps per fragment, summed."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-    texts = docs.join(wanted, "doc", "left_semi").select("doc", "text")
+    """The candidate pairs that link: overlaps per fragment, summed. The
+    texts are not shuffled: a filter of the pairs' ids picks them."""
+    wanted = shipped(docs.sparkSession, id_filter(pairs.select(F.explode(F.array("a", "b")).alias("doc")), "doc"))
     segments = written(
-        texts.mapInArrow(_segments(order_, n), "doc bigint, fragment int, grams array<bigint>"), "segments"
+        docs.select("doc", "text", places("doc").alias("places"))
+        .mapInArrow(_segments(order_, wanted, n), "doc bigint, fragment int, grams array<bigint>"), "segments",
     )
     left = segments.withColumnsRenamed({"doc": "a", "grams": "ga"})
     right = segments.withColumnsRenamed({"doc": "b", "grams": "gb"})
     counted = (
         pairs.join(left, "a").join(right, ["b", "fragment"])
-        .select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).alias("common"))
+        .select("a", "b", "na", "nb", "fragment", F.size(F.array_intersect("ga", "gb")).alias("common"))
+        # Repeated rows of a document have its segments again.
+        .groupBy("a", "b", "na", "nb", "fragment").agg(F.max("common").alias("common"))
         .groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("common"))
     )
     return written(counted.where(_linked(F.col("common"), percent)).select("a", "b"), "links")
@@ -246,41 +307,51 @@ def ngram_join(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("doc"), F.col(text_col).alias("text")
     )
     order = shipped(spark, Order.over(docs, n, fragments))
-    sets = written(
-        docs.mapInArrow(_sets(order, n, percent), "doc bigint, k1 bigint, k2 bigint, n bigint, lead array<bigint>"),
-        "gram-sets",
+    sets = written(docs.mapInArrow(_keys(n), "doc bigint, k1 bigint, k2 bigint, n bigint"), "gram-sets")
+    classes = written(sets.where("n > 0").groupBy("k1", "k2").agg(F.min("doc").alias("doc")), "gram-classes")
+
+    # Leading n-grams of one document of each class, and of a few more that
+    # the filter of ids lets pass.
+    wanted = shipped(spark, id_filter(classes, "doc"))
+    leads = docs.select("doc", "text", places("doc").alias("places")).mapInArrow(
+        _leads(order, wanted, n, percent), "doc bigint, n bigint, lead array<bigint>"
     )
-    classes = written(
-        sets.where("n > 0").groupBy("k1", "k2")
-        .agg(F.min("doc").alias("doc"), F.min_by(F.struct("n", "lead"), "doc").alias("own"))
-        .select("k1", "k2", "doc", "own.n", "own.lead"),
-        "gram-classes",
-    )
-    lead = classes.select("doc", "n", F.posexplode("lead").alias("pos", "gram"))
+    lead = written(leads.select("doc", "n", F.posexplode("lead").alias("pos", "gram")), "gram-lead")
     heads = lead.groupBy("gram").agg(F.min("doc").alias("head"), F.count("*").alias("members")).where("members > 1")
-    groups = written(lead.join(heads.select("gram", "head"), "gram"), "gram-groups")
+    groups = written(lead.join(heads, "gram"), "gram-groups")
 
     # Every member against the smallest of its group.
-    member = groups.where("doc <> head").select("gram", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("head").alias("a"))
+    member = groups.where("doc <> head").select(
+        "gram", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("head").alias("a")
+    )
     head = groups.where("doc = head").select("gram", F.col("n").alias("na"), F.col("pos").alias("pa"))
-    stars = written(_candidates(member.join(head, "gram"), percent), "gram-pairs")
+    stars = written(
+        member.join(head, "gram").where(_possible(percent)).select("a", "b", "na", "nb").distinct(), "gram-pairs"
+    )
     links = _links(docs, order, stars, n, percent)
     labels = components(links)
 
-    # Members of one group that are still in different components.
-    placed = groups.join(labels, groups.doc == labels.node, "left").select(
-        "gram", "doc", "n", "pos", F.coalesce("label", "doc").alias("label")
+    # Members of one group, but its head, that are still in different
+    # components.
+    placed = groups.where("doc <> head and members > 2").join(labels, groups.doc == labels.node, "left").select(
+        "gram", "doc", "n", "pos", "members", F.coalesce("label", "doc").alias("label")
     )
     mixed = placed.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     rest = written(placed.join(mixed.select("gram"), "gram"), "gram-rest")
-    x = rest.select("gram", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("label").alias("la"))
-    y = rest.select("gram", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("label").alias("lb"))
-    near = (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & (
-        100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    # A pair shares ``common`` leading n-grams (all of them in these groups,
+    # if none is in a large one); of two documents the one whose leading
+    # n-grams end earlier in the global order can share beyond them only its
+    # n-grams after them.
+    after = F.greatest(_after_lead(F.col("na"), percent), _after_lead(F.col("nb"), percent))
+    small = (
+        _rest_pairs(rest.where(F.col("members") <= SMALL), percent, False)
+        .groupBy("a", "b", "na", "nb").agg(F.count("*").alias("common"))
+        .where(_linked(F.col("common") + after, percent)).drop("common")
     )
     pairs = written(
-        _candidates(x.join(y, "gram").where(near), percent).join(stars.select("a", "b"), ["a", "b"], "left_anti"),
-        "gram-pairs",
+        small.unionByName(_rest_pairs(_listed(rest), percent, True)).distinct()
+        .join(stars.select("a", "b"), ["a", "b"], "left_anti"),
+        "gram-more",
     )
     if not pairs.isEmpty():
         more = _links(docs, order, pairs, n, percent)
@@ -289,7 +360,7 @@ def ngram_join(
     reached = classes.select("k1", "k2", F.col("doc").alias("head")).join(
         labels, F.col("head") == F.col("node"), "left"
     ).select("k1", "k2", "head", F.coalesce("label", "head").alias("label"))
-    own = sets.select("doc", "k1", "k2", "n").join(reached, ["k1", "k2"], "left")
+    own = sets.join(reached, ["k1", "k2"], "left")
     return own.select(
         _id(F.col("doc")).alias("doc_id"),
         F.col("n").alias("n_shingles"),
