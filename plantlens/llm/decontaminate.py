@@ -135,9 +135,9 @@ def _long(windows: Windows, shard_words: int, words: list[bytes]):
         yield from shard.search()
 
 
-def _scan(windows_, shard_words: int, cutting: bool):
-    """Batches of (row, text, spans, items): spans and items gain what the
-    broadcast windows hit, or the text loses it."""
+def _scan(windows_, shard_words: int):
+    """Batches of (row, text, n_words, spans, items): spans and items gain
+    what the broadcast windows hit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows: Windows = windows_()
@@ -145,15 +145,6 @@ def _scan(windows_, shard_words: int, cutting: bool):
 
         def out(part: pa.RecordBatch, hits) -> pa.RecordBatch:
             spans, names = _found(windows, part.num_rows, hits)
-            if cutting:
-                texts = part.column("text")
-                if any(spans):
-                    cuts = [
-                        t if t is None or not s else cut(t, s)
-                        for t, s in zip(texts.cast(pa.binary()).to_pylist(), spans)
-                    ]
-                    texts = pa.array(cuts, pa.binary()).cast(pa.string())
-                return pa.RecordBatch.from_arrays([part.column("row"), texts], ["row", "text"])
             for d, (before, items) in enumerate(zip(part.column("spans").to_pylist(), part.column("items").to_pylist())):
                 if before:
                     every = [(s["start"], s["end"]) for s in before] + spans[d]
@@ -205,6 +196,19 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, text[at:]])
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, text) without the words of the spans."""
+    for batch in batches:
+        texts, spans = batch.column("text"), batch.column("spans").to_pylist()
+        if any(spans):
+            cuts = [
+                t if t is None or not s else cut(t, [(x["start"], x["end"]) for x in s])
+                for t, s in zip(texts.cast(pa.binary()).to_pylist(), spans)
+            ]
+            texts = pa.array(cuts, pa.binary()).cast(pa.string())
+        yield pa.RecordBatch.from_arrays([batch.column("row"), texts], ["row", "text"])
+
+
 def _blocks(benchmark: DataFrame, item: str, text: str, limit: int) -> Iterator[list[tuple[str, bytes]]]:
     """Benchmark items in blocks of a bounded number of words."""
     rows = benchmark.select(
@@ -221,6 +225,22 @@ def _blocks(benchmark: DataFrame, item: str, text: str, limit: int) -> Iterator[
     yield block
 
 
+def _scanned(
+    documents: DataFrame, benchmark: DataFrame, item_col: str, text_col: str, window: int, shard_words: int,
+    block_words: int,
+) -> DataFrame:
+    """(row, text, n_words, spans, items) of ``documents`` (row, text), over
+    all blocks of the benchmark."""
+    found = documents.select(
+        "row", "text", F.lit(0).cast("bigint").alias("n_words"), F.lit(None).cast(SPANS).alias("spans"),
+        F.array().cast("array<string>").alias("items"),
+    )
+    for block in _blocks(benchmark, item_col, text_col, block_words):
+        windows = shipped(documents.sparkSession, Windows(block, window))
+        found = found.mapInArrow(_scan(windows, shard_words), found.schema)
+    return found
+
+
 def contamination(
     documents: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", window: int = WINDOW, shard_words: int = SHARD_WORDS,
@@ -228,15 +248,8 @@ def contamination(
 ) -> DataFrame:
     """Per document: doc_id, n_words, spans (merged [start, end) word
     positions inside occurring windows) and items (their ids, sorted)."""
-    spark = documents.sparkSession
-    found = documents.select(
-        F.struct(F.col(id_col).alias("doc_id")).alias("row"), F.col(text_col).alias("text"),
-        F.lit(0).cast("bigint").alias("n_words"), F.lit(None).cast(SPANS).alias("spans"),
-        F.array().cast("array<string>").alias("items"),
-    )
-    for block in _blocks(benchmark, item_col, text_col, block_words):
-        windows = shipped(spark, Windows(block, window))
-        found = found.mapInArrow(_scan(windows, shard_words, False), found.schema)
+    rows = documents.select(F.struct(F.col(id_col).alias("doc_id")).alias("row"), F.col(text_col).alias("text"))
+    found = _scanned(rows, benchmark, item_col, text_col, window, shard_words, block_words)
     return found.select("row.doc_id", "n_words", "spans", "items")
 
 
@@ -257,12 +270,11 @@ def decontaminate(
     documents: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id",
     window: int = WINDOW, shard_words: int = SHARD_WORDS, block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """``documents`` with the removal spans cut out of their texts; no
-    document is dropped. A column n_chars follows its text."""
-    spark = documents.sparkSession
+    """``documents`` with the removal spans of all blocks cut out of their
+    texts at once; no document is dropped. A column n_chars follows its
+    text."""
     rest = [F.col(f"`{c}`") for c in documents.columns if c != text_col]
-    clean = documents.select(F.struct(*(rest or [F.lit(0)])).alias("row"), F.col(text_col).alias("text"))
-    for block in _blocks(benchmark, item_col, text_col, block_words):
-        windows = shipped(spark, Windows(block, window))
-        clean = clean.mapInArrow(_scan(windows, shard_words, True), clean.schema)
+    rows = documents.select(F.struct(*(rest or [F.lit(0)])).alias("row"), F.col(text_col).alias("text"))
+    found = _scanned(rows, benchmark, item_col, text_col, window, shard_words, block_words)
+    clean = found.select("row", "text", "spans").mapInArrow(_cut, rows.schema)
     return with_text(clean, documents.columns, text_col)

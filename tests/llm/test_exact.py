@@ -167,6 +167,28 @@ def test_cut_texts_hold_what_is_left(documents, benchmark, leaks, options):
         assert r.n_chars == len(r.text) and (want[r.doc_id][1] or r.text == text)
 
 
+@pytest.mark.parametrize("options", [{}, {"block_words": 10}, {"block_words": 20}])
+def test_overlapping_items_of_two_blocks_are_cut_whole(documents, benchmark, options):
+    words = [f"w{k}" for k in range(1, 16)]
+    items = [(1, " ".join(words[:10])), (2, " ".join(words[5:])), (3, "left " * 5 + "right " * 5)]
+    docs = [
+        (1, " ".join(["before", *words, "after"])),
+        # What stands on both sides of a cut is no occurrence of item 3.
+        (2, "left " * 5 + " ".join(words[:10]) + " right" * 5),
+    ]
+    got = {r.doc_id: r.text.split() for r in decontaminate.decontaminate(documents(docs), benchmark(items), **options).collect()}
+    assert got == {1: ["before", "after"], 2: ["left"] * 5 + ["right"] * 5}
+
+
+@pytest.mark.parametrize("options", [{"block_words": 20}, {"shard_words": 25, "block_words": 70}])
+def test_cut_texts_do_not_depend_on_the_blocks(documents, benchmark, leaks, options):
+    docs, items = leaks
+    want = brute.contamination(docs, items)
+    for r in decontaminate.decontaminate(documents(docs), benchmark(items), **options).collect():
+        every = enumerate(brute.item_words(dict(docs)[r.doc_id]))
+        assert brute.item_words(r.text) == [w for k, w in every if k not in want[r.doc_id][1]]
+
+
 # --- personal data ----------------------------------------------------------------------
 
 
