@@ -11,6 +11,10 @@ the order of the buckets is broadcast (8 bytes times ``BUCKETS``). Any order
 gives right results, a good one gives few candidates: documents can only
 link if they share an n-gram among the first n - ceil(t n) + 1 of each.
 
+A node of the join is a document with its set: the id and the first 64 bits
+of the set's key, exclusive or. Rows without an id, or with the same one,
+are one node only if their sets are equal.
+
 Equal sets are one class, joined through its smallest document. A group of
 classes that share a leading n-gram is not paired off: first every member is
 checked against the group's smallest one, then only members that are still
@@ -19,9 +23,10 @@ already connected are not looked for; the components are those of all
 links.
 
 Defined results: null or empty text has an empty set and is its own
-component; rows of one id are one document, each row gets its result; a null
-id sorts after all others and gets component_id null unless it links with an
-id; columns other than the id and the text are not read.
+component; each row gets its result by its own text, rows of one id with
+different texts too; a null id sorts after all others and gets component_id
+null unless it links with an id; columns other than the id and the text are
+not read.
 """
 
 from __future__ import annotations
@@ -34,6 +39,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plantlens.llm.common import shipped, written
 from plantlens.llm.components import components
@@ -48,6 +54,7 @@ CACHE_WORDS = 300_000
 SMALL = 16  # members of a group whose pairs need no further filter
 FIRST = 3
 NO_ID = 2**63 - 1
+KEYS = "doc bigint, k1 bigint, k2 bigint, n bigint"
 
 
 class Grams:
@@ -149,70 +156,89 @@ class Order:
 # --- sets, leading n-grams and segments ---------------------------------------------
 
 
-def _keys(n: int):
-    """Per document: set key and size."""
+def set_keys(sets: list[np.ndarray]) -> np.ndarray:
+    """Two words of 64 bits for each set."""
+    return np.frombuffer(b"".join(xxhash.xxh3_128_digest(x.tobytes()) for x in sets), "<i8").reshape(-1, 2)
+
+
+def _nodes(batch: pa.RecordBatch, sets: list[np.ndarray]) -> pa.Array:
+    return pa.array(set_keys(sets)[:, 0] ^ batch.column("doc").to_numpy())
+
+
+def _again(repeated: np.ndarray, batch: pa.RecordBatch) -> pa.Array:
+    """Whether another row may have the same node: its id is in the filter
+    of repeated ids."""
+    return pa.array(passing(repeated, batch.column("places")))
+
+
+def _keys(n: int, *keep: str):
+    """Per document: set key and size, and the columns to keep."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams(n)
         for batch in slices(batches):
             own = [grams.of(text) for text in raw(batch.column("text"))]
-            keys = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x.tobytes()) for x in own), "<i8").reshape(-1, 2)
+            keys = set_keys(own)
             sizes = pa.array([len(x) for x in own], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array(keys[:, 0]), pa.array(keys[:, 1]), sizes], ["doc", "k1", "k2", "n"]
+                [batch.column("doc"), pa.array(keys[:, 0]), pa.array(keys[:, 1]), sizes, *map(batch.column, keep)],
+                ["doc", "k1", "k2", "n", *keep],
             )
 
     return run
 
 
-def _leads(order_, wanted_, n: int, percent: int):
-    """Per document that passes the filter of wanted ids: set size and the
-    leading n-grams."""
+def _leads(order_, wanted_, repeated_, n: int, percent: int):
+    """Per document that passes the filter of wanted ids: node, set size and
+    the leading n-grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order, grams, wanted = order_(), Grams(n), wanted_()
+        order, grams, wanted, repeated = order_(), Grams(n), wanted_(), repeated_()
         for batch in slices(batches):
             batch = batch.filter(pa.array(passing(wanted, batch.column("places"))))
-            sizes, lead = [], []
-            for text in raw(batch.column("text")):
-                own = grams.of(text)
-                sizes.append(len(own))
-                lead.append(order.sort(own)[0][: len(own) - -(-percent * len(own) // 100) + 1])
+            sets = [grams.of(text) for text in raw(batch.column("text"))]
+            sizes = [len(x) for x in sets]
+            lead = [order.sort(x)[0][: len(x) - -(-percent * len(x) // 100) + 1] for x in sets]
             flat = np.concatenate([*lead, np.empty(0, np.uint64)]).view(np.int64)
             offsets = pa.array(np.cumsum([0] + [len(x) for x in lead]), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(flat))],
-                ["doc", "n", "lead"],
+                [
+                    _nodes(batch, sets), batch.column("doc"), _again(repeated, batch), pa.array(sizes, pa.int64()),
+                    pa.ListArray.from_arrays(offsets, pa.array(flat)),
+                ],
+                ["doc", "id", "again", "n", "lead"],
             )
 
     return run
 
 
-def _segments(order_, wanted_, n: int):
+def _segments(order_, wanted_, repeated_, n: int):
     """Per document that passes the filter of wanted ids, and fragment: its
-    n-grams there."""
+    node and n-grams there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order, grams, wanted = order_(), Grams(n), wanted_()
+        order, grams, wanted, repeated = order_(), Grams(n), wanted_(), repeated_()
         for batch in slices(batches):
             batch = batch.filter(pa.array(passing(wanted, batch.column("places"))))
-            docs, fragments, parts = [], [], []
-            for doc, text in zip(batch.column("doc").to_pylist(), raw(batch.column("text"))):
-                own, ranks = order.sort(grams.of(text))
+            sets = [grams.of(text) for text in raw(batch.column("text"))]
+            docs, again, fragments, parts = [], [], [], []
+            for node, more, own in zip(_nodes(batch, sets).to_pylist(), _again(repeated, batch).to_pylist(), sets):
+                own, ranks = order.sort(own)
                 number = order.fragment(ranks)
                 cuts = np.flatnonzero(np.diff(number)) + 1
                 for part, first in zip(np.split(own, cuts), [0, *cuts] if len(own) else []):
-                    docs.append(doc)
+                    docs.append(node)
+                    again.append(more)
                     fragments.append(int(number[first]))
                     parts.append(part)
             flat = np.concatenate([*parts, np.empty(0, np.uint64)]).view(np.int64)
             offsets = np.cumsum([0] + [len(x) for x in parts])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(docs, pa.int64()), pa.array(fragments, pa.int32()),
+                    pa.array(docs, pa.int64()), pa.array(again, pa.bool_()), pa.array(fragments, pa.int32()),
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
                 ],
-                ["doc", "fragment", "grams"],
+                ["doc", "again", "fragment", "grams"],
             )
 
     return run
@@ -221,6 +247,11 @@ def _segments(order_, wanted_, n: int):
 # --- the join -------------------------------------------------------------------------
 
 
+def _once(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows of the same node once. Only rows of repeated ids are shuffled."""
+    return rows.where("not again").unionByName(rows.where("again").dropDuplicates(list(keys))).drop("again")
+
+
 def _linked(overlap: Column, percent: int) -> Column:
     return 100 * overlap >= percent * (F.col("na") + F.col("nb") - overlap)
 
@@ -275,48 +306,60 @@ def _listed(rest: DataFrame) -> DataFrame:
     return rows.withColumn("at", F.array_position("large", _digest(F.col("gram"))).cast("int"))
 
 
-def _links(docs: DataFrame, order_, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+def _links(docs: DataFrame, order_, repeated_, ids: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
     """The candidate pairs that link: overlaps per fragment, summed. The
-    texts are not shuffled: a filter of the pairs' ids picks them."""
-    wanted = shipped(docs.sparkSession, id_filter(pairs.select(F.explode(F.array("a", "b")).alias("doc")), "doc"))
-    segments = written(
-        docs.select("doc", "text", places("doc").alias("places"))
-        .mapInArrow(_segments(order_, wanted, n), "doc bigint, fragment int, grams array<bigint>"), "segments",
+    texts are not shuffled: a filter of the ids of the pairs' nodes picks
+    them."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+    wanted = shipped(docs.sparkSession, id_filter(ids.join(nodes, "doc", "left_semi").select("id"), "id"))
+    segments = _once(
+        written(
+            docs.select("doc", "text", places("doc").alias("places")).mapInArrow(
+                _segments(order_, wanted, repeated_, n), "doc bigint, again boolean, fragment int, grams array<bigint>"
+            ),
+            "segments",
+        ),
+        "doc", "fragment",
     )
     left = segments.withColumnsRenamed({"doc": "a", "grams": "ga"})
     right = segments.withColumnsRenamed({"doc": "b", "grams": "gb"})
     counted = (
         pairs.join(left, "a").join(right, ["b", "fragment"])
         .select("a", "b", "na", "nb", "fragment", F.size(F.array_intersect("ga", "gb")).alias("common"))
-        # Repeated rows of a document have its segments again.
-        .groupBy("a", "b", "na", "nb", "fragment").agg(F.max("common").alias("common"))
         .groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("common"))
     )
     return written(counted.where(_linked(F.col("common"), percent)).select("a", "b"), "links")
 
 
-def ngram_join(
-    documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 4, percent: int = 85,
-    fragments: int = FRAGMENTS,
-) -> DataFrame:
-    """Per document: doc_id, n_shingles, class_id (smallest document of an
-    equal set) and component_id (smallest document reachable by links of
-    Jaccard similarity >= percent / 100)."""
-    spark = documents.sparkSession
-    docs = documents.select(
-        F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("doc"), F.col(text_col).alias("text")
-    )
+def _docs(documents: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    doc = F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("doc")
+    return documents.select(doc, F.col(text_col).alias("text"), *more)
+
+
+def _classes(docs: DataFrame, n: int, percent: int, fragments: int) -> tuple[DataFrame, DataFrame]:
+    """The documents' sets (doc, k1, k2, n), and the classes of equal sets
+    that are not empty: k1, k2, head (smallest document), first (the class
+    of the component with the smallest document: doc, k1, k2)."""
+    spark = docs.sparkSession
     order = shipped(spark, Order.over(docs, n, fragments))
-    sets = written(docs.mapInArrow(_keys(n), "doc bigint, k1 bigint, k2 bigint, n bigint"), "gram-sets")
-    classes = written(sets.where("n > 0").groupBy("k1", "k2").agg(F.min("doc").alias("doc")), "gram-classes")
+    sets = written(docs.select("doc", "text").mapInArrow(_keys(n), KEYS), "gram-sets")
+    classes = written(
+        sets.where("n > 0").groupBy("k1", "k2").agg(F.min("doc").alias("head"))
+        .withColumn("node", F.col("k1").bitwiseXOR(F.col("head"))), "gram-classes",
+    )
 
     # Leading n-grams of one document of each class, and of a few more that
     # the filter of ids lets pass.
-    wanted = shipped(spark, id_filter(classes, "doc"))
-    leads = docs.select("doc", "text", places("doc").alias("places")).mapInArrow(
-        _leads(order, wanted, n, percent), "doc bigint, n bigint, lead array<bigint>"
+    wanted = shipped(spark, id_filter(classes, "head"))
+    repeated = shipped(spark, id_filter(sets.groupBy("doc").count().where("count > 1"), "doc"))
+    leads = written(
+        docs.select("doc", "text", places("doc").alias("places")).mapInArrow(
+            _leads(order, wanted, repeated, n, percent), "doc bigint, id bigint, again boolean, n bigint, lead array<bigint>"
+        ),
+        "gram-lead",
     )
-    lead = written(leads.select("doc", "n", F.posexplode("lead").alias("pos", "gram")), "gram-lead")
+    ids = leads.select("doc", "id")
+    lead = _once(leads, "doc").select("doc", "n", F.posexplode("lead").alias("pos", "gram"))
     heads = lead.groupBy("gram").agg(F.min("doc").alias("head"), F.count("*").alias("members")).where("members > 1")
     groups = written(lead.join(heads, "gram"), "gram-groups")
 
@@ -328,7 +371,7 @@ def ngram_join(
     stars = written(
         member.join(head, "gram").where(_possible(percent)).select("a", "b", "na", "nb").distinct(), "gram-pairs"
     )
-    links = _links(docs, order, stars, n, percent)
+    links = _links(docs, order, repeated, ids, stars, n, percent)
     labels = components(links)
 
     # Members of one group, but its head, that are still in different
@@ -354,18 +397,31 @@ def ngram_join(
         "gram-more",
     )
     if not pairs.isEmpty():
-        more = _links(docs, order, pairs, n, percent)
+        more = _links(docs, order, repeated, ids, pairs, n, percent)
         labels = components(links.unionByName(more))
 
-    reached = classes.select("k1", "k2", F.col("doc").alias("head")).join(
-        labels, F.col("head") == F.col("node"), "left"
-    ).select("k1", "k2", "head", F.coalesce("label", "head").alias("label"))
-    own = sets.join(reached, ["k1", "k2"], "left")
-    return own.select(
+    # The label is the smallest node, which says nothing of the ids.
+    placed = written(classes.join(labels, "node", "left").select("k1", "k2", "head", "label"), "gram-placed")
+    linked = placed.where("label is not null")
+    own = F.struct(F.col("head").alias("doc"), "k1", "k2")
+    smallest = linked.groupBy("label").agg(F.min(own).alias("first"))
+    alone = placed.where("label is null").select("k1", "k2", "head", own.alias("first"))
+    return sets, alone.unionByName(linked.join(smallest, "label").select("k1", "k2", "head", "first"))
+
+
+def ngram_join(
+    documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 4, percent: int = 85,
+    fragments: int = FRAGMENTS,
+) -> DataFrame:
+    """Per document: doc_id, n_shingles, class_id (smallest document of an
+    equal set) and component_id (smallest document reachable by links of
+    Jaccard similarity >= percent / 100)."""
+    sets, classes = _classes(_docs(documents, id_col, text_col), n, percent, fragments)
+    return sets.join(classes, ["k1", "k2"], "left").select(
         _id(F.col("doc")).alias("doc_id"),
         F.col("n").alias("n_shingles"),
         _id(F.coalesce("head", "doc")).alias("class_id"),
-        _id(F.coalesce("label", "doc")).alias("component_id"),
+        _id(F.coalesce("first.doc", "doc")).alias("component_id"),
     )
 
 
@@ -373,10 +429,20 @@ def _id(doc: Column) -> Column:
     return F.when(doc != NO_ID, doc)
 
 
-def one_of_each(documents: DataFrame, **options) -> DataFrame:
-    """``documents`` without near duplicates: the smallest id of each
-    component stays, in one row."""
-    found = ngram_join(documents, **options)
-    stays = found.where("component_id is null or doc_id = component_id").select("doc_id").distinct()
-    kept = documents.alias("d").join(stays.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+def one_of_each(documents: DataFrame, *, n: int = 4, percent: int = 85, fragments: int = FRAGMENTS) -> DataFrame:
+    """``documents`` without near duplicates: of each component a row with
+    its smallest id stays. Of rows with an empty set, one of each id stays,
+    and all without an id."""
+    rest = [F.col(f"`{c}`") for c in documents.columns if c != "text"]
+    docs = _docs(documents, "doc_id", "text", F.struct(*rest).alias("row"))
+    sets, classes = _classes(docs, n, percent, fragments)
+    schema = T.StructType.fromDDL(KEYS)
+    for field in docs.select("row", "text").schema:
+        schema = schema.add(field)
+    run = _keys(n, "row", "text")
+    empty = sets.where((F.col("n") == 0) & (F.col("doc") != NO_ID)).select("doc", "k1", "k2").distinct()
+    # Each component's row, and one of each id with an empty set.
+    stays = classes.select("first.*").distinct().unionByName(empty)
+    kept = docs.mapInArrow(run, schema).join(stays, ["doc", "k1", "k2"], "left_semi").dropDuplicates(["doc", "k1", "k2"])
+    every = kept.unionByName(docs.where(F.col("doc") == NO_ID).mapInArrow(run, schema).where("n = 0"))
+    return every.select(*(F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in documents.columns))

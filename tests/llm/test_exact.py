@@ -107,6 +107,39 @@ def test_one_of_each(documents, copies):
     assert kept == {c for _, c in brute.components(copies, 5, 80).values()}
 
 
+@pytest.fixture(scope="module")
+def unnumbered():
+    """Rows without an id and with repeated ids, by name: (id, text)."""
+    draw = random.Random(12)
+    texts = {k: prose(draw, 60) for k in ("five", "nine", "clean", "other", "first", "second")}
+    near = {k: texts[k] + " end" for k in ("five", "nine")}
+    rows = [
+        (5, texts["five"]), (9, texts["nine"]), (None, near["five"]), (None, near["nine"]),
+        (None, texts["clean"]), (None, texts["clean"]), (None, texts["other"]),
+        (20, texts["first"]), (20, texts["second"]), (20, texts["first"]), (30, ""), (30, ""), (None, ""), (None, None),
+    ]
+    return texts, near, rows
+
+
+def test_rows_without_own_ids_link_by_their_texts(documents, unnumbered):
+    texts, near, rows = unnumbered
+    got = ngram_join.ngram_join(documents(rows)).collect()
+    found = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str)
+    ids = {near["five"]: 5, near["nine"]: 9}
+    want = [(i, len(brute.shingles(t, 4)), i if i is not None else ids.get(t)) for i, t in rows]
+    assert found == sorted(want, key=str)
+
+
+def test_one_of_each_keeps_different_texts_without_own_ids(documents, unnumbered):
+    texts, _, rows = unnumbered
+    kept = [(r.doc_id, r.text) for r in ngram_join.one_of_each(documents(rows)).collect()]
+    want = [
+        (5, texts["five"]), (9, texts["nine"]), (None, texts["clean"]), (None, texts["other"]),
+        (20, texts["first"]), (20, texts["second"]), (30, ""), (None, ""), (None, None),
+    ]
+    assert sorted(kept, key=str) == sorted(want, key=str)
+
+
 # --- decontamination -------------------------------------------------------------------
 
 
