@@ -3,11 +3,11 @@
 Training texts give counts of words and word pairs. A count c is quantised
 to q = floor(log2 c) + 1, and the filter holds the entries (n-gram, 1) ..
 (n-gram, q); probing 1, 2, .. until one is absent gives q back, never too
-small. The filter is cut into blocks by n-gram hash: pair counts are summed
-per task, sent to their block as packed arrays, and each block builds its
-bits. All blocks together are broadcast; they take ``ENTRY_BITS`` per entry
-and at most ``MAX_BYTES`` in all, beyond which entries share bits more often
-(a higher error rate, nothing is left out).
+small. The filter is cut into blocks by n-gram hash and takes ``ENTRY_BITS``
+per entry at every size; no task holds more than a block. Texts are dealt
+into slices by hash. Each slice sends its distinct n-grams, with their
+training counts, to their blocks as packed arrays; a block builds its bits
+and sends each slice the levels of its n-grams.
 
 The probability of a word interpolates the pair estimate with the word's
 own, p = w c(h, x) / c(h) + (1 - w) (c(x) + 0.5) / (N + 0.5 (V + 1)), with all
@@ -45,9 +45,8 @@ from plantlens.llm.text import raw, slices
 
 HEAVY = 1 << 22
 ENTRY_BITS = 8
-MAX_BYTES = 128 << 20
+SLICE_TOKENS = 1 << 19
 BLOCK_TOKENS = 1 << 20
-FLUSH_PAIRS = 1 << 21
 TASK_WORDS = 400_000
 END = b"\n"  # no word holds one
 CLASSES = 64
@@ -153,58 +152,62 @@ def frequency_class(found: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.where(found & (counts > 0), np.frexp(counts.astype(float))[1], RARE).astype(np.uint8)
 
 
-def heavy_words(vocabulary: DataFrame, bound: int) -> Heavy:
+def heavy_words(vocabulary: DataFrame, bound: int) -> tuple[Heavy, int]:
+    """The frequent words, and the tokens of all texts."""
     total = vocabulary.agg(
         F.sum("train").alias("tokens"), F.sum("every").alias("every"), F.count(F.when(F.col("train") > 0, 1)).alias("words")
     ).first()
     frequent = vocabulary.where(F.col("every") * bound >= (total.every or 0)).select("word", "train").toArrow()
     hashes = frequent.column("word").to_numpy().view(np.uint64)
     order = np.argsort(hashes)
-    return Heavy(hashes[order], frequent.column("train").to_numpy()[order], total.tokens or 0, total.words)
+    found = Heavy(hashes[order], frequent.column("train").to_numpy()[order], total.tokens or 0, total.words)
+    return found, total.every or 0
 
 
 # --- the filter --------------------------------------------------------------------
 
 
-def _count_grams(heavy_: Callable, block_bits: int):
-    """Training words and pairs with their counts, packed per block."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heavy, words, kinds = heavy_(), Vocabulary(), np.empty(0, np.uint8)
-        grams: list[np.ndarray] = []
-        classes: list[np.ndarray] = []
-
-        def packed() -> pa.RecordBatch:
-            every, kind = np.concatenate([*grams, np.empty(0, np.uint64)]), np.concatenate([*classes, np.empty(0, np.uint8)])
-            gram, first, n = np.unique(every, return_index=True, return_counts=True)
-            block = (gram >> np.uint64(64 - block_bits)).astype(np.int64)
-            cuts = np.searchsorted(block, np.arange((1 << block_bits) + 1))
-            kind, n = kind[first], n.astype(np.uint32)
-            rows = [(b, cuts[b], cuts[b + 1]) for b in range(1 << block_bits) if cuts[b] < cuts[b + 1]]
-            grams.clear()
-            classes.clear()
-            return pa.RecordBatch.from_pydict(
-                {
-                    "block": pa.array([b for b, _, _ in rows], pa.int32()),
-                    "grams": pa.array([gram[i:j].tobytes() for _, i, j in rows], pa.binary()),
-                    "counts": pa.array([n[i:j].tobytes() for _, i, j in rows], pa.binary()),
-                    "classes": pa.array([kind[i:j].tobytes() for _, i, j in rows], pa.binary()),
-                }
-            )
+class Slice:
+    """Tokens of a slice's texts, and its distinct words and pairs by hash;
+    ``pairs`` and ``alone`` tell where each token's pair and each word's own
+    entry stand among them. The order of the texts does not change them."""
+
+    def __init__(self, texts: list[bytes]):
+        self.words = Vocabulary()
+        self.tokens, self.starts = self.words.tokens(texts)
+        self.before = contexts(self.tokens, self.starts, self.words.number[END])
+        hashes = self.words.hashes
+        both = np.concatenate([pair(hashes[self.before], hashes[self.tokens]), mixed(hashes)])
+        self.grams, place = np.unique(both, return_inverse=True)
+        self.pairs, self.alone = np.split(place, [len(self.tokens)])
+        self.sizes = np.diff([*self.starts, len(self.tokens)])
 
-        for batch in slices(batches):
-            tokens, starts = words.tokens(raw(batch.column("text")))
-            before = contexts(tokens, starts, words.number[END] if len(tokens) else 0)
-            fresh = words.hashes[len(kinds) :]
-            kinds = np.concatenate([kinds, frequency_class(*heavy.lookup(fresh))])
-            grams += [pair(words.hashes[before], words.hashes[tokens]), mixed(words.hashes[tokens])]
-            classes += [kinds[before], np.full(len(tokens), WORD, np.uint8)]
-            if sum(map(len, grams)) >= FLUSH_PAIRS:
-                yield packed()
-            if len(words.number) > TASK_WORDS:
-                words.clear()
-                kinds = np.empty(0, np.uint8)
-        yield packed()
+
+def _count_grams(heavy_: Callable, block_bits: int):
+    """A slice's distinct words and pairs with their counts in training
+    texts, packed per block."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        own = Slice(raw(rows.column("text")))
+        learnt = np.repeat(~np.array(rows.column("held").to_pylist(), dtype=bool), own.sizes)
+        words = np.bincount(own.tokens, learnt, len(own.alone))
+        n = np.bincount(own.pairs, learnt, len(own.grams)) + np.bincount(own.alone, words, len(own.grams))
+        n, kind = n.astype(np.uint32), np.empty(len(own.grams), np.uint8)
+        kind[own.alone] = WORD
+        kind[own.pairs] = frequency_class(*heavy_().lookup(own.words.hashes))[own.before]
+        block = (own.grams >> np.uint64(64 - block_bits)).astype(np.int64)
+        used, first = np.unique(block, return_index=True)
+        ends = np.append(first[1:], len(block))
+        return pa.table(
+            {
+                "slice": pa.array([rows.column("slice")[0].as_py()] * len(used), pa.int64()),
+                "block": pa.array(used, pa.int64()),
+                **{
+                    name: pa.array([x[i:j].tobytes() for i, j in zip(first, ends)], pa.binary())
+                    for name, x in (("grams", own.grams), ("counts", n), ("classes", kind))
+                },
+            }
+        )
 
     return run
 
@@ -236,8 +239,15 @@ def _build(bits_at_most: int):
         grams, counts, classes = grams[order], counts[order], classes[order]
         first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
         grams, counts, classes = grams[first], np.add.reduceat(counts, first), classes[first]
+        learnt = counts > 0
+        grams, counts, classes = grams[learnt], counts[learnt], classes[learnt]
         levels = np.frexp(counts.astype(float))[1]
         entries = int(levels.sum())
+        if not entries:
+            nothing = np.zeros(CLASSES, np.int64)
+            return pd.DataFrame(
+                {"block": [parts.block.iloc[0]], "size": [0], "probes": [1], "bits": [b""], "every": [nothing], "once": [nothing]}
+            )
         size = max(64, min(ENTRY_BITS * entries, bits_at_most, 2**32 - 1))
         probes = max(1, round(size / entries * np.log(2)))
         bits = np.zeros(size, dtype=bool)
@@ -258,9 +268,15 @@ def _build(bits_at_most: int):
     return run
 
 
+def middle(levels: np.ndarray) -> np.ndarray:
+    """The middle of the counts of each level."""
+    levels = levels.astype(np.int64)
+    return np.where(levels > 0, (2.0 ** (levels - 1) + 2.0**levels - 1) / 2, 0.0)
+
+
 @dataclass
 class Filter:
-    """All blocks one after the other, in bytes."""
+    """Blocks one after the other, in bytes."""
 
     block_bits: int
     bits: np.ndarray
@@ -269,7 +285,11 @@ class Filter:
     probes: np.ndarray
 
     def counts(self, grams: np.ndarray) -> np.ndarray:
-        """Estimated count of each n-gram: the middle of its class."""
+        """Estimated count of each n-gram."""
+        return middle(self.levels(grams))
+
+    def levels(self, grams: np.ndarray) -> np.ndarray:
+        """Level of each n-gram, 0 if it is not held."""
         block = (grams >> np.uint64(64 - self.block_bits)).astype(np.int64)
         levels = np.zeros(len(grams), np.int64)
         live = np.flatnonzero(self.size[block] > 0)
@@ -289,91 +309,93 @@ class Filter:
                 if not len(live):
                     break
             levels[live] = level
-        return np.where(levels > 0, (2.0 ** (levels - 1) + 2.0**levels - 1) / 2, 0.0)
+        return levels
+
+
+def _levels(parts: pd.DataFrame) -> pd.DataFrame:
+    """The levels of each slice's n-grams in one block; in its first row the
+    pair tokens of the classes."""
+    made = _build(2**32 - 1)(parts).iloc[0]
+    # Both halves of the hashes have the one block.
+    size, probes = np.full(2, made["size"], np.int64), np.full(2, made.probes, np.int64)
+    block = Filter(1, np.frombuffer(made.bits, np.uint8), np.zeros(2, np.int64), size, probes)
+    grams = [np.frombuffer(g, np.uint64) for g in parts.grams]
+    levels = block.levels(np.concatenate(grams)).astype(np.uint8)
+    cuts, rest = np.cumsum([len(g) for g in grams])[:-1], [None] * (len(parts) - 1)
+    return pd.DataFrame(
+        {
+            "slice": parts.slice.to_numpy(), "block": parts.block.to_numpy(),
+            "levels": [x.tobytes() for x in np.split(levels, cuts)], "every": [made.every, *rest], "once": [made.once, *rest],
+        }
+    )
 
 
-def build_filter(train: DataFrame, heavy_: Callable, tokens: int, max_bytes: int) -> tuple[Filter, np.ndarray]:
-    """The filter, and the pair weight of every context class."""
-    block_bits = max(4, (2 * tokens // BLOCK_TOKENS).bit_length())
-    grams = train.mapInArrow(_count_grams(heavy_, block_bits), "block int, grams binary, counts binary, classes binary")
-    built = grams.groupBy("block").applyInPandas(
-        _build((max_bytes * 8) >> block_bits),
-        "block int, size bigint, probes int, bits binary, every array<bigint>, once array<bigint>",
+def gram_levels(texts: DataFrame, heavy_: Callable, block_bits: int) -> tuple[DataFrame, np.ndarray]:
+    """(slice, block, levels) of all n-grams of the texts (slice, held,
+    text), and the pair weight of every context class."""
+    grams = texts.groupBy("slice").applyInArrow(
+        _count_grams(heavy_, block_bits), "slice bigint, block bigint, grams binary, counts binary, classes binary"
+    )
+    found = written(
+        grams.groupBy("block").applyInPandas(
+            _levels, "slice bigint, block bigint, levels binary, every array<bigint>, once array<bigint>"
+        ),
+        "lm-levels",
     )
-    table = written(built, "lm-filter").toArrow()
-    blocks = 1 << block_bits
-    size, probes, offset = np.zeros(blocks, np.int64), np.ones(blocks, np.int64), np.zeros(blocks, np.int64)
     every, once = np.ones(CLASSES), np.ones(CLASSES)
-    parts, at = [], 0
-    for k in range(table.num_rows):
-        block = table["block"][k].as_py()
-        parts.append(np.frombuffer(table["bits"][k].as_buffer(), np.uint8))
-        size[block], probes[block], offset[block] = table["size"][k].as_py(), table["probes"][k].as_py(), at
-        at += len(parts[-1])
-        every += table["every"][k].as_py()
-        once += table["once"][k].as_py()
-    bits = np.concatenate([*parts, np.zeros(1, np.uint8)])
-    return Filter(block_bits, bits, offset, size, probes), np.clip(1 - once / every, 0, 0.99)
+    per_class = found.where("every is not null").select(F.posexplode(F.arrays_zip("every", "once")).alias("class", "n"))
+    for r in per_class.groupBy("class").agg(F.sum("n.every").alias("every"), F.sum("n.once").alias("once")).collect():
+        every[r["class"]] += r.every
+        once[r["class"]] += r.once
+    return found.select("slice", "block", "levels"), np.clip(1 - once / every, 0, 0.99)
 
 
 # --- scores ------------------------------------------------------------------------
 
 
-def _score(heavy_: Callable, filter_: Callable):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _score(heavy_: Callable, weights: np.ndarray):
+    def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
         heavy: Heavy = heavy_()
-        own_filter, weights = filter_()
-        words, row = Vocabulary(), TaskContext.get().partitionId() << 40
+        own = Slice(raw(rows.column("text")))
         space = heavy.tokens + 0.5 * (heavy.words + 1)
-        base = seen = kind = estimate = frequent = np.empty(0)
-        for batch in slices(batches):
-            fresh = len(words.hashes)
-            tokens, starts = words.tokens(raw(batch.column("text")))
-            new = words.hashes[fresh:]
-            found, counts = heavy.lookup(new)
-            if not fresh:
-                base, seen, estimate, kind, frequent = (np.empty(0, t) for t in (float, bool, float, np.uint8, bool))
-            base = np.concatenate([base, np.where(found, np.log10((counts + 0.5) / space), 0)])
-            seen = np.concatenate([seen, found & (counts > 0)])
-            frequent = np.concatenate([frequent, found])
-            kind = np.concatenate([kind, frequency_class(found, counts)])
-            estimate = np.concatenate([estimate, own_filter.counts(mixed(new))])
-
-            context = contexts(tokens, starts, words.number[END] if len(tokens) else 0)
-            pairs, place = np.unique(pair(words.hashes[context], words.hashes[tokens]), return_inverse=True)
-            joint = own_filter.counts(pairs)[place]
-            known = np.maximum(estimate[context], joint)
-            weight = np.where(known > 0, weights[kind[context]], 0)
-            alone = np.minimum((estimate[tokens] + 0.5) / space, 1)
-            chance = weight * joint / np.maximum(known, 1) + (1 - weight) * alone
-
-            sizes = np.diff([*starts, len(tokens)])
-            text = np.repeat(np.arange(len(starts)), sizes)
-            rare = ~frequent[tokens]
-            both, times = np.unique(text[rare] * len(words.hashes) + tokens[rare], return_counts=True)
-            owner, word = both // len(words.hashes), both % len(words.hashes)
-            cuts = pa.array(np.searchsorted(owner, np.arange(len(starts) + 1)), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(row + np.arange(len(starts))), batch.column("doc_id"), batch.column("held"),
-                    pa.array(sizes.astype(np.int64)),
-                    pa.array(np.bincount(text, seen[tokens], len(starts)).astype(np.int64)),
-                    pa.array(np.bincount(text, base[tokens], len(starts))),
-                    pa.array(np.bincount(text, np.log10(chance), len(starts))),
-                    pa.ListArray.from_arrays(cuts, pa.array(words.hashes[word].view(np.int64))),
-                    pa.ListArray.from_arrays(cuts, pa.array(times.astype(np.int64))),
-                ],
-                ["row", "doc_id", "held", "n_tokens", "known", "base", "score", "word", "times"],
-            )
-            row += len(starts)
-            if len(words.number) > TASK_WORDS:
-                words.clear()
+        parts = answers.sort_by("block").column("levels").to_pylist()
+        counts = middle(np.frombuffer(b"".join(parts), np.uint8))
+        frequent, exact = heavy.lookup(own.words.hashes)
+        base = np.where(frequent, np.log10((exact + 0.5) / space), 0)
+        seen = frequent & (exact > 0)
+        kind, estimate = frequency_class(frequent, exact), counts[own.alone]
+
+        tokens, starts, context = own.tokens, own.starts, own.before
+        joint = counts[own.pairs]
+        known = np.maximum(estimate[context], joint)
+        weight = np.where(known > 0, weights[kind[context]], 0)
+        alone = np.minimum((estimate[tokens] + 0.5) / space, 1)
+        chance = weight * joint / np.maximum(known, 1) + (1 - weight) * alone
+
+        text = np.repeat(np.arange(len(starts)), own.sizes)
+        rare = ~frequent[tokens]
+        both, times = np.unique(text[rare] * len(estimate) + tokens[rare], return_counts=True)
+        owner, word = both // len(estimate), both % len(estimate)
+        cuts = pa.array(np.searchsorted(owner, np.arange(len(starts) + 1)), pa.int32())
+        row = rows.column("slice")[0].as_py() << 32
+        return pa.table(
+            [
+                pa.array(row + np.arange(len(starts))), rows.column("doc_id"), rows.column("held"),
+                pa.array(own.sizes.astype(np.int64)),
+                pa.array(np.bincount(text, seen[tokens], len(starts)).astype(np.int64)),
+                pa.array(np.bincount(text, base[tokens], len(starts))),
+                pa.array(np.bincount(text, np.log10(chance), len(starts))),
+                pa.ListArray.from_arrays(cuts, pa.array(own.words.hashes[word].view(np.int64))),
+                pa.ListArray.from_arrays(cuts, pa.array(times.astype(np.int64))),
+            ],
+            ["row", "doc_id", "held", "n_tokens", "known", "base", "score", "word", "times"],
+        )
 
     return run
 
 
 def lm_scores(
-    documents: DataFrame, *, folds: int = 5, held: int = 1, heavy: int = HEAVY, max_bytes: int = MAX_BYTES
+    documents: DataFrame, *, folds: int = 5, held: int = 1, heavy: int = HEAVY, slice_tokens: int = SLICE_TOKENS
 ) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score, score. Texts of the held-out fold are not learnt from."""
@@ -387,25 +409,20 @@ def lm_scores(
         .groupBy("word").agg(F.sum("train").alias("train"), F.sum("every").alias("every")),
         "lm-words",
     )
-    frequent = heavy_words(vocabulary, heavy)
+    frequent, every = heavy_words(vocabulary, heavy)
     own = sc.broadcast((frequent.hashes, frequent.counts))
 
     def heavy_() -> Heavy:
         return Heavy(*own.value, frequent_tokens, frequent_words)
 
     frequent_tokens, frequent_words = frequent.tokens, frequent.words
-    found, weights = build_filter(docs.where("not held"), heavy_, frequent_tokens, max_bytes)
-    parts = sc.broadcast((found.bits, found.offset, found.size, found.probes, weights))
-    block_bits = found.block_bits
-    del found, frequent
-
-    def filter_() -> tuple[Filter, np.ndarray]:
-        *arrays, weights = parts.value
-        return Filter(block_bits, *arrays), weights
-
+    del frequent
+    texts = docs.withColumn("slice", F.pmod(F.xxhash64("doc_id", "text"), F.lit(every // slice_tokens + 1)))
+    block_bits = max(4, (2 * every // BLOCK_TOKENS).bit_length())
+    levels, weights = gram_levels(texts.select("slice", "held", "text"), heavy_, block_bits)
     scored = written(
-        docs.mapInArrow(
-            _score(heavy_, filter_),
+        texts.groupBy("slice").cogroup(levels.groupBy("slice")).applyInArrow(
+            _score(heavy_, weights),
             "row bigint, doc_id bigint, held boolean, n_tokens bigint, known bigint, base double, score double,"
             " word array<bigint>, times array<bigint>",
         ),

@@ -174,6 +174,23 @@ def test_filter_never_underestimates():
     assert np.mean(blocks.counts(draw.integers(0, 2**64, 20_000, np.uint64)) > 0) < 0.05
 
 
+def test_bits_for_an_entry_do_not_depend_on_the_size(documents, monkeypatch):
+    """Scores with many small slices and blocks, and with few: no fixed
+    number of bits is shared by all entries."""
+    draw = random.Random(13)
+    docs = [(i, " ".join(f"w{draw.randrange(400)}" for _ in range(60))) for i in range(200)] + [(None, "w1 w2"), (901, "")]
+
+    def scores(**options):
+        return sorted((str(r.doc_id), r.n_known, r.score) for r in lm_score.lm_scores(documents(docs), **options).collect())
+
+    few = scores()
+    monkeypatch.setattr(lm_score, "BLOCK_TOKENS", 64)
+    many = scores(slice_tokens=500)
+    assert [x[:2] for x in few] == [x[:2] for x in many]
+    # Other blocks have other chance hits, in a few of a hundred probes.
+    assert np.mean([abs(x[2] - y[2]) / max(1, abs(x[2])) for x, y in zip(few, many)]) < 0.03
+
+
 def test_boosting_learns_an_interaction():
     cells = [Cell((a, b), 100, 95 if a == 0 and b != 1 else 5) for a in range(3) for b in range(3)]
     model = Boosted.fit(cells)
