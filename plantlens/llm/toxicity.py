@@ -12,9 +12,8 @@ others. A text is described by its closest unit to each landmark; the
 Nystroem features of that profile feed a linear support vector machine,
 fitted on labelled texts and calibrated to probabilities.
 
-A unit is compared with a landmark if it shares at least ``share`` of its
-letters, and ORDER of them; elsewhere the kernel counts as 0. Units longer
-than ``WIDTH`` are compared in overlapping windows.
+A unit is compared with a landmark if it has ORDER of its letters in the same
+order; elsewhere the kernel is 0. Units longer than ``WIDTH`` are compared in overlapping windows.
 
 The model is fitted on at most ``SAMPLE`` labelled texts.
 
@@ -41,7 +40,6 @@ from plantlens.llm.text import raw, slices
 
 ORDER = 4
 DECAY = 0.7
-SHARE = 0.85
 LEAST = 0.1
 WIDTH = 24
 LANDMARKS = 128
@@ -50,6 +48,7 @@ SURE = 5.0  # standard errors
 SAMPLE = 20_000
 CACHE_UNITS = 300_000
 CHUNK = 2048
+ORDERED = 1 << 17  # pairs whose letters are compared in order at once
 SLICE_BYTES = 16 << 20
 THRESHOLD = 0.3
 SPELLED = re.compile(rb"(?<!\S)(?:\S[ \t]){2,}\S(?!\S)")
@@ -79,17 +78,29 @@ def matrix(strings: list[bytes]) -> np.ndarray:
     return np.array(strings, dtype=f"S{WIDTH}").view(np.uint8).reshape(-1, WIDTH)
 
 
+#: The bit of each byte: one for each of a-z, six for all of other scripts.
+SLOTS = np.array([c - 97 if 97 <= c <= 122 else 26 + c % 6 if c >= 128 else -1 for c in range(256)])
+
+
 def letter_bits(rows: np.ndarray) -> np.ndarray:
     """Letters held once (low half) and twice (high half), as bits."""
     once, twice = np.zeros(len(rows), np.uint64), np.zeros(len(rows), np.uint64)
-    for column in rows.T:
-        letter = (column >= 97) & (column <= 122)
-        bit = np.where(letter, np.uint64(1) << (np.where(letter, column, 97) - 97).astype(np.uint64), np.uint64(0))
+    for column in SLOTS[rows].T:
+        bit = np.where(column >= 0, np.uint64(1) << np.maximum(column, 0).astype(np.uint64), np.uint64(0))
         twice |= once & bit
         once |= bit
     return once | (twice << np.uint64(32))
 
 
+def fewest_bits(row: np.ndarray) -> int:
+    """The fewest bits that ORDER letters of a landmark may set."""
+    slots, left, bits = SLOTS[row], ORDER, 0
+    for held in sorted(np.bincount(slots[slots >= 0]), reverse=True):
+        bits += min(held, left, 2)
+        left -= min(held, left)
+    return bits
+
+
 def kernel(match: list[np.ndarray]) -> np.ndarray:
     """Subsequence kernel of pairs of strings, one pair per column:
     ``match[i]`` tells for the first string's character i where the second
@@ -141,7 +152,11 @@ class Landmarks:
         self.rows = matrix(self.words)
         self.sizes = (self.rows != 0).sum(axis=1)
         self.bits = letter_bits(self.rows)
-        self.least = np.maximum(np.ceil(SHARE * np.bitwise_count(self.bits)), ORDER)
+        self.least = np.array([fewest_bits(row) for row in self.rows])
+        self.spots = np.zeros((len(self.words), 256), np.uint64)  # of each byte in the landmark, as bits
+        for k, word in enumerate(self.words):
+            for at, c in enumerate(word):
+                self.spots[k, c] |= np.uint64(1 << at)
         self.alone = np.array([self._alone(k) for k in range(len(self.words))])
         near = self.closeness(self.words)
         values, vectors = np.linalg.eigh((near + near.T) / 2)
@@ -151,6 +166,16 @@ class Landmarks:
         own = self.rows[k, : self.sizes[k], None]
         return kernel([own == c for c in own])[0]
 
+    def ordered(self, rows: np.ndarray, marks: np.ndarray) -> np.ndarray:
+        """Whether each row has ORDER letters of its landmark in the same
+        order: the longest common subsequence, bit by bit."""
+        left = np.full(len(rows), 2**64 - 1, np.uint64)
+        for column in rows.T:
+            met = left & self.spots[marks, column]
+            left = (left + met) | (left - met)
+        inside = (np.uint64(1) << self.sizes[marks].astype(np.uint64)) - np.uint64(1)
+        return np.bitwise_count(~left & inside) >= ORDER
+
     def closeness(self, strings: list[bytes]) -> np.ndarray:
         """Kernel of each string with each landmark; 1 for the landmark."""
         rows = matrix(strings)
@@ -163,6 +188,13 @@ class Landmarks:
             string, mark = np.concatenate(near), np.repeat(marks, [len(x) for x in near])
             order = np.argsort(sizes[string], kind="stable")
             string, mark = string[order], mark[order]
+            kept = [
+                self.ordered(rows[own, : int(sizes[own].max())], mark[at : at + ORDERED])
+                for at in range(0, len(string), ORDERED)
+                for own in [string[at : at + ORDERED]]
+            ]
+            kept = np.concatenate([*kept, np.empty(0, bool)])
+            string, mark = string[kept], mark[kept]
             for at in range(0, len(string), CHUNK):
                 own, k = string[at : at + CHUNK], mark[at : at + CHUNK]
                 width = int(sizes[own].max())

@@ -54,6 +54,26 @@ def test_kernel(a, b):
     assert got[0] == pytest.approx(kernel_brute(a, b))
 
 
+def test_masked_letters_and_other_scripts_are_compared():
+    """The kernel decides for every unit that has a subsequence of a
+    landmark, whatever letters are missing and in every script."""
+    words = [b"idiot", b"stupid", "\u0434\u0443\u0440\u0430\u043a".encode(), "\u50bb\u74dc".encode(), b"aaaa"]
+    marks = toxicity.Landmarks(words)
+    assert np.diag(marks.closeness(words)) == pytest.approx(np.ones(len(words)))
+    masked = [toxicity.units(t)[0] for t in (b"id*ot", b"id1ot", b"st*pid")]
+    near = marks.closeness(masked)
+    assert near[0, 0] > 0 and near[1, 0] > 0 and near[2, 1] > 0 and not near[:, 2:].any()
+
+    draw = random.Random(14)
+    strings = ["".join(draw.choice("aidostupx") for _ in range(draw.randrange(1, 12))).encode() for _ in range(300)]
+    near = marks.closeness(strings)
+    for k, mark in enumerate(words[:2]):
+        alone = kernel_brute(mark.decode(), mark.decode())
+        for row, unit in zip(near, strings):
+            value = kernel_brute("".join(c if c.encode() in mark else " " for c in unit.decode()), mark.decode())
+            assert (row[k] > 0) == (value >= toxicity.LEAST * alone)
+
+
 def test_units_spell_and_clean():
     assert toxicity.units(b"You I.D!iot9 i d i o t") == [b"you", b"idiot", b"i", b"d", b"i", b"o", b"t", b"idiot"]
     assert b"".join(toxicity.units(b"x" * 100)[::2])[:96] == b"x" * 96
