@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 from compare import spark_rows
-from conftest import SF001, clean_tables, event, machine, reading
+from plants import SF001, clean_tables, event, machine, reading
 
 from plantlens.operators import (
     Filters,

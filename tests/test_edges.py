@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import D, clean_tables, event, machine, reading
+from plants import D, clean_tables, event, machine, reading
 
 from plantlens.operators import (
     Filters,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SF01
+from plants import SF01
 from pyspark.sql import functions as F
 
 from plantlens.operators import (

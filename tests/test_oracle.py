@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 from compare import compare, duck
-from conftest import SF01
+from plants import SF01
 
 from plantlens.registry import ENTRIES
 

@@ -6,7 +6,7 @@ import contextlib
 import io
 
 import pytest
-from conftest import SF001
+from plants import SF001
 
 from plantlens.operators import (
     Filters,

@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from conftest import clean_tables, machine, reading
+from plants import clean_tables, machine, reading
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from test_bruteforce import by_key, check_health_and_kpis, count_by, enriched

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import replace
 
 from compare import spark_rows
-from conftest import SF001
+from plants import SF001
 
 from plantlens.operators import Filters, kpis, latest_readings, machine_health, status_distribution
 from plantlens.operators.clean import clean
