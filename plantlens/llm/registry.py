@@ -8,7 +8,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plantlens.llm import decontaminate, license_scan, line_dedup, lm_score, mixing, ngram_join, pii, quality_classifier, quality_rules, toxicity
+from plantlens.llm import (
+    collocations,
+    decontaminate,
+    fill_middle,
+    language_id,
+    license_scan,
+    line_dedup,
+    lm_score,
+    mixing,
+    ngram_join,
+    pii,
+    quality_classifier,
+    quality_rules,
+    toxicity,
+)
 from plantlens.llm import sql as S
 from plantlens.llm.common import table
 
@@ -70,6 +84,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text by rank-order profiles."""
+    return language_id.languages(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text cut and put in order for filling the middle."""
+    return fill_middle.digest(fill_middle.fill_middle(table(spark, sf_dir, "documents")))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest phrases of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -83,6 +112,9 @@ QUERIES: dict[str, Query] = {
         op8_quality,
         op9_decontaminate,
         op10_pii,
+        op11_language_id,
+        op12_fill_middle,
+        op13_collocations,
     )
 }
 
@@ -93,4 +125,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_license_scan": S.LICENSE_SCAN,
     "op6_quality_rules": S.QUALITY_RULES,
     "op9_decontaminate": S.DECONTAMINATE,
+    "op12_fill_middle": S.FILL_MIDDLE,
+    "op13_collocations": S.COLLOCATIONS,
 }

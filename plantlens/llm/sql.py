@@ -208,3 +208,65 @@ left join every on d.doc_id = every.doc_id
 
 
 LICENSE_SCAN = _license_sql()
+
+FILL_MIDDLE = r"""
+with d as (
+  select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as units,
+         sha256('1:' || coalesce(cast(doc_id as varchar), '')) as hex
+  from documents),
+drawn as (
+  select *, cast(len(units) as bigint) as n,
+         ('0x' || substr(hex, 1, 8))::bigint as h1, ('0x' || substr(hex, 9, 8))::bigint as h2,
+         ('0x' || substr(hex, 17, 8))::bigint as h3, ('0x' || substr(hex, 25, 8))::bigint as h4
+  from d),
+cut as (
+  select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+         case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+              when h4 % 100 < 20 then 'spm' else 'psm' end as form
+  from drawn),
+parts as (
+  select doc_id, n, form, t,
+         case when form <> 'plain' then array_to_string(units[1:a], '') end as prefix,
+         case when form <> 'plain' then array_to_string(units[a + 1:b], '') end as middle,
+         case when form <> 'plain' then array_to_string(units[b + 1:], '') end as suffix
+  from cut)
+select doc_id, n, form, cast(length(prefix) as bigint) as prefix_chars, cast(length(middle) as bigint) as middle_chars,
+       sha256(case form when 'plain' then t
+                        when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(t) as restored_sha256
+from parts
+"""
+
+COLLOCATIONS = rf"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({FOLDED}, '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+words as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+places as (select lang, w, unnest(range(1, len(w) + 1)) as pos from words where len(w) > 0),
+totals as (select lang, cast(sum(len(w)) as bigint) as n from words group by lang),
+found as (
+  select lang, s.size, array_to_string(w[pos:pos + s.size - 1], ' ') as phrase, count(*) as f
+  from places, (values (1), (2), (3)) s(size) where pos + s.size - 1 <= len(w)
+  group by all having count(*) >= 10),
+cuts as (
+  select lang, size, phrase, f, string_split(phrase, ' ') as w, unnest(range(1, size)) as k from found where size > 1),
+scored as (
+  select c.lang, c.size, c.phrase, c.f as a, k, x.f as l, y.f as r,
+         cast(1000000::hugeint * c.f * c.f // (x.f::hugeint * y.f) as bigint) as score
+  from cuts c
+  join found x on x.lang = c.lang and x.phrase = array_to_string(w[1:k], ' ')
+  join found y on y.lang = c.lang and y.phrase = array_to_string(w[k + 1:], ' ')),
+lowest as (
+  select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+inside as (
+  select lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) as phrase, f
+  from (select distinct lang, phrase, f, w from cuts where size = 3)),
+longest as (select lang, phrase, max(f) as f from inside group by all),
+alone as (
+  select s.* from lowest s left join longest x on s.size = 2 and x.lang = s.lang and x.phrase = s.phrase
+  where x.f is null or 100 * x.f < 50 * s.a),
+ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from alone)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000
+"""

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from plantlens.llm import (
+    collocations,
     decontaminate,
+    fill_middle,
+    language_id,
     license_scan,
     line_dedup,
     lm_score,
@@ -35,6 +38,8 @@ def operators(labels, benchmark):
         "quality": lambda d: quality_classifier.quality(d, labels),
         "contamination": lambda d: decontaminate.digest(decontaminate.contamination(d, benchmark)),
         "pii": lambda d: pii.digest(pii.personal_data(d)),
+        "language_id": language_id.languages,
+        "fill_middle": lambda d: fill_middle.digest(fill_middle.fill_middle(d)),
     }
 
 

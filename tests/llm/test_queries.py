@@ -28,6 +28,7 @@ def plain(value):
 def test_query_equals_its_sql(spark, name):
     got = registry.QUERIES[name](spark, SF)
     with duckdb.connect() as db:
+        db.execute("set threads to 4")
         for t in ("documents", "benchmark", "labels"):
             db.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
         found = db.execute(registry.ORACLE_SQL[name])
