@@ -49,7 +49,7 @@ LEAST, TOP, SHARE = 10, 2000, 50
 EVERY = 8
 OVERLAP = 2  # words that neighbouring chunks share: one less than the longest phrase
 UNKNOWN = "und"
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 BUCKET_BYTES = 4 << 20  # of input text a bucket
 CODEC = "zstd"
 
@@ -332,7 +332,7 @@ def collocations(
     )
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase"))
     return (
-        alone.withColumn("rank", place.cast("bigint")).where(F.col("rank") <= top)
+        alone.withColumn("rank", place).where(F.col("rank") <= top)
         .join(totals, "lang")
-        .select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+        .select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
     )
