@@ -22,7 +22,8 @@ language. The number of buckets follows the bytes of the input, so a
 bucket's size does not; a phrase of any frequency is one entry a block.
 
 Scores, the rule against parts of longer phrases and the first ``TOP`` of
-each language are joins and a limited window over the frequent phrases.
+each language are joins and windows over the frequent phrases, ranked in
+shares first.
 
 Defined results: null text is empty and gives nothing; a null language
 counts as ``und``, together with that very name; repeated rows count each
@@ -51,6 +52,7 @@ OVERLAP = 2  # words that neighbouring chunks share: one less than the longest p
 UNKNOWN = "und"
 SLICE_BYTES = 4 << 20
 BUCKET_BYTES = 4 << 20  # of input text a bucket
+SHARE_ROWS = 1 << 18  # candidates that one task ranks
 CODEC = "zstd"
 
 # A-Z to a-z, tab to a blank, the signs between pieces to a full stop.
@@ -330,9 +332,15 @@ def collocations(
     alone = candidates.join(inside, ["lang", "phrase"], "left").where(
         (F.col("words") == 3) | F.col("longer").isNull() | (100 * F.col("longer") < share * F.col("a"))
     )
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase"))
+    # The first of each share of a language before the first of all of it:
+    # no task ranks more than a share, or the first ``top`` of the shares.
+    order = (F.col("score").desc(), F.col("a").desc(), "phrase")
+    shares = 8 + candidates.count() // SHARE_ROWS
+    place = F.row_number().over(Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(shares))).orderBy(*order))
+    firsts = alone.withColumn("rank", place).where(F.col("rank") <= top)
     return (
-        alone.withColumn("rank", place).where(F.col("rank") <= top)
+        firsts.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+        .where(F.col("rank") <= top)
         .join(totals, "lang")
         .select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
     )
