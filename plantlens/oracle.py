@@ -372,6 +372,76 @@ machines AS (
     return sql.replace(_MACHINES, twice)
 
 
+def default_range_kpis_sql(**f) -> str:
+    """KPIs of a view without a date range: events in that of the readings."""
+    events = f"{where_maintenance(**f)} AND event_date BETWEEN (SELECT min(\"date\") FROM sensors) AND (SELECT max(\"date\") FROM sensors)"
+    return kpis_sql(**f).replace(
+        f", fm AS (SELECT * FROM maintenance_enriched WHERE {where_maintenance(**f)})",
+        f", fm AS (SELECT * FROM maintenance_enriched WHERE {events})",
+    )
+
+
+# Cells that the dirty CSV files hold instead of readings, where reading_id
+# modulo the divisor is 5.
+NEVER_EACH, NEVER = 73, "2024-13-45 99:00:00"
+NO_ENERGY_EACH, NO_ENERGY = 71, "n/a"
+
+
+def without_unreadable(sql: str) -> str:
+    """``sql`` over the dirty CSV files: their unreadable readings are gone."""
+    return sql.replace(
+        "FROM sensors_raw\n  WHERE machine_id",
+        f"FROM sensors_raw\n  WHERE reading_id % {NEVER_EACH} <> 5 AND reading_id % {NO_ENERGY_EACH} <> 5 AND machine_id",
+    )
+
+
+def quarantine_sensors_sql() -> str:
+    return with_tables(f"""
+SELECT reading_id, machine_id, status, defects FROM (
+  SELECT *, concat_ws('; ',
+    CASE WHEN reading_id % {NEVER_EACH} = 5 THEN 'timestamp unreadable {NEVER}' END,
+    CASE WHEN temperature_c IS NULL THEN 'temperature_c missing'
+         WHEN isnan(temperature_c) THEN 'temperature_c not a number NaN' END,
+    CASE WHEN reading_id % {NO_ENERGY_EACH} = 5 THEN 'energy_kwh unreadable {NO_ENERGY}' END) AS defects
+  FROM sensors_raw)
+WHERE defects <> ''""")
+
+
+def quarantine_counts_sql() -> str:
+    """Rows, accepted rows and rows per column and problem of a load of the
+    dirty CSV files."""
+    never, no_energy = f"reading_id % {NEVER_EACH} = 5", f"reading_id % {NO_ENERGY_EACH} = 5"
+    kinds = ("missing", "unreadable", "not a number")
+    found = {
+        "sensors": {
+            "timestamp: unreadable": never, "energy_kwh: unreadable": no_energy,
+            "temperature_c: missing": "temperature_c IS NULL", "temperature_c: not a number": "isnan(temperature_c)",
+        },
+        "machines": {"model: missing": "model IS NULL"},
+        "maintenance": {"cost_eur: missing": "cost_eur IS NULL"},
+    }
+    required = {
+        "sensors": ("timestamp", "machine_id", "temperature_c", "pressure_bar", "vibration_mm_s", "energy_kwh"),
+        "machines": ("machine_id", "factory", "production_line", "model"),
+        "maintenance": ("event_id", "machine_id", "event_date", "maintenance_type", "downtime_minutes", "cost_eur"),
+    }
+    optional = {
+        "sensors": ("status", "reading_id"),
+        "machines": ("install_date", "criticality", "maintenance_interval_days"),
+        "maintenance": ("technician_id", "issue"),
+    }
+    parts = []
+    for table, columns in required.items():
+        tests = {f"{c}: {kind}": "false" for c in columns for kind in kinds}
+        tests |= {f"{c}: unreadable": "false" for c in optional[table]} | {"row: cells": "false"} | found[table]
+        tests |= {"rows": "true", "accepted": "NOT coalesce(" + " OR ".join(found[table].values()) + ", false)"}
+        parts += [
+            f"SELECT '{table}' AS \"table\", '{reason}' AS reason, count(*) FILTER (WHERE {test}) AS \"rows\" FROM {table}_raw"
+            for reason, test in tests.items()
+        ]
+    return with_tables("\n" + "\nUNION ALL ".join(parts))
+
+
 def reject_counts_sql() -> str:
     def missing(column: str, number: bool) -> str:
         return f"({column} IS NULL" + (f" OR isnan({column}))" if number else ")")

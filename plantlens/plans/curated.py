@@ -24,7 +24,6 @@ follow plan over files, not over the source and cleaning steps.
 from __future__ import annotations
 
 import os
-import time
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,7 +35,8 @@ from plantlens.operators.measures import (
     machine_repeats,
     reading_sums,
 )
-from plantlens.sources import parquet
+from plantlens.sources import parquet, versions
+from plantlens.sources.versions import Version
 from plantlens.tables import Tables
 
 
@@ -51,7 +51,7 @@ def event_rollup(maintenance: DataFrame) -> DataFrame:
 
 
 def store(
-    spark: SparkSession, df: DataFrame, path: str, partition_by: str | None = None
+    spark: SparkSession, df: DataFrame, path: str, *partition_by: str
 ) -> DataFrame:
     """Write ``df`` as Parquet (replacing ``path``), its schema beside it, and
     return it read back with that schema -- so an empty table, which a
@@ -60,7 +60,7 @@ def store(
     schema = df.schema
     writer = df.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(partition_by)
+        writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     line = spark.createDataFrame([(schema.json(),)], "value string").coalesce(1)
     line.write.mode("overwrite").text(parquet.schema_path(path))
@@ -112,7 +112,7 @@ def write_curated(spark: SparkSession, clean: Tables, root: str) -> Tables:
     machine_id, timestamp), so Parquet min/max statistics let a machine
     filter skip row groups.
     """
-    base, version = root, f"v{time.time_ns():020d}"
+    base, version = root, versions.begin()
     root = os.path.join(base, version)
     written = Tables(
         sensors=store(
@@ -135,7 +135,5 @@ def write_curated(spark: SparkSession, clean: Tables, root: str) -> Tables:
     )
     # The aggregates are computed from the written tables, not the source.
     curated = write_aggregates(spark, written, root)
-    zone = spark.conf.get("spark.sql.session.timeZone")
-    line = spark.createDataFrame([(f"{version} {zone}",)], "value string").coalesce(1)
-    line.write.mode("append").text(os.path.join(base, parquet.VERSIONS))
+    versions.commit(spark, base, Version(version, versions.session_zone(spark)))
     return curated

@@ -5,8 +5,10 @@
         --curated --out DIR --factory F1 --start 2026-08-01 --end 2026-08-31
 
 The session comes from the cluster (``SparkSession.builder.getOrCreate()``);
-the job sets no configuration of its own. ``refresh`` writes every result
-of the view below ``--out`` and prints the manifest (one row per result).
+the job sets no configuration of its own. ``curate`` loads with quarantine
+(``plans.load``) and prints what it counted. ``refresh`` publishes every
+result of the view below ``--out`` (``plans.refresh.published`` reads it) and
+prints the manifest (one row per result).
 """
 
 from __future__ import annotations
@@ -17,15 +19,15 @@ import sys
 from pyspark.sql import SparkSession
 
 from plantlens.operators import Filters, clean
-from plantlens.plans.curated import write_curated
+from plantlens.plans.load import TooManyRejected, load_counts, load_curated
 from plantlens.plans.refresh import refresh
-from plantlens.sources import load, parquet
+from plantlens.sources import load, load_cells, parquet
 
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="plantlens")
     sub = p.add_subparsers(dest="command", required=True)
-    curate = sub.add_parser("curate", help="clean once, write the curated layer")
+    curate = sub.add_parser("curate", help="clean once, write the curated layer and the quarantine")
     view = sub.add_parser("refresh", help="write every result of one dashboard view")
     for cmd in (curate, view):
         cmd.add_argument("--source", required=True, help="input folder")
@@ -33,6 +35,8 @@ def _parser() -> argparse.ArgumentParser:
         cmd.add_argument("--out", required=True, help="output folder")
         cmd.add_argument("--time-zone", default="UTC",
                          help="zone of the dates; the session must have it (default UTC)")
+    curate.add_argument("--max-rejected", type=float, default=None,
+                        help="share of a table's rows above which nothing is published")
     view.add_argument("--curated", action="store_true",
                       help="--source is a curated layer (with its aggregate layer)")
     for name in ("factory", "production_line", "model", "machine_id", "status"):
@@ -49,7 +53,11 @@ def main(argv: list[str] | None = None) -> None:
     if zone != args.time_zone:
         raise SystemExit(f"the session's time zone is {zone}, not {args.time_zone}: dates would differ")
     if args.command == "curate":
-        write_curated(spark, clean(load(spark, args.source, args.format)), args.out)
+        try:
+            loaded = load_curated(spark, load_cells(spark, args.source, args.format), args.out, args.max_rejected)
+        except TooManyRejected as refused:
+            raise SystemExit(f"not published: {refused}") from refused
+        load_counts(spark, args.out, loaded.version).where("rows > 0").show(1000, truncate=False)
         return
     if args.curated:
         tables = parquet.read_tables(spark, args.source, with_aggregates=True)

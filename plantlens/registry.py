@@ -47,10 +47,11 @@ from plantlens.operators import (
 )
 from plantlens.operators.clean import rejects
 from plantlens.plans.checks import duplicate_machines
-from plantlens.plans.curated import write_curated
-from plantlens.plans.refresh import refresh
+from plantlens.plans.curated import write_aggregates, write_curated
+from plantlens.plans.load import load_counts, load_curated, quarantine
+from plantlens.plans.refresh import published, refresh
 from plantlens.session import fresh_dir
-from plantlens.sources import csv, load, parquet
+from plantlens.sources import csv, load, load_cells, parquet
 from plantlens.sources.bind import bind
 from plantlens.sources.loader import CSV_FILES
 from plantlens.streaming import sensor_stream, start_ingest, streamed_tables
@@ -164,6 +165,64 @@ def _loaded(op: Callable[[Tables], DataFrame]) -> Query:
     return run
 
 
+def _with_unreadable(spark: SparkSession, sf_dir: str) -> str:
+    """The tables as CSV files in which some cells are not what their
+    column holds (values in plantlens.oracle); their folder."""
+    raw, root = bind(spark, sf_dir), fresh_dir(spark, "csv-dirty")
+    moment = F.date_format("timestamp", csv.TIMESTAMP_TEXT)
+    never = F.col(S.READING_ID) % O.NEVER_EACH == 5
+    none = F.col(S.READING_ID) % O.NO_ENERGY_EACH == 5
+    dirty = raw.sensors.withColumns({
+        "timestamp": F.when(never, O.NEVER).otherwise(moment),
+        "energy_kwh": F.when(none, O.NO_ENERGY).otherwise(F.col("energy_kwh").cast("string")),
+    })
+    for df, name in zip((dirty, raw.machines, raw.maintenance), CSV_FILES):
+        csv.write_csv(df, f"{root}/{name}")
+    return root
+
+
+def _judged(op: Callable[[SparkSession, str], DataFrame]) -> Query:
+    """``op`` over the root of a fresh load with quarantine."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = fresh_dir(spark, "loaded")
+        load_curated(spark, load_cells(spark, _with_unreadable(spark, sf_dir)), root)
+        return op(spark, root)
+
+    return run
+
+
+def _listed(rejected: DataFrame) -> DataFrame:
+    """Rejected readings with their defects as text."""
+    text = F.transform("defects", lambda d: F.concat_ws(" ", d["column"], d["problem"], d["value"]))
+    return rejected.select(S.READING_ID, "machine_id", "status", F.array_join(text, "; ").alias("defects"))
+
+
+def _published(op: Callable[[SparkSession, Tables, str], DataFrame]) -> Query:
+    """``op`` over the tables with aggregates and a fresh folder of views."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        whole = write_aggregates(spark, tables(spark, sf_dir), fresh_dir(spark, "aggregates"))
+        return op(spark, whole, fresh_dir(spark, "views"))
+
+    return run
+
+
+def _newest_kpis(spark: SparkSession, t: Tables, out: str) -> DataFrame:
+    """The KPIs of the second of two published views."""
+    for view in (SCOPED, FACTORY):
+        refresh(spark, t, view, out)
+    return published(spark, out).result("kpis")
+
+
+def _pinned_health(spark: SparkSession, t: Tables, out: str) -> DataFrame:
+    """The health table of a publication that another one has followed."""
+    refresh(spark, t, SCOPED, out)
+    pinned = published(spark, out)
+    refresh(spark, t, FACTORY, out)
+    return pinned.result("machine_health")
+
+
 def _entries() -> dict[str, Entry]:
     e: dict[str, Entry] = {}
 
@@ -339,6 +398,17 @@ GROUP BY machine_id HAVING count(*) > 1"""))
         lambda spark, sf_dir: refresh(spark, tables(spark, sf_dir), NONE,
                                       fresh_dir(spark, "refresh")),
         O.refresh_manifest_sql())
+    # publications: whole refreshes, the newest and one that a reader holds
+    add("published_kpis", _published(_newest_kpis), O.default_range_kpis_sql(factory=O.FACTORY))
+    add("published_health_pinned", _published(_pinned_health), O.machine_health_sql(**O.SCOPED))
+
+    # load with quarantine
+    add("quarantine_sensors", _judged(lambda spark, root: _listed(quarantine(spark, root, "sensors"))),
+        O.quarantine_sensors_sql())
+    add("quarantine_counts", _judged(load_counts), O.quarantine_counts_sql())
+    add("quarantine_health",
+        _judged(lambda spark, root: machine_health(parquet.read_tables(spark, root, with_aggregates=True))),
+        O.without_unreadable(O.machine_health_sql()))
     return e
 
 

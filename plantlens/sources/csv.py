@@ -16,6 +16,10 @@ from pyspark.sql import types as T
 from plantlens import schemas as S
 from plantlens.tables import Tables
 
+# Column with the whole line of a row that has another number of cells than
+# the header.
+MALFORMED = "_malformed"
+
 # Written timestamps keep microseconds, so a CSV round trip is lossless.
 TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -32,24 +36,45 @@ def _read(
         .option("mode", "PERMISSIVE")
         .csv(path)
     )
-    missing = [f.name for f in schema if f.name not in text.columns and f.name not in optional]
+    _need(path, schema, text.columns, optional)
+    return text.select(*[cell(f).alias(f.name) for f in schema if f.name in text.columns])
+
+
+def _need(path: str, schema: T.StructType, header: list[str], optional: tuple[str, ...]) -> None:
+    missing = [f.name for f in schema if f.name not in header and f.name not in optional]
     if missing:
         raise ValueError(f"{path}: the header lacks {', '.join(missing)}")
-    return text.select(*[_cell(f).alias(f.name) for f in schema if f.name in text.columns])
 
 
-def _cell(field: T.StructField) -> Column:
+def cell(field: T.StructField) -> Column:
     """Text as the declared type; whole numbers may be written as 45.0."""
-    cell = F.col(f"`{field.name}`")
+    text = F.col(f"`{field.name}`")
     if isinstance(field.dataType, T.IntegerType):
-        return cell.try_cast("double").try_cast("int")
-    return cell if isinstance(field.dataType, T.StringType) else cell.try_cast(field.dataType)
+        return text.try_cast("double").try_cast("int")
+    return text if isinstance(field.dataType, T.StringType) else text.try_cast(field.dataType)
+
+
+def read_cells(
+    spark: SparkSession, path: str, schema: T.StructType, optional: tuple[str, ...] = ()
+) -> DataFrame:
+    """The columns of ``schema`` by their names in the header, all as text
+    just as it stands, and MALFORMED."""
+    options = {"header": True, "enforceSchema": False, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
+    header = spark.read.options(**options).csv(path).columns
+    _need(path, schema, header, optional)
+    text = T.StructType([T.StructField(c, T.StringType()) for c in (*header, MALFORMED)])
+    # Without pruning the parser sees all cells of a row, so that it can tell
+    # their number.
+    rows = spark.read.schema(text).options(**options, columnPruning=False).csv(path)
+    return rows.select(*[F.col(f"`{f.name}`") for f in schema if f.name in header], MALFORMED)
+
+
+SENSOR_COLUMNS = T.StructType([*S.SENSOR_CSV.fields, T.StructField(S.READING_ID, T.LongType())])
 
 
 def read_sensors(spark: SparkSession, path: str) -> DataFrame:
     """Readings; a column reading_id is read where the file has one."""
-    reading_id = T.StructField(S.READING_ID, T.LongType())
-    return _read(spark, path, T.StructType([*S.SENSOR_CSV.fields, reading_id]), (S.READING_ID,))
+    return _read(spark, path, SENSOR_COLUMNS, (S.READING_ID,))
 
 
 def read_machines(spark: SparkSession, path: str) -> DataFrame:
@@ -74,6 +99,20 @@ def read_tables(
     )
 
 
+def read_table_cells(
+    spark: SparkSession,
+    sensors: str,
+    machines: str,
+    maintenance: str,
+) -> Tables:
+    """The three tables as text cells, for ``operators.quarantine``."""
+    return Tables(
+        sensors=read_cells(spark, sensors, SENSOR_COLUMNS, (S.READING_ID,)),
+        machines=read_cells(spark, machines, S.MACHINE_CSV),
+        maintenance=read_cells(spark, maintenance, S.MAINTENANCE_CSV),
+    )
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Write ``df`` as CSV with a header, in the layout ``read_*`` expects."""
     (

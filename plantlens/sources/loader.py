@@ -30,3 +30,11 @@ def load(spark: SparkSession, source_dir: str, fmt: str = "csv") -> Tables:
     if fmt == "parquet":
         return parquet.read_tables(spark, source_dir)
     raise ValueError(f"unknown source format: {fmt!r} (csv or parquet)")
+
+
+def load_cells(spark: SparkSession, source_dir: str, fmt: str = "csv") -> Tables:
+    """Like ``load``, with the cells of text files as they stand; the input
+    of ``plans.load.load_curated``."""
+    if fmt == "csv":
+        return csv.read_table_cells(spark, *(os.path.join(source_dir, f) for f in CSV_FILES))
+    return load(spark, source_dir, fmt)

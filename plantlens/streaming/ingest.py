@@ -40,7 +40,7 @@ from plantlens import schemas as S
 from plantlens.operators.clean import clean_sensors
 from plantlens.operators.measures import ROLLUP_GRAIN, SENSOR_SUMS, machine_copies, machine_repeats
 from plantlens.plans.curated import event_rollup, sensor_rollup, store
-from plantlens.sources import parquet
+from plantlens.sources import parquet, versions
 from plantlens.tables import Tables
 
 
@@ -147,8 +147,8 @@ def streamed_tables(
     layer: the newest curated layer below the root, if there is one, and
     what the streams added. Without a curated layer ``machines`` and
     ``maintenance`` (clean) are needed."""
-    root, _ = parquet.current_version(spark, curated_root)
-    if root != curated_root:
+    curated = versions.current(spark, curated_root) is not None
+    if curated:
         base = parquet.read_tables(spark, curated_root, with_aggregates=True)
     elif machines is None or maintenance is None:
         raise ValueError(f"{curated_root} has no curated layer: pass machines and maintenance")
@@ -163,7 +163,7 @@ def streamed_tables(
     rollup = _increments(spark, curated_root, parquet.ROLLUP)
     if sensors is None or rollup is None:
         return base
-    if root == curated_root:
+    if not curated:
         return replace(base, sensors=sensors, rollup=rollup)
     return replace(
         base,

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import os
-
 from plantlens.plans.job import main
+from plantlens.plans.refresh import published
 from plantlens.session import fresh_dir
 
 
@@ -29,7 +28,8 @@ def test_curate_then_refresh(spark, tmp_path):
     main(["curate", "--source", str(tmp_path), "--format", "csv", "--out", curated])
     main(["refresh", "--source", curated, "--curated", "--out", out, "--factory", "F1",
           "--start", "2024-01-01", "--end", "2024-01-31"])
-    kpi = spark.read.parquet(os.path.join(out, "kpis")).first()
+    view = published(spark, out)
+    kpi = view.result("kpis").first()
     assert (kpi["total_readings"], kpi["critical_events"], kpi["total_downtime"]) == (2, 1, 30)
-    health = spark.read.parquet(os.path.join(out, "machine_health")).collect()
+    health = view.result("machine_health").collect()
     assert [(r["machine_id"], r["health_score"]) for r in health] == [("M1", 0.0)]

@@ -1,0 +1,192 @@
+"""Published refreshes: whole or not at all, also when a writer dies."""
+
+from __future__ import annotations
+
+import os
+import subprocess
+import sys
+import textwrap
+from concurrent.futures import ThreadPoolExecutor
+
+import pytest
+from compare import spark_rows
+from plants import clean_tables, event, machine, reading
+
+from plantlens.operators import Filters, kpis, machine_health
+from plantlens.plans import refresh as R
+from plantlens.plans.curated import write_aggregates
+from plantlens.session import fresh_dir
+from plantlens.sources import versions
+from plantlens.sources.versions import Part, Version
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def plant(spark, readings):
+    t = clean_tables(
+        spark,
+        sensors=[reading(f"M{i % 3}", ts=f"2024-01-{1 + i % 4:02d} 10:00:00", status="WARNING") for i in range(readings)],
+        machines=[machine("M0"), machine("M1", factory="F2")],
+        maintenance=[event("E1", "M1")],
+    )
+    return write_aggregates(spark, t, fresh_dir(spark, "test-publish-aggregates"))
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    return plant(spark, 5)
+
+
+@pytest.fixture(scope="module")
+def large(spark):
+    return plant(spark, 50)
+
+
+def readings_of(publication):
+    """Total readings, as three results of one publication tell them."""
+    return {
+        publication.result("kpis").first()["total_readings"],
+        publication.result("status_distribution").first()["count"],
+        sum(r["readings"] for r in publication.result("machine_health").collect()),
+    }
+
+
+def test_every_result_is_published_together(spark, small, large):
+    out = fresh_dir(spark, "test-publish")
+    with pytest.raises(LookupError):
+        R.published(spark, out)
+    R.refresh(spark, small, Filters(), out)
+    first = R.published(spark, out)
+    R.refresh(spark, large, Filters(factory="F2"), out)
+    second = R.published(spark, out)
+    assert readings_of(first) == {5}  # a reader stays with the version it opened
+    assert second.result("kpis").first()["total_readings"] == 17
+    assert readings_of(R.published(spark, out, first.version.name)) == {5}
+    assert len(second.names) == 19 and second.version.facts["filters"] == {"factory": "F2"}
+    assert second.damaged().count() == 0
+    with pytest.raises(LookupError):
+        second.result("no such result")
+    with pytest.raises(LookupError):
+        R.published(spark, out, "v0-none")
+
+
+def test_published_results_equal_the_operators(spark, large):
+    out = fresh_dir(spark, "test-publish")
+    R.refresh(spark, large, Filters(status="WARNING"), out)
+    own = R.published(spark, out)
+    for name, op in (("kpis", kpis), ("machine_health", machine_health)):
+        assert spark_rows(own.result(name)) == spark_rows(op(large, Filters(status="WARNING")))
+    assert {r.result: r.rows for r in own.manifest().collect()}["machine_health"] == own.result("machine_health").count()
+
+
+def test_a_failed_refresh_changes_nothing(spark, small, large, monkeypatch):
+    out = fresh_dir(spark, "test-publish")
+    R.refresh(spark, small, Filters(), out)
+    before = R.published(spark, out).version
+    with monkeypatch.context() as m:
+        def broken(*_):
+            raise OSError("disk full")
+
+        m.setattr(R, "machine_master", broken)
+        with pytest.raises(OSError):
+            R.refresh(spark, large, Filters(), out)
+    assert len([d for d in os.listdir(out) if d.startswith("v0")]) == 2  # the half one is there, unseen
+    assert R.published(spark, out).version == before and readings_of(R.published(spark, out)) == {5}
+    R.refresh(spark, large, Filters(), out)
+    assert readings_of(R.published(spark, out)) == {50}
+
+
+KILLED = """
+    import os, sys
+    sys.path[:0] = [{root!r}, {tests!r}]
+    from pyspark.sql import SparkSession
+    from plantlens.plans import refresh as R
+    from plantlens.operators import Filters
+    from plantlens.sources import parquet
+
+    spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+             .config("spark.sql.session.timeZone", "UTC").config("spark.sql.shuffle.partitions", "2")
+             .config("spark.checkpoint.dir", {scratch!r}).getOrCreate())
+    tables = parquet.read_tables(spark, {source!r}, with_aggregates=True)
+    whole = R.write_result
+    written = []
+
+    def write(*args):
+        written.append(whole(*args))
+        if len(written) == 9:
+            os.kill(os.getpid(), 9)  # no exit handler, no cleanup
+        return written[-1]
+
+    R.write_result = write
+    R.refresh(spark, tables, Filters(), {out!r}, concurrent_jobs=1)
+"""
+
+
+def test_a_killed_refresh_changes_nothing(spark, small, tmp_path):
+    from plantlens.plans.curated import write_curated
+
+    out, source = str(tmp_path / "views"), str(tmp_path / "curated")
+    write_curated(spark, plant(spark, 50), source)
+    R.refresh(spark, small, Filters(), out)
+    code = textwrap.dedent(KILLED).format(
+        root=ROOT, tests=os.path.join(ROOT, "tests"), scratch=str(tmp_path / "scratch"), source=source, out=out
+    )
+    env = {k: v for k, v in os.environ.items() if not k.startswith(("PYSPARK_GATEWAY", "SPARK_"))}
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=240, env=env)
+    assert done.returncode == -9, done.stderr[-2000:]
+    half = [d for d in os.listdir(out) if d.startswith("v0") and d != R.published(spark, out).version.name]
+    assert len(half) == 1 and len(os.listdir(os.path.join(out, half[0]))) == 9
+    assert readings_of(R.published(spark, out)) == {5}
+
+
+def test_readers_beside_writers_see_whole_versions(spark, small, large):
+    out = fresh_dir(spark, "test-publish")
+    R.refresh(spark, small, Filters(), out)
+
+    def write(tables):
+        R.refresh(spark, tables, Filters(), out, concurrent_jobs=2)
+
+    with ThreadPoolExecutor(2) as pool:
+        jobs = [pool.submit(write, large), pool.submit(write, small)]
+        seen = []
+        while not all(j.done() for j in jobs):
+            seen.append(readings_of(R.published(spark, out)))
+        [j.result() for j in jobs]
+    assert seen and all(s in ({5}, {50}) for s in seen)
+
+
+def test_empty_results_can_be_read(spark):
+    out = fresh_dir(spark, "test-publish")
+    R.refresh(spark, clean_tables(spark), Filters(), out)
+    own = R.published(spark, out)
+    assert own.result("machine_health").count() == 0 and own.result("kpis").first()["total_readings"] == 0
+
+
+def test_damage_is_found(spark, small):
+    out = fresh_dir(spark, "test-publish")
+    R.refresh(spark, small, Filters(), out)
+    own = R.published(spark, out)
+    path = os.path.join(out, own.version.name, "daily_trend")
+    own.result("daily_trend").limit(1).write.mode("append").parquet(path)
+    assert [(r.result, r.found - r.rows) for r in own.damaged().collect()] == [("daily_trend", 1)]
+
+
+def test_the_later_begun_version_is_current(spark):
+    root = fresh_dir(spark, "test-versions")
+    early, late = versions.begin(), versions.begin()
+    assert early < late
+    for name in (late, early):  # the earlier one ends last
+        versions.commit(spark, root, Version(name, "UTC"))
+    assert versions.current(spark, root).name == late
+    assert versions.current(spark, root, early).name == early
+    assert versions.current(spark, root, "v1") is None
+
+
+def test_records_keep_what_they_say():
+    part = Part("v1/sensors", only=("2024-01-01", "2024-01-02"))
+    version = Version("v2", "UTC", "v1", {"sensors": (part, Part("v0/sensors", without=("2024-01-01",), judged=True))},
+                      {"text": "line\nbreak and é"})
+    assert Version.of(version.line()) == version and "\n" not in version.line()
+    assert Version.of("v1 UTC") == Version("v1", "UTC")
+    assert part.minus(["2024-01-02"]).only == ("2024-01-01",) and part.minus(["2024-01-01", "2024-01-02"]) is None
+    assert Part("x").minus(["b", "a"]).without == ("a", "b")
