@@ -9,12 +9,15 @@ Join strategy is left to the planner: the dimension is broadcast only when
 its size estimate is under ``spark.sql.autoBroadcastJoinThreshold`` (and AQE
 may switch at run time with real sizes); otherwise both sides are shuffled
 on machine_id and AQE splits skewed key partitions. No broadcast hint is
-forced, since the dimension's size is not bounded by the library.
+forced, since the dimension's size is not bounded by the library. Over
+bucketed tables (``plans.bucketed``) the join needs no shuffle, and only the
+counted rows of hot machines are broadcast.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from plantlens.operators.filters import (
     Filters,
@@ -37,22 +40,28 @@ def enrich(facts: DataFrame, machines: DataFrame, how: str = "left") -> DataFram
     return facts.join(machines, on="machine_id", how=how)
 
 
+def _enrich_rows(facts: DataFrame, tables: Tables, filters: Filters) -> DataFrame:
+    """Filtered facts with the filtered machines. Facts of hot machines are
+    joined apart; their dimension rows are broadcast where they have been
+    counted and are few, so that the facts stay where they are scanned."""
+    machines, how = filter_machines(tables.machines, filters), join_how(filters)
+    if not tables.hot or filters.machine_id is not None:
+        return enrich(facts, machines, how)
+    is_hot = F.col("machine_id").isin(*tables.hot)
+    few = machines.where(is_hot)
+    return enrich(facts.where(~is_hot), machines.where(~is_hot), how).unionByName(
+        enrich(facts.where(is_hot), few.hint("broadcast") if tables.hot_is_small else few, how)
+    )
+
+
 def enrich_sensors(tables: Tables, filters: Filters = NO_FILTERS) -> DataFrame:
     """Filtered sensor readings with their machine attributes."""
-    return enrich(
-        filter_readings(tables.sensors, filters),
-        filter_machines(tables.machines, filters),
-        join_how(filters),
-    )
+    return _enrich_rows(filter_readings(tables.sensors, filters), tables, filters)
 
 
 def enrich_maintenance(tables: Tables, filters: Filters = NO_FILTERS) -> DataFrame:
     """Filtered maintenance events with their machine attributes."""
-    return enrich(
-        filter_events(tables.maintenance, filters),
-        filter_machines(tables.machines, filters),
-        join_how(filters),
-    )
+    return _enrich_rows(filter_events(tables.maintenance, filters), tables, filters)
 
 
 def prepare(tables: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -26,6 +26,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from plantlens.operators.measures import (
     EVENT_ROLLUP_GRAIN,
@@ -62,9 +63,14 @@ def store(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    write_schema(spark, schema, path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def write_schema(spark: SparkSession, schema: T.StructType, path: str) -> None:
+    """Store the schema of the table at ``path`` beside it."""
     line = spark.createDataFrame([(schema.json(),)], "value string").coalesce(1)
     line.write.mode("overwrite").text(parquet.schema_path(path))
-    return spark.read.schema(schema).parquet(path)
 
 
 def write_aggregates(spark: SparkSession, tables: Tables, root: str) -> Tables:

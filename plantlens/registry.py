@@ -46,6 +46,7 @@ from plantlens.operators import (
     top_risk_machines,
 )
 from plantlens.operators.clean import rejects
+from plantlens.plans.bucketed import write_bucketed
 from plantlens.plans.checks import duplicate_machines
 from plantlens.plans.curated import write_aggregates, write_curated
 from plantlens.plans.load import load_counts, load_curated, quarantine
@@ -198,6 +199,15 @@ def _listed(rejected: DataFrame) -> DataFrame:
     return rejected.select(S.READING_ID, "machine_id", "status", F.array_join(text, "; ").alias("defects"))
 
 
+def _bucketed(op: Callable[[Tables], DataFrame]) -> Query:
+    """``op`` over a fresh bucketed version."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return op(write_bucketed(spark, tables(spark, sf_dir), fresh_dir(spark, "bucketed"), buckets=8))
+
+    return run
+
+
 def _published(op: Callable[[SparkSession, Tables, str], DataFrame]) -> Query:
     """``op`` over the tables with aggregates and a fresh folder of views."""
 
@@ -402,6 +412,12 @@ GROUP BY machine_id HAVING count(*) > 1"""))
     add("published_kpis", _published(_newest_kpis), O.default_range_kpis_sql(factory=O.FACTORY))
     add("published_health_pinned", _published(_pinned_health), O.machine_health_sql(**O.SCOPED))
 
+    # bucketed versions: joins without an exchange, one bucket for one machine
+    add("bucketed_enrich_sensors", _bucketed(enrich_sensors), O.sensor_rows_sql())
+    add("bucketed_enrich_maintenance", _bucketed(enrich_maintenance), O.maintenance_rows_sql())
+    add("bucketed_filter_machine", _bucketed(lambda t: enrich_sensors(t, MACHINE)),
+        O.sensor_rows_sql(machine_id=O.MACHINE))
+
     # load with quarantine
     add("quarantine_sensors", _judged(lambda spark, root: _listed(quarantine(spark, root, "sensors"))),
         O.quarantine_sensors_sql())

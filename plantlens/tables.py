@@ -23,6 +23,10 @@ class Tables:
       one row and a ``copies`` count;
     * ``machine_repeats``: machine ids with more than one row (usually none)
       and how many they have.
+
+    ``hot`` names machines with so large a share of all facts that their
+    rows are joined apart (``plans.bucketed``); ``hot_is_small`` says that
+    the dimension rows of these have been counted and are few.
     """
 
     sensors: DataFrame
@@ -32,6 +36,8 @@ class Tables:
     event_rollup: DataFrame | None = None
     machine_copies: DataFrame | None = None
     machine_repeats: DataFrame | None = None
+    hot: tuple[str, ...] = ()
+    hot_is_small: bool = False
 
     def with_rollup(self, rollup: DataFrame | None) -> "Tables":
         return replace(self, rollup=rollup)
