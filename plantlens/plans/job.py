@@ -1,6 +1,8 @@
-"""Command-line jobs: build the curated layer, refresh a dashboard view.
+"""Command-line jobs: build the curated layer, correct days of it, refresh a
+dashboard view.
 
     spark-submit plantlens/plans/job.py curate  --source DIR --format csv --out DIR
+    spark-submit plantlens/plans/job.py correct --source DIR --format csv --out DIR --days 2026-08-03
     spark-submit plantlens/plans/job.py refresh --source DIR --format parquet \\
         --curated --out DIR --factory F1 --start 2026-08-01 --end 2026-08-31
 
@@ -19,6 +21,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from plantlens.operators import Filters, clean
+from plantlens.plans.correct import replace_days
 from plantlens.plans.load import TooManyRejected, load_counts, load_curated
 from plantlens.plans.refresh import refresh
 from plantlens.sources import load, load_cells, parquet
@@ -29,7 +32,9 @@ def _parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="command", required=True)
     curate = sub.add_parser("curate", help="clean once, write the curated layer and the quarantine")
     view = sub.add_parser("refresh", help="write every result of one dashboard view")
-    for cmd in (curate, view):
+    days = sub.add_parser("correct", help="replace days of the curated layer's readings and events")
+    days.add_argument("--days", nargs="+", default=None, help="YYYY-MM-DD ...; default: all days of the source")
+    for cmd in (curate, days, view):
         cmd.add_argument("--source", required=True, help="input folder")
         cmd.add_argument("--format", default="csv", choices=("csv", "parquet"))
         cmd.add_argument("--out", required=True, help="output folder")
@@ -59,6 +64,10 @@ def main(argv: list[str] | None = None) -> None:
             raise SystemExit(f"not published: {refused}") from refused
         load_counts(spark, args.out, loaded.version).where("rows > 0").show(1000, truncate=False)
         return
+    if args.command == "correct":
+        rows = clean(load(spark, args.source, args.format))
+        replace_days(spark, args.out, rows.sensors, rows.maintenance, args.days)
+        return
     if args.curated:
         tables = parquet.read_tables(spark, args.source, with_aggregates=True)
     else:

@@ -48,6 +48,7 @@ from plantlens.operators import (
 from plantlens.operators.clean import rejects
 from plantlens.plans.bucketed import write_bucketed
 from plantlens.plans.checks import duplicate_machines
+from plantlens.plans.correct import corrected
 from plantlens.plans.curated import write_aggregates, write_curated
 from plantlens.plans.load import load_counts, load_curated, quarantine
 from plantlens.plans.refresh import published, refresh
@@ -208,6 +209,25 @@ def _bucketed(op: Callable[[Tables], DataFrame]) -> Query:
     return run
 
 
+def _corrected(op: Callable[[Tables], DataFrame]) -> Query:
+    """``op`` over a curated layer in which one day was wrong, in readings
+    and events, and has been corrected."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        right, root = tables(spark, sf_dir), fresh_dir(spark, "corrected")
+        on_day, of_day = F.col("date") == F.lit(O.START), F.col("event_date") == F.lit(O.START)
+        wrong = replace(
+            right,
+            sensors=right.sensors.withColumn("status", F.when(~on_day, F.col("status"))),
+            maintenance=right.maintenance.where(~of_day),
+        )
+        write_curated(spark, wrong, root)
+        day = replace(right, sensors=right.sensors.where(on_day), maintenance=right.maintenance.where(of_day))
+        return op(corrected(spark, root, day))
+
+    return run
+
+
 def _published(op: Callable[[SparkSession, Tables, str], DataFrame]) -> Query:
     """``op`` over the tables with aggregates and a fresh folder of views."""
 
@@ -412,6 +432,10 @@ GROUP BY machine_id HAVING count(*) > 1"""))
     add("published_kpis", _published(_newest_kpis), O.default_range_kpis_sql(factory=O.FACTORY))
     add("published_health_pinned", _published(_pinned_health), O.machine_health_sql(**O.SCOPED))
 
+    # corrections by day
+    add("corrected_kpis", _corrected(kpis), O.kpis_sql())
+    add("corrected_health", _corrected(machine_health), O.machine_health_sql())
+
     # bucketed versions: joins without an exchange, one bucket for one machine
     add("bucketed_enrich_sensors", _bucketed(enrich_sensors), O.sensor_rows_sql())
     add("bucketed_enrich_maintenance", _bucketed(enrich_maintenance), O.maintenance_rows_sql())

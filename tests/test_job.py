@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import pytest
+
+from plantlens.operators import machine_health
 from plantlens.plans.job import main
 from plantlens.plans.refresh import published
 from plantlens.session import fresh_dir
+from plantlens.sources import parquet
 
 
 def write_csv_folder(folder):
@@ -33,3 +37,15 @@ def test_curate_then_refresh(spark, tmp_path):
     assert (kpi["total_readings"], kpi["critical_events"], kpi["total_downtime"]) == (2, 1, 30)
     health = view.result("machine_health").collect()
     assert [(r["machine_id"], r["health_score"]) for r in health] == [("M1", 0.0)]
+
+    # A corrected file replaces its days; a load that rejects too much is refused.
+    (tmp_path / "sensor_readings.csv").write_text(
+        "timestamp,machine_id,temperature_c,pressure_bar,vibration_mm_s,energy_kwh,status\n"
+        "2024-01-03 11:00:00,M1,71,5,2,10,OK\n")
+    main(["correct", "--source", str(tmp_path), "--format", "csv", "--out", curated, "--days", "2024-01-03"])
+    assert [r["readings"] for r in machine_health(parquet.read_tables(spark, curated, True)).collect()] == [2]
+    (tmp_path / "sensor_readings.csv").write_text(
+        "timestamp,machine_id,temperature_c,pressure_bar,vibration_mm_s,energy_kwh,status\nnever,M1,1,1,1,1,OK\n")
+    with pytest.raises(SystemExit, match="100.0% of sensors"):
+        main(["curate", "--source", str(tmp_path), "--format", "csv", "--out", curated, "--max-rejected", "0.1"])
+    assert parquet.read_tables(spark, curated).sensors.count() == 2
