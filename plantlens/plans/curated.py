@@ -24,9 +24,13 @@ follow plan over files, not over the source and cleaning steps.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql.types import StructType
 
 from plantlens.operators.measures import (
     EVENT_ROLLUP_GRAIN,
@@ -40,6 +44,8 @@ from plantlens.sources import parquet, versions
 from plantlens.sources.versions import Version
 from plantlens.tables import Tables
 
+T = TypeVar("T")
+
 
 def sensor_rollup(sensors: DataFrame) -> DataFrame:
     """Clean readings reduced to (machine_id, date, status): additive parts only."""
@@ -67,12 +73,19 @@ def store(
     return spark.read.schema(schema).parquet(path)
 
 
-def write_schema(spark: SparkSession, schema: T.StructType, path: str) -> None:
+def write_schema(spark: SparkSession, schema: StructType, path: str) -> None:
     """Store the schema of the table at ``path`` beside it."""
     line = spark.createDataFrame([(schema.json(),)], "value string").coalesce(1)
     line.write.mode("overwrite").text(parquet.schema_path(path))
 
 
+def together(*jobs: Callable[[], T]) -> list[T]:
+    """The results of independent jobs, submitted at once: a short job does
+    not wait for the last tasks of another one."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
+
+
 def write_aggregates(spark: SparkSession, tables: Tables, root: str) -> Tables:
     """Write the aggregate layer of ``tables`` below ``root`` (one pass over
     each table) and return ``tables`` with it attached, read from the files.
@@ -80,26 +93,20 @@ def write_aggregates(spark: SparkSession, tables: Tables, root: str) -> Tables:
     Rollup rows per date are about machines x statuses, evenly sized; the
     ``rebalance`` hint lets AQE size the written files.
     """
-    return tables.with_aggregates(
-        rollup=store(
-            spark,
-            sensor_rollup(tables.sensors).hint("rebalance", "date"),
-            parquet.table_path(root, parquet.ROLLUP),
-            "date",
-        ),
-        event_rollup=store(
-            spark,
-            event_rollup(tables.maintenance).hint("rebalance", "event_date"),
-            parquet.table_path(root, parquet.EVENT_ROLLUP),
-            "event_date",
-        ),
-        machine_copies=store(
-            spark, machine_copies(tables.machines), parquet.table_path(root, parquet.MACHINE_COPIES)
-        ),
-        machine_repeats=store(
-            spark, machine_repeats(tables.machines), parquet.table_path(root, parquet.MACHINE_REPEATS)
-        ),
-    )
+    tables_of = {
+        parquet.ROLLUP: lambda: sensor_rollup(tables.sensors).hint("rebalance", "date"),
+        parquet.EVENT_ROLLUP: lambda: event_rollup(tables.maintenance).hint("rebalance", "event_date"),
+        parquet.MACHINE_COPIES: lambda: machine_copies(tables.machines),
+        parquet.MACHINE_REPEATS: lambda: machine_repeats(tables.machines),
+    }
+    return tables.with_aggregates(*together(*(
+        partial(_store_made, spark, make, parquet.table_path(root, name), parquet.DAYS.get(name))
+        for name, make in tables_of.items()
+    )))
+
+
+def _store_made(spark: SparkSession, make: Callable[[], DataFrame], path: str, day: str | None) -> DataFrame:
+    return store(spark, make(), path, *([day] if day else []))
 
 
 def write_curated(spark: SparkSession, clean: Tables, root: str) -> Tables:
@@ -120,25 +127,19 @@ def write_curated(spark: SparkSession, clean: Tables, root: str) -> Tables:
     """
     base, version = root, versions.begin()
     root = os.path.join(base, version)
-    written = Tables(
-        sensors=store(
-            spark,
-            clean.sensors.hint("rebalance", "date").sortWithinPartitions(
-                "date", "machine_id", "timestamp"
-            ),
-            parquet.table_path(root, parquet.SENSORS),
-            "date",
+    tables_of = {
+        parquet.SENSORS: lambda: clean.sensors.hint("rebalance", "date").sortWithinPartitions(
+            "date", "machine_id", "timestamp"
         ),
-        machines=store(spark, clean.machines, parquet.table_path(root, parquet.MACHINES)),
-        maintenance=store(
-            spark,
-            clean.maintenance.hint("rebalance", "event_date").sortWithinPartitions(
-                "event_date", "machine_id"
-            ),
-            parquet.table_path(root, parquet.MAINTENANCE),
-            "event_date",
+        parquet.MACHINES: lambda: clean.machines,
+        parquet.MAINTENANCE: lambda: clean.maintenance.hint("rebalance", "event_date").sortWithinPartitions(
+            "event_date", "machine_id"
         ),
-    )
+    }
+    written = Tables(*together(*(
+        partial(_store_made, spark, make, parquet.table_path(root, name), parquet.DAYS.get(name))
+        for name, make in tables_of.items()
+    )))
     # The aggregates are computed from the written tables, not the source.
     curated = write_aggregates(spark, written, root)
     versions.commit(spark, base, Version(version, versions.session_zone(spark)))

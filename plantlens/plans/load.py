@@ -19,11 +19,12 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from plantlens.operators import quarantine as Q
-from plantlens.plans.curated import store, write_aggregates
+from plantlens.plans.curated import store, together, write_aggregates
 from plantlens.sources import parquet, versions
 from plantlens.sources.versions import Part, Version
 from plantlens.tables import Tables
@@ -80,7 +81,8 @@ def load_curated(spark: SparkSession, raw: Tables, root: str, max_rejected: floa
     as a new version below ``root``, with its aggregate layer and the
     quarantine, and commit it."""
     version = versions.begin()
-    counts = {t: _write(spark, getattr(raw, t), t, judged_path(root, version, t)) for t in TABLES}
+    found = together(*(partial(_write, spark, getattr(raw, t), t, judged_path(root, version, t)) for t in TABLES))
+    counts = dict(zip(TABLES, found))
     shares = {t: 1 - n[Q.ACCEPTED] / n["rows"] for t, n in counts.items() if n["rows"]}
     over = {t: s for t, s in shares.items() if max_rejected is not None and s > max_rejected}
     if over:
