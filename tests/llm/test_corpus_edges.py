@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from plantlens.llm import (
-    collocations,
     decontaminate,
     fill_middle,
     language_id,
