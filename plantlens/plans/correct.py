@@ -7,8 +7,8 @@ written bytes follow the corrected days, not the table; the machine tables
 and what derives from them are taken over as they are.
 
 A version that was corrected n times is read from up to n + 1 folders per
-table, each of them pruned to its own days; ``write_curated`` of the read
-tables makes one folder of it again.
+table, each of them pruned to its own days; ``plans.compact.rewrite`` makes
+one folder of it again.
 
 A correction builds on the version that was current when it began. If
 another one has been committed meanwhile it is refused (``Superseded``), so
@@ -97,7 +97,7 @@ def replace_days(
     if now is None or now.name != before.name:
         raise Superseded(f"{root} has gone on from {before.name}")
     return versions.commit(
-        spark, root, Version(name, before.zone, before.name, parts, {"corrected": changed})
+        spark, root, Version(name, before.zone, before.name, parts, before.lasting() | {"corrected": changed})
     )
 
 

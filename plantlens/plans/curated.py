@@ -109,11 +109,11 @@ def _store_made(spark: SparkSession, make: Callable[[], DataFrame], path: str, d
     return store(spark, make(), path, *([day] if day else []))
 
 
-def write_curated(spark: SparkSession, clean: Tables, root: str) -> Tables:
+def write_curated(spark: SparkSession, clean: Tables, root: str, facts: dict | None = None) -> Tables:
     """Write the clean tables and the aggregate layer to a new version folder
     below ``root``; return them read back from the files (with the aggregate
     layer attached). Readers see the version once all of it is written; a
-    failed run leaves the one before in place.
+    failed run leaves the one before in place. ``facts`` go into its record.
 
     Readings are rebalanced on ``date`` before the write (the AQE
     ``rebalance`` hint): one shuffle, after which AQE splits any date whose
@@ -142,5 +142,5 @@ def write_curated(spark: SparkSession, clean: Tables, root: str) -> Tables:
     )))
     # The aggregates are computed from the written tables, not the source.
     curated = write_aggregates(spark, written, root)
-    versions.commit(spark, base, Version(version, versions.session_zone(spark)))
+    versions.commit(spark, base, Version(version, versions.session_zone(spark), facts=facts or {}))
     return curated

@@ -1,8 +1,9 @@
-"""Command-line jobs: build the curated layer, correct days of it, refresh a
-dashboard view.
+"""Command-line jobs: build the curated layer, correct days of it, compact what
+streams added to it, refresh a dashboard view.
 
     spark-submit plantlens/plans/job.py curate  --source DIR --format csv --out DIR
     spark-submit plantlens/plans/job.py correct --source DIR --format csv --out DIR --days 2026-08-03
+    spark-submit plantlens/plans/job.py compact --out DIR
     spark-submit plantlens/plans/job.py refresh --source DIR --format parquet \\
         --curated --out DIR --factory F1 --start 2026-08-01 --end 2026-08-31
 
@@ -21,6 +22,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from plantlens.operators import Filters, clean
+from plantlens.plans.compact import compact
 from plantlens.plans.correct import replace_days
 from plantlens.plans.load import TooManyRejected, load_counts, load_curated
 from plantlens.plans.refresh import refresh
@@ -33,10 +35,12 @@ def _parser() -> argparse.ArgumentParser:
     curate = sub.add_parser("curate", help="clean once, write the curated layer and the quarantine")
     view = sub.add_parser("refresh", help="write every result of one dashboard view")
     days = sub.add_parser("correct", help="replace days of the curated layer's readings and events")
+    fold = sub.add_parser("compact", help="fold what streams added into the curated layer")
     days.add_argument("--days", nargs="+", default=None, help="YYYY-MM-DD ...; default: all days of the source")
     for cmd in (curate, days, view):
         cmd.add_argument("--source", required=True, help="input folder")
         cmd.add_argument("--format", default="csv", choices=("csv", "parquet"))
+    for cmd in (curate, days, fold, view):
         cmd.add_argument("--out", required=True, help="output folder")
         cmd.add_argument("--time-zone", default="UTC",
                          help="zone of the dates; the session must have it (default UTC)")
@@ -68,6 +72,9 @@ def main(argv: list[str] | None = None) -> None:
         rows = clean(load(spark, args.source, args.format))
         replace_days(spark, args.out, rows.sensors, rows.maintenance, args.days)
         return
+    if args.command == "compact":
+        compact(spark, args.out)
+        return
     if args.curated:
         tables = parquet.read_tables(spark, args.source, with_aggregates=True)
     else:

@@ -48,6 +48,7 @@ from plantlens.operators import (
 from plantlens.operators.clean import rejects
 from plantlens.plans.bucketed import write_bucketed
 from plantlens.plans.checks import duplicate_machines
+from plantlens.plans.compact import compact
 from plantlens.plans.correct import corrected
 from plantlens.plans.curated import write_aggregates, write_curated
 from plantlens.plans.load import load_counts, load_curated, quarantine
@@ -132,6 +133,26 @@ def _streamed(op: Callable[[Tables], DataFrame]) -> Query:
     return run
 
 
+def _compacted(op: Callable[[Tables], DataFrame]) -> Query:
+    """``op`` over a curated layer of a third of the readings, into which two
+    compactions, the second folding the first, have taken the other thirds
+    as they came in from a stream."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw, root, landing = bind(spark, sf_dir), fresh_dir(spark, "compacted"), fresh_dir(spark, "landing")
+        checkpoint = fresh_dir(spark, "stream-checkpoint")
+        third = F.pmod(F.xxhash64(S.READING_ID), F.lit(3))
+        write_curated(spark, clean(replace(raw, sensors=raw.sensors.where(third == 0))), root)
+        for k in (1, 2):
+            raw.sensors.where(third == k).write.mode("append").parquet(landing)
+            stream = sensor_stream(spark, landing, spark.read.parquet(landing).schema)
+            start_ingest(stream, root, checkpoint).awaitTermination()
+            compact(spark, root, max_parts=1)
+        return op(streamed_tables(spark, root))
+
+    return run
+
+
 def _narrow_default_range(t: Tables) -> DataFrame:
     """Events in the default range of a plant with readings of a few days."""
     few = replace(t, sensors=t.sensors.where(F.col("date").between(F.lit(O.START), F.lit(O.END))))
@@ -423,6 +444,11 @@ GROUP BY machine_id HAVING count(*) > 1"""))
     add("stream_ingest_kpis", _streamed(kpis), O.kpis_sql())
     add("stream_ingest_health", _streamed(machine_health), O.machine_health_sql())
 
+    # streamed readings folded into the curated layer
+    add("compacted_readings", _compacted(lambda t: t.sensors), O.with_tables("\nSELECT * FROM sensors"))
+    add("compacted_latest_readings", _compacted(latest_readings), O.latest_readings_sql())
+    add("compacted_health", _compacted(machine_health), O.machine_health_sql())
+
     # the full refresh job: writes every result, returns (result, rows)
     add("refresh_manifest",
         lambda spark, sf_dir: refresh(spark, tables(spark, sf_dir), NONE,

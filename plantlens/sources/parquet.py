@@ -70,12 +70,13 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def read_version(spark: SparkSession, root: str, version: Version, name: str) -> DataFrame:
-    """A table of a version: the rows of all its parts."""
+    """A table of a version: the rows of all its parts; a column that some
+    parts lack is null there."""
     parts = [
         part.rows(read_path(spark, os.path.join(root, part.folder)), DAYS.get(name))
         for part in version.table(name)
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(lambda one, more: one.unionByName(more, allowMissingColumns=True), parts)
 
 
 def checked_version(spark: SparkSession, root: str, name: str | None = None) -> Version | None:

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 RECORDS = "versions"
 ACCEPTED, DEFECTS = "accepted", "defects"  # columns of judged rows
+LASTING = ("streamed", "compacted")  # facts that hold for versions made from this one
 
 
 @dataclass(frozen=True)
@@ -80,6 +81,10 @@ class Version:
     def table(self, name: str) -> tuple[Part, ...]:
         return self.parts.get(name) or (Part(os.path.join(self.name, name)),)
 
+    def lasting(self) -> dict:
+        """The facts that a version made from this one takes over."""
+        return {k: self.facts[k] for k in LASTING if k in self.facts}
+
     def line(self) -> str:
         parts = {table: [asdict(p) for p in own] for table, own in self.parts.items()}
         return f"{self.name} {self.zone} " + json.dumps(

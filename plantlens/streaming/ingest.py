@@ -20,8 +20,14 @@ land a second time unless the old source's folders are removed first.
 The rollup is additive, so rows of the same grain from different batches
 simply sum up when the operators re-aggregate it -- no merge step, no state
 store, no watermark, and no reading is dropped for being late.
+
+A batch counts once its record is there, written after both tables: readers
+never see the readings of a batch without its increment. Files of a batch
+with a record are not written again.
+
 ``streamed_tables`` joins the increments to the curated layer below the same
-root. ``compact_rollup`` folds the increments into one table.
+root, those aside that the layer already holds (``plans.compact`` folds them
+into it). ``compact_rollup`` folds the increments into one table.
 """
 
 from __future__ import annotations
@@ -29,9 +35,10 @@ from __future__ import annotations
 import os
 import uuid
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -43,6 +50,9 @@ from plantlens.plans.curated import event_rollup, sensor_rollup, store
 from plantlens.sources import parquet, versions
 from plantlens.tables import Tables
 
+RECORDS = "landed"  # folder of the records of landed batches
+STREAMED = "streamed"  # a version's fact: the last batch of each source that it holds
+
 
 def sensor_stream(
     spark: SparkSession,
@@ -69,16 +79,24 @@ def _source_id(spark: SparkSession, checkpoint: str) -> str:
     path = os.path.join(checkpoint, "source-id")
     found = parquet.first_text(spark, path)
     if found is None:
-        found = uuid.uuid4().hex
+        found = "s" + uuid.uuid4().hex
         spark.createDataFrame([(found,)], "value string").coalesce(1).write.text(path)
     return found
 
 
+def _record_path(curated_root: str, source: str, batch: int) -> str:
+    return os.path.join(_stream_path(curated_root, RECORDS), f"{source}-{batch}")
+
+
 def _ingest_batch(curated_root: str, source: str):
     sensors = _stream_path(curated_root, parquet.SENSORS)
     rollup = _stream_path(curated_root, parquet.ROLLUP)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        record = _record_path(curated_root, source, batch_id)
+        if parquet.first_text(spark, record) is not None:  # a replay
+            return
         batch.persist()
         try:
             if batch.isEmpty():
@@ -97,6 +115,8 @@ def _ingest_batch(curated_root: str, source: str):
                 .partitionBy("date")
                 .parquet(os.path.join(rollup, folder))
             )
+            line = spark.createDataFrame([(f"{source} {batch_id}",)], "value string").coalesce(1)
+            line.write.mode("overwrite").text(record)
         finally:
             batch.unpersist()
 
@@ -128,13 +148,27 @@ def start_ingest(
     return writer.start()
 
 
-def _increments(spark: SparkSession, curated_root: str, name: str) -> DataFrame | None:
-    """What the streams have added to a table; None before the first row."""
+def landed(spark: SparkSession, curated_root: str, covered: dict[str, int]) -> dict[str, list[int]]:
+    """The batches of each source that have landed beyond the last one
+    ``covered`` (a list as long as the batches since then)."""
     try:
-        found = spark.read.parquet(_stream_path(curated_root, name))
+        records = spark.read.option("recursiveFileLookup", True).text(_stream_path(curated_root, RECORDS))
     except AnalysisException:  # nothing has landed
-        return None
-    return found.drop("source", "batch")
+        return {}
+    source, batch = F.substring_index("value", " ", 1), F.substring_index("value", " ", -1).cast("bigint")
+    found = records.select(source.alias("source"), batch.alias("batch"))
+    past = [(F.col("source") == s) & (F.col("batch") <= to) for s, to in covered.items()]
+    if past:
+        found = found.where(~reduce(Column.__or__, past))
+    rows = found.groupBy("source").agg(F.sort_array(F.collect_set("batch")).alias("batches")).collect()
+    return {r["source"]: list(r["batches"]) for r in rows}
+
+
+def increments(spark: SparkSession, curated_root: str, name: str, batches: dict[str, list[int]]) -> DataFrame:
+    """What some batches have added to a table. Only their folders are listed."""
+    path = _stream_path(curated_root, name)
+    folders = [os.path.join(path, f"source={s}", f"batch={b}") for s, own in sorted(batches.items()) for b in own]
+    return spark.read.option("basePath", path).parquet(*folders).drop("source", "batch")
 
 
 def streamed_tables(
@@ -147,9 +181,9 @@ def streamed_tables(
     layer: the newest curated layer below the root, if there is one, and
     what the streams added. Without a curated layer ``machines`` and
     ``maintenance`` (clean) are needed."""
-    curated = versions.current(spark, curated_root) is not None
-    if curated:
-        base = parquet.read_tables(spark, curated_root, with_aggregates=True)
+    curated = parquet.checked_version(spark, curated_root)
+    if curated is not None:
+        base = parquet.read_tables(spark, curated_root, with_aggregates=True, version=curated.name)
     elif machines is None or maintenance is None:
         raise ValueError(f"{curated_root} has no curated layer: pass machines and maintenance")
     else:
@@ -159,11 +193,12 @@ def streamed_tables(
             event_rollup=event_rollup(maintenance), machine_copies=machine_copies(machines),
             machine_repeats=machine_repeats(machines),
         )
-    sensors = _increments(spark, curated_root, parquet.SENSORS)
-    rollup = _increments(spark, curated_root, parquet.ROLLUP)
-    if sensors is None or rollup is None:
+    batches = landed(spark, curated_root, curated.facts.get(STREAMED, {}) if curated else {})
+    if not batches:
         return base
-    if not curated:
+    sensors = increments(spark, curated_root, parquet.SENSORS, batches)
+    rollup = increments(spark, curated_root, parquet.ROLLUP, batches)
+    if curated is None:
         return replace(base, sensors=sensors, rollup=rollup)
     return replace(
         base,
