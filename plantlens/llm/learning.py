@@ -14,7 +14,9 @@ def labelled_sample(
 ) -> DataFrame:
     """At most ``limit`` rows (label, text) outside the held-out fold, in
     the order of a hash of the id. Labels other than 0 and 1, null ids and
-    contradicting labels of one id are left out."""
+    contradicting labels of one id are left out; an id with several texts
+    has its smallest one. The ids wanted are at most ``limit``, so they go to
+    the texts."""
     wanted = (
         labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("label"))
         .where("doc_id is not null and label in (0, 1)")
@@ -23,7 +25,8 @@ def labelled_sample(
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).drop("top")
     )
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return written(texts.join(wanted, "doc_id").select("label", "text"), f"sample-{label}")
+    found = texts.join(F.broadcast(wanted), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    return written(found.select("label", "text"), f"sample-{label}")
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

@@ -2,13 +2,20 @@
 
 The generators are patterns. Those of the four base kinds find spans that a
 check (digits, Luhn, octets) confirms or not; wider ones propose whatever
-looks like an address, a number or a key, overlapping the others. Confirmed
-spans are always redacted. They also teach: a candidate is positive if it
-overlaps a confirmed span of its kind. Boosted trees learn, from its
-format and context but not from the check, how likely that is; further
-candidates, apart from confirmed spans, are redacted if their probability
-reaches the threshold of their kind: the smallest one at which at least ``PRECISION`` of the
-candidates above it are confirmed.
+looks like an address or a number, written out, without its sign or with
+other marks, overlapping the others. Confirmed spans are always redacted.
+
+They are also all that is known to be personal data: the candidates apart
+from them are unlabelled, some of them positive. Boosted trees learn from
+both which candidates are confirmed ones, by format and context only; what
+sets the wide patterns apart (signs, marks, spelling) is no feature. A
+positive is confirmed with a probability that does not depend on its
+features (c, the mean of the trees' answers on the confirmed spans of its
+kind), so the probability that a candidate is positive is the trees' answer
+over c (Elkan and Noto 2008). Candidates of the wide patterns are redacted
+from the threshold of their kind on: the smallest one at which the expected
+precision of all unlabelled candidates above it is ``PRECISION`` or more.
+Candidates of equal probability stand or fall together.
 
 Candidates are counted per combination of feature values (cells). The cells
 are few, whatever the number of documents, and the trees are fitted on them;
@@ -42,14 +49,17 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 # Wider patterns, with the kind that each proposes.
+# Wider patterns, with the kind that each proposes.
+AT, DOT = r"(?:\x20?(?:\(at\)|\[at\])\x20?|\x20@\x20|@)", r"(?:\x20?(?:\(dot\)|\[dot\])\x20?|\x20\.\x20|\.)"
+NAME, HOST = r"(?i)(?<![A-Z0-9._%+-])[A-Z0-9._%+-]++", r"[A-Z0-9-]++"
 WIDE = {
-    "spelled": ("email", r"(?i)(?<![A-Z0-9._%+-])[A-Z0-9._%+-]++\x20?(?:\(at\)|\[at\]|@)\x20?[A-Z0-9-]++"
-                         r"(?:\x20?(?:\(dot\)|\[dot\]|\.)\x20?[A-Z0-9-]++)++"),
-    "dotted": ("ip", r"(?<![0-9.])[0-9]{1,3}(?:[.:,-][0-9]{1,3}){3}(?![0-9.])"),
+    "spelled": ("email", rf"{NAME}{AT}{HOST}(?:{DOT}{HOST})++"),
+    "spoken": ("email", rf"{NAME}\x20at\x20{HOST}(?:\x20dot\x20{HOST})++"),
+    "dotted": ("ip", r"(?<![0-9.])[0-9]{1,3}(?:(?:[.:,-]|\[\.\]|\x20?[\[(]dot[\])]\x20?)[0-9]{1,3}){3}(?![0-9.])"),
     "digits": ("card", r"(?<![0-9])[0-9](?:[\x20._/-]{0,2}[0-9]){12,}+"),
     "number": ("phone", r"(?<![0-9+])\+?\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,}+"),
 }
-CANDIDATES = r"(?i)[0-9@]|\((?:at|dot)\)|\[(?:at|dot)\]"
+CANDIDATES = r"(?i)[0-9@]|[(\[](?:at|dot)[)\]]|\x20dot\x20"
 OCTETS = r"^0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])(?:\.0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])){3}$"
 CUES = (
     r"(?i)phone|tel|call|fax|mobile|contact",
@@ -58,7 +68,7 @@ CUES = (
     r"(?i)\bip\b|address|host|server|login",
     r"(?i)token|key|secret|password|hash|id\b",
 )
-FEATURES = ("pattern", "digits", "marks", "mark", "before", "after", "cue")
+FEATURES = ("kind", "check", "shape", "before", "after", "cue")
 AROUND = 24
 
 
@@ -120,39 +130,67 @@ def hits(documents: DataFrame) -> DataFrame:
     return cut.select("row", "doc_id", F.concat(*(_hits(k) for k in range(len(patterns)))).alias("hits"))
 
 
+def plain(kind: str, match: Column) -> Column:
+    """A candidate written as the base pattern of its kind has it."""
+    if kind == "email":
+        at = F.regexp_replace(match, r"(?i)\x20?[(\[]at[)\]]\x20?|\x20@\x20|\x20at\x20", "@")
+        return F.regexp_replace(at, r"(?i)\x20?[(\[]dot[)\]]\x20?|\x20\.\x20|\x20dot\x20", ".")
+    if kind == "ip":
+        return F.regexp_replace(match, r"(?i)\[\.\]|\x20?[(\[]dot[)\]]\x20?", ".")
+    return match
+
+
+def shape(kind: str, match: Column) -> Column:
+    """Format of a plain candidate, a small number. Emails: letters of the
+    last part (0 to 7, 8 if others occur). Else its groups of digits: 0 one,
+    1 all of four, 2 like a date, 3 none above four, 4 other."""
+    if kind == "email":
+        last = F.element_at(F.split(match, r"\."), -1)
+        return F.when(last.rlike("^[A-Za-z]+$"), F.least(F.length(last), F.lit(7))).otherwise(8)
+    sizes = F.transform(F.filter(F.split(match, "[^0-9]+"), lambda g: g != ""), F.length)
+    three = F.array_sort(sizes) == F.array(F.lit(2), F.lit(2), F.lit(4))
+    return (
+        F.when(F.size(sizes) == 1, 0).when(F.forall(sizes, lambda n: n == 4), 1).when(three, 2)
+        .when(F.forall(sizes, lambda n: n <= 4), 3).otherwise(4)
+    )
+
+
 def spans(found: DataFrame) -> DataFrame:
-    """One row per match: its kind, code points [start, stop), whether it is
-    a confirmed base span, and the features."""
+    """One row per match: its kind (number), code points [start, stop),
+    whether it is a confirmed base span or one of a wide pattern, and the
+    features."""
     flat = found.select("row", F.inline("hits"))
     order = Window.partitionBy("row", "pattern").orderBy("at")
     size = F.length("match")
     flat = flat.withColumn("stop", F.sum(F.col("gap") + size).over(order)).withColumn("start", F.col("stop") - size)
-    kinds = [*BASE, *(k for k, _ in WIDE.values())]
-    sure = F.lit(False)
-    for k, kind in reversed(list(enumerate(BASE))):
-        sure = F.when(F.col("pattern") == k, confirmed(kind, F.col("match"))).otherwise(sure)
-    marks = F.regexp_replace("match", "[0-9A-Za-z]", "")
-    digits, count = F.length(_digits(F.col("match"))), F.length(marks)
+    names = list(KINDS)
+    kinds = [names.index(k) for k in (*BASE, *(k for k, _ in WIDE.values()))]
+    flat = flat.withColumn("kind", F.get(F.array(*(F.lit(k) for k in kinds)), F.col("pattern")))
+
+    def by_kind(value):
+        column = F.lit(None)
+        for k, kind in enumerate(names):
+            column = F.when(F.col("kind") == k, value(kind)).otherwise(column)
+        return column
+
+    flat = flat.withColumn("plain", by_kind(lambda kind: plain(kind, F.col("match"))))
+    wide = F.col("pattern") >= len(BASE)
+    # A check takes what the base pattern of its kind could have found.
+    found_so = {"email": r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+$", "ip": "^[0-9.]+$"}
+    check = by_kind(lambda kind: F.col("plain").rlike(found_so.get(kind, "")) & confirmed(kind, F.col("plain")))
     cue = F.lit(len(CUES))
     for k, pattern in reversed(list(enumerate(CUES))):
         cue = F.when(F.col("before").rlike(pattern), k).otherwise(cue)
-    return flat.select(
-        "row", "start", "stop", sure.alias("sure"), F.get(F.array(*(F.lit(k) for k in kinds)), F.col("pattern")).alias("kind"),
-        F.col("pattern").cast("int").alias("pattern"),
-        _bin(digits, (1, 7, 10, 12, 16, 17, 20)).alias("digits"),
-        F.least(count, F.lit(4)).cast("int").alias("marks"),
-        _class(F.left(marks, F.lit(1))).alias("mark"),
+    return flat.withColumn("checked", F.coalesce(check, F.lit(False))).select(
+        "row", "start", "stop", "kind", wide.alias("wide"), (~wide & F.col("checked")).alias("sure"),
+        F.col("checked").cast("int").alias("check"),
+        by_kind(lambda kind: shape(kind, F.col("plain"))).cast("int").alias("shape"),
         _class(F.right("before", F.lit(1))).alias("before"),
         _class(F.col("after")).alias("after"),
         cue.cast("int").alias("cue"),
     )
 
 
-def _bin(value: Column, edges: tuple[int, ...]) -> Column:
-    """How many edges the value reaches."""
-    return sum((F.when(value >= e, 1).otherwise(0) for e in edges), F.lit(0)).cast("int")
-
-
 def _class(character: Column) -> Column:
     """0 nothing, 1 blank, 2 letter, 3 point or comma, 4 quote or =, 5 +,
     6 other."""
@@ -176,32 +214,34 @@ def _overlaps(*group: str) -> Column:
 
 
 def labelled(every: DataFrame) -> DataFrame:
-    """The spans with ``covered`` and ``hit``: whether they overlap a
-    confirmed span, and one of their kind."""
-    return every.withColumn("covered", _overlaps("row")).withColumn("hit", _overlaps("row", "kind"))
+    """The spans with ``covered``: whether they overlap a confirmed span."""
+    return every.withColumn("covered", _overlaps("row"))
 
 
-def fit(candidates: DataFrame, precision: float = PRECISION) -> tuple[Boosted | None, dict[str, float]]:
-    """The trees, and the probability threshold of each kind."""
-    counted = candidates.groupBy("kind", *FEATURES).agg(
-        F.count("*").alias("rows"), F.sum(F.col("hit").cast("long")).alias("positive")
+def fit(candidates: DataFrame, precision: float = PRECISION) -> tuple[Boosted | None, dict[int, float]]:
+    """The trees, and for each kind the least answer of the trees that a
+    redacted candidate has. A kind without confirmed spans has none."""
+    counted = candidates.where("sure or not covered").groupBy(*FEATURES).agg(
+        F.count("*").alias("rows"), F.count_if("sure").alias("positive")
     )
-    cells = [
-        (r["kind"], Cell(tuple(r[f] for f in FEATURES), r["rows"], r["positive"]))
-        for r in counted.orderBy("kind", *FEATURES).collect()
-    ]
-    if not cells:
+    cells = [Cell(tuple(r[f] for f in FEATURES), r["rows"], r["positive"]) for r in counted.orderBy(*FEATURES).collect()]
+    if not any(c.positive for c in cells):
         return None, {}
-    model = Boosted.fit([c for _, c in cells])
+    model = Boosted.fit(cells)
     limits = {}
-    for kind in KINDS:
-        ranked = sorted(((model.probability(c.values), c) for k, c in cells if k == kind), key=lambda x: -x[0])
-        rows = positive = 0
-        for p, cell in ranked:
-            rows += cell.rows
-            positive += cell.positive
-            if positive >= precision * rows:
-                limits[kind] = p
+    for kind in range(len(KINDS)):
+        own = [(round(model.probability(c.values), 9), c) for c in cells if c.values[0] == kind]
+        known = sum(c.positive for _, c in own)
+        if not known:
+            continue
+        share = sum(p * c.positive for p, c in own) / known
+        rows = expected = 0.0
+        for answer in sorted({p for p, _ in own}, reverse=True):
+            unlabelled = sum(c.rows - c.positive for p, c in own if p == answer)
+            rows += unlabelled
+            expected += unlabelled * min(1.0, answer / share)
+            if rows and expected >= precision * rows:
+                limits[kind] = answer
     return model, limits
 
 
@@ -225,21 +265,21 @@ def personal_data(documents: DataFrame, precision: float = PRECISION) -> DataFra
     model, limits = fit(candidates, precision)
     likely = F.lit(False)
     if model:
-        probability = model.column([F.col(f) for f in FEATURES])
+        answer = F.round(model.column([F.col(f) for f in FEATURES]), 9)
         limit = F.lit(2.0)
         for kind, value in limits.items():
-            limit = F.when(F.col("kind") == kind, value).otherwise(limit)
-        likely = ~F.col("covered") & (probability >= limit)
-    number = F.array_position(F.array(*(F.lit(k) for k in KINDS)), F.col("kind")).cast("int") - 1
+            # Half a unit of the last place: equal answers stay together.
+            limit = F.when(F.col("kind") == kind, value - 5e-10).otherwise(limit)
+        likely = F.col("wide") & ~F.col("covered") & (answer >= limit)
     span = F.struct(
-        number.alias("k"), F.col("start").cast("bigint").alias("start"), F.col("stop").cast("bigint").alias("stop")
+        F.col("kind").alias("k"), F.col("start").cast("bigint").alias("start"), F.col("stop").cast("bigint").alias("stop")
     )
     chosen = candidates.where(F.col("sure") | likely).select("row", "kind", "sure", span.alias("span"))
     empty = F.array().cast("array<struct<k: int, start: bigint, stop: bigint>>")
     per_doc = chosen.groupBy("row").agg(
         F.collect_list(F.when(F.col("sure"), F.col("span"))).alias("base"),
         F.collect_set("span").alias("spans"),
-        *(F.count(F.when(F.col("sure") & (F.col("kind") == k), 1)).alias(f"n_{k}") for k in KINDS),
+        *(F.count(F.when(F.col("sure") & (F.col("kind") == k), 1)).alias(f"n_{name}") for k, name in enumerate(KINDS)),
     )
     return found.select("row", "doc_id").join(per_doc, "row", "left").select(
         "doc_id",

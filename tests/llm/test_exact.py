@@ -254,6 +254,41 @@ def test_boosted_trees_add_what_looks_alike(documents):
     assert text == {**{i: "call [phone] now" for i in range(3)}, 500: None}
 
 
+def test_trees_find_what_is_written_otherwise(documents):
+    """Spelled-out addresses, phones without a country and cards with other
+    marks, among numbers and words in other places."""
+    def card(i):
+        digits = f"4000{i:011d}"
+        total = sum(d if k % 2 else d * 2 - 9 * (d > 4) for k, d in enumerate(map(int, digits)))
+        return digits + str(-total % 10)
+
+    def fours(number, mark):
+        return mark.join(number[k:k + 4] for k in range(0, 16, 4))
+
+    base, wide, other = [], [], []
+    for i in range(60):
+        base += [f"write to ann{i}@mail{i % 7}.com today", f"phone +1 555-123-{1000 + i} please",
+                 f"visa {fours(card(i), ' ')} ok", f"server 10.0.0.{i} is up"]
+    for i in range(20):
+        wide += [(f"write to ", f"bob{i} (at) mail{i % 7} (dot) com", " today", "email"),
+                 (f"write to ", f"eve{i} at mail dot com", " today", "email"),
+                 (f"phone ", f"555-123-{2000 + i}", " please", "phone"),
+                 (f"visa ", fours(card(500 + i), "  "), " ok", "card"),
+                 (f"visa ", fours(card(700 + i), "/"), " ok", "card"),
+                 (f"server ", f"10[.]0[.]0[.]{i}", " is up", "ip")]
+        other += [f"on 2024-01-{10 + i} we met", f"sums of 1{i:02d},2,3,4 each", f"part 90{i:02d}817263 sold",
+                  f"see you at noon dot matrix{i}", f"file {card(i)[:-1]}{(int(card(i)[-1]) + 1) % 10} lost"]
+    texts = base + [before + span + after for before, span, after, _ in wide] + other
+    got = pii.digest(pii.personal_data(documents(list(enumerate(texts))))).collect()
+    added = {(r.doc_id, s) for r in got for s in r.spans.split(",") if s and s not in brute.personal(texts[r.doc_id])}
+    planted = {(len(base) + i, f"{kind}:{len(before)}:{len(before) + len(span)}")
+               for i, (before, span, _, kind) in enumerate(wide)}
+    assert len(added & planted) >= 0.9 * len(planted), sorted(planted - added)[:20]
+    assert len(added & planted) >= 0.9 * len(added), sorted(added - planted)[:20]
+    for r in got:
+        assert r.base_sha256 == brute.sha(",".join(brute.personal(texts[r.doc_id])))
+
+
 # --- rules and mixing --------------------------------------------------------------------
 
 
