@@ -160,8 +160,9 @@ def landed(spark: SparkSession, curated_root: str, covered: dict[str, int]) -> d
     past = [(F.col("source") == s) & (F.col("batch") <= to) for s, to in covered.items()]
     if past:
         found = found.where(~reduce(Column.__or__, past))
-    rows = found.groupBy("source").agg(F.sort_array(F.collect_set("batch")).alias("batches")).collect()
-    return {r["source"]: list(r["batches"]) for r in rows}
+    per_source = found.groupBy("source").agg(F.sort_array(F.collect_set("batch")).alias("batches"))
+    row = per_source.agg(F.map_from_entries(F.collect_list(F.struct("source", "batches")))).first()
+    return row[0]
 
 
 def increments(spark: SparkSession, curated_root: str, name: str, batches: dict[str, list[int]]) -> DataFrame:
