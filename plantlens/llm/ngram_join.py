@@ -17,10 +17,15 @@ are one node only if their sets are equal.
 
 Equal sets are one class, joined through its smallest document. A group of
 classes that share a leading n-gram is not paired off: first every member is
-checked against the group's smallest one, then only members that are still
-in different components are paired. Links inside a component that is
-already connected are not looked for; the components are those of all
-links.
+checked against the group's smallest one, then, in ``TURNS`` turns, against
+``PIVOTS`` others drawn by hash, and only members that are still in
+different components are paired in the end, a large group in parts. Links
+inside a component that is already connected are not looked for; the
+components are those of all links.
+
+Before n-grams are counted, two bounds drop pairs that cannot link: the
+leading n-grams that two documents share, and a bitmap of each whole set.
+Both bound the overlap from above, so no link is lost.
 
 Defined results: null or empty text has an empty set and is its own
 component; each row gets its result by its own text, rows of one id with
@@ -51,8 +56,10 @@ BUCKETS = 1 << BUCKET_BITS
 BLOCK = 1 << 14
 FRAGMENTS = 8
 CACHE_WORDS = 300_000
-SMALL = 16  # members of a group whose pairs need no further filter
-FIRST = 3
+BITMAP = 512
+TURNS = 2
+PIVOTS = 4
+PART = 512  # members of a group that one task pairs with all others
 NO_ID = 2**63 - 1
 KEYS = "doc bigint, k1 bigint, k2 bigint, n bigint"
 
@@ -161,6 +168,14 @@ def set_keys(sets: list[np.ndarray]) -> np.ndarray:
     return np.frombuffer(b"".join(xxhash.xxh3_128_digest(x.tobytes()) for x in sets), "<i8").reshape(-1, 2)
 
 
+def bitmap(grams: np.ndarray) -> np.ndarray:
+    """Which of BITMAP hash cells hold an odd number of the n-grams, as words
+    of 64 bits. Two sets differ in at least as many n-grams as their bitmaps
+    differ in cells."""
+    cells = np.bincount((grams & np.uint64(BITMAP - 1)).astype(np.int64), minlength=BITMAP)
+    return np.packbits((cells & 1).astype(np.uint8)).view(np.int64)
+
+
 def _nodes(batch: pa.RecordBatch, sets: list[np.ndarray]) -> pa.Array:
     return pa.array(set_keys(sets)[:, 0] ^ batch.column("doc").to_numpy())
 
@@ -189,8 +204,8 @@ def _keys(n: int, *keep: str):
 
 
 def _leads(order_, wanted_, repeated_, n: int, percent: int):
-    """Per document that passes the filter of wanted ids: node, set size and
-    the leading n-grams."""
+    """Per document that passes the filter of wanted ids: node, set size,
+    bitmap and the leading n-grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, grams, wanted, repeated = order_(), Grams(n), wanted_(), repeated_()
@@ -201,12 +216,15 @@ def _leads(order_, wanted_, repeated_, n: int, percent: int):
             lead = [order.sort(x)[0][: len(x) - -(-percent * len(x) // 100) + 1] for x in sets]
             flat = np.concatenate([*lead, np.empty(0, np.uint64)]).view(np.int64)
             offsets = pa.array(np.cumsum([0] + [len(x) for x in lead]), pa.int32())
+            bits = np.concatenate([*map(bitmap, sets), np.empty(0, np.int64)])
+            words = pa.array(np.arange(len(sets) + 1) * (BITMAP // 64), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
                     _nodes(batch, sets), batch.column("doc"), _again(repeated, batch), pa.array(sizes, pa.int64()),
+                    pa.ListArray.from_arrays(words, pa.array(bits)),
                     pa.ListArray.from_arrays(offsets, pa.array(flat)),
                 ],
-                ["doc", "id", "again", "n", "lead"],
+                ["doc", "id", "again", "n", "bits", "lead"],
             )
 
     return run
@@ -269,41 +287,82 @@ def _after_lead(n: Column, percent: int) -> Column:
     return F.ceil(percent * n / 100) - 1
 
 
-def _rest_pairs(rest: DataFrame, percent: int, lists: bool) -> DataFrame:
-    """Pairs (a, b, na, nb) of group members in different components that
-    may link. Without ``lists`` there is a row per shared leading n-gram.
-    With them (columns of ``_listed``) only pairs that have enough leading
-    n-grams in common, and only in the first FIRST of the large groups that
-    they share: not just the first, as digests of other n-grams may
-    coincide."""
-    more = ("digests", "large", "at", "lost") if lists else ()
-    names = {"doc": "", "n": "n", "pos": "p", "label": "label", **{c: c for c in more}}
-    x, y = (rest.select("gram", *(F.col(c).alias(short + end) for c, short in names.items())) for end in "ab")
-    may = (F.col("a") < F.col("b")) & (F.col("labela") != F.col("labelb")) & _possible(percent)
-    if lists:
-        earlier = F.array_intersect(*(F.slice(f"large{e}", 1, F.col(f"at{e}") - 1) for e in "ab"))
-        common = F.size(F.array_intersect("digestsa", "digestsb")) + F.col("losta") + F.col("lostb")
-        after = F.greatest(_after_lead(F.col("na"), percent), _after_lead(F.col("nb"), percent))
-        may &= (F.size(earlier) < FIRST) & _linked(common + after, percent)
-    return x.join(y, "gram").where(may).select("a", "b", "na", "nb")
-
-
 def _digest(gram: Column) -> Column:
     return gram.bitwiseAND(0x7FFFFFFF).cast("int")
 
 
-def _listed(rest: DataFrame) -> DataFrame:
-    """The rows of large groups, with the digests of all the document's
-    n-grams in ``rest``, of those in large groups, the place of this one
-    among them, and how many digests coincide."""
-    own = rest.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("pos", "gram", "members"))).alias("own"))
-    lists = own.select(
-        "doc",
-        F.transform("own", lambda s: _digest(s["gram"])).alias("digests"),
-        F.transform(F.filter("own", lambda s: s["members"] > SMALL), lambda s: _digest(s["gram"])).alias("large"),
-    ).withColumn("lost", F.size("digests") - F.size(F.array_distinct("digests")))
-    rows = rest.where(F.col("members") > SMALL).join(lists, "doc")
-    return rows.withColumn("at", F.array_position("large", _digest(F.col("gram"))).cast("int"))
+def _facts(lead: DataFrame, groups: DataFrame) -> DataFrame:
+    """Per document in a group: doc, n, bits, the digests of its leading
+    n-grams that others have too, and how many of these digests coincide."""
+    own = groups.groupBy("doc").agg(F.collect_list(_digest(F.col("gram"))).alias("digests"))
+    lost = F.size("digests") - F.size(F.array_distinct("digests"))
+    return lead.select("doc", "n", "bits").join(own, "doc").withColumn("lost", lost)
+
+
+def _by_bitmap(percent: int) -> Column:
+    """Whether a pair can link by its bitmaps."""
+    apart = sum(F.bit_count(F.col("bitsa")[k].bitwiseXOR(F.col("bitsb")[k])) for k in range(BITMAP // 64))
+    return _linked((F.col("na") + F.col("nb") - apart) / 2, percent)
+
+
+def _by_leads(percent: int) -> Column:
+    """Whether a pair can link by its leading n-grams. Of the two documents,
+    the one whose leading n-grams end earlier in the global order can share
+    beyond them only its n-grams after them."""
+    common = F.size(F.array_intersect("digestsa", "digestsb")) + F.col("losta") + F.col("lostb")
+    after = F.greatest(_after_lead(F.col("na"), percent), _after_lead(F.col("nb"), percent))
+    return _linked(common + after, percent)
+
+
+def _side(rows: DataFrame, end: str) -> DataFrame:
+    """``rows`` as one side of a pair: the document is a or b."""
+    names = {c: c + end for c in rows.columns if c not in ("gram", "part", "doc", "pos")}
+    return rows.withColumnsRenamed(names | {"doc": end, "pos": "p" + end})
+
+
+def _likely(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that can link, with na and nb."""
+    both = pairs.join(_side(facts, "a"), "a").join(_side(facts, "b"), "b")
+    return both.where(_by_bitmap(percent) & _by_leads(percent)).select("a", "b", "na", "nb")
+
+
+def _unlike(rest: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of groups with members in different components, with their
+    labels and the group's size."""
+    placed = rest.select("gram", "doc", "n", "pos").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
+    placed = placed.withColumn("label", F.coalesce("label", "doc"))
+    mixed = placed.groupBy("gram").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")
+    )
+    return written(placed.join(mixed.where("low <> high").select("gram", "size"), "gram"), "gram-rest")
+
+
+def _with_pivots(rest: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Pairs (a, b) of group members with PIVOTS of their group."""
+    row = rest.drop("size")
+    drawn = (
+        F.min(F.struct(F.xxhash64(F.lit(turn * PIVOTS + k), F.col("doc")).alias("draw"), "doc", "n", "pos", "label"))
+        for k in range(PIVOTS)
+    )
+    pivots = rest.groupBy("gram").agg(F.array_distinct(F.array(*drawn)).alias("pivots"))
+    one = pivots.select("gram", F.explode("pivots").alias("one")).select("gram", "one.doc", "one.n", "one.pos", "one.label")
+    pairs = _side(row, "a").join(_side(one, "b"), "gram").where((F.col("labela") != F.col("labelb")) & _possible(percent))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _all_pairs(rest: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of group members in different components that can link
+    by their bitmaps. A group of more than PART members is dealt out in parts, each
+    to be paired with all members. The rows are few for the work they make,
+    so the number of partitions is given."""
+    count = int(rest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = F.ceil(F.col("size") / PART).cast("int")
+    rows = rest.withColumn("parts", parts).drop("size").join(facts.select("doc", "bits"), "doc")
+    left = rows.withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")).drop("parts")
+    right = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    may = (F.col("a") < F.col("b")) & (F.col("labela") != F.col("labelb")) & _possible(percent) & _by_bitmap(percent)
+    left, right = (x.repartition(count, "gram", "part") for x in (_side(left, "a"), _side(right, "b")))
+    return left.join(right, ["gram", "part"]).where(may).select("a", "b").distinct()
 
 
 def _links(docs: DataFrame, order_, repeated_, ids: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -354,51 +413,41 @@ def _classes(docs: DataFrame, n: int, percent: int, fragments: int) -> tuple[Dat
     repeated = shipped(spark, id_filter(sets.groupBy("doc").count().where("count > 1"), "doc"))
     leads = written(
         docs.select("doc", "text", places("doc").alias("places")).mapInArrow(
-            _leads(order, wanted, repeated, n, percent), "doc bigint, id bigint, again boolean, n bigint, lead array<bigint>"
+            _leads(order, wanted, repeated, n, percent), "doc bigint, id bigint, again boolean, n bigint, bits array<bigint>, lead array<bigint>"
         ),
         "gram-lead",
     )
     ids = leads.select("doc", "id")
-    lead = _once(leads, "doc").select("doc", "n", F.posexplode("lead").alias("pos", "gram"))
+    once = _once(leads, "doc")
+    lead = once.select("doc", "n", F.posexplode("lead").alias("pos", "gram"))
     heads = lead.groupBy("gram").agg(F.min("doc").alias("head"), F.count("*").alias("members")).where("members > 1")
     groups = written(lead.join(heads, "gram"), "gram-groups")
+    facts = written(_facts(once, groups), "gram-facts")
 
     # Every member against the smallest of its group.
     member = groups.where("doc <> head").select(
         "gram", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("head").alias("a")
     )
     head = groups.where("doc = head").select("gram", F.col("n").alias("na"), F.col("pos").alias("pa"))
-    stars = written(
-        member.join(head, "gram").where(_possible(percent)).select("a", "b", "na", "nb").distinct(), "gram-pairs"
-    )
-    links = _links(docs, order, repeated, ids, stars, n, percent)
+    stars = member.join(head, "gram").where(_possible(percent)).select("a", "b").distinct()
+    checked = written(_likely(stars, facts, percent), "gram-pairs")
+    links = _links(docs, order, repeated, ids, checked, n, percent)
     labels = components(links)
 
     # Members of one group, but its head, that are still in different
-    # components.
-    placed = groups.where("doc <> head and members > 2").join(labels, groups.doc == labels.node, "left").select(
-        "gram", "doc", "n", "pos", "members", F.coalesce("label", "doc").alias("label")
-    )
-    mixed = placed.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    rest = written(placed.join(mixed.select("gram"), "gram"), "gram-rest")
-    # A pair shares ``common`` leading n-grams (all of them in these groups,
-    # if none is in a large one); of two documents the one whose leading
-    # n-grams end earlier in the global order can share beyond them only its
-    # n-grams after them.
-    after = F.greatest(_after_lead(F.col("na"), percent), _after_lead(F.col("nb"), percent))
-    small = (
-        _rest_pairs(rest.where(F.col("members") <= SMALL), percent, False)
-        .groupBy("a", "b", "na", "nb").agg(F.count("*").alias("common"))
-        .where(_linked(F.col("common") + after, percent)).drop("common")
-    )
-    pairs = written(
-        small.unionByName(_rest_pairs(_listed(rest), percent, True)).distinct()
-        .join(stars.select("a", "b"), ["a", "b"], "left_anti"),
-        "gram-more",
-    )
-    if not pairs.isEmpty():
-        more = _links(docs, order, repeated, ids, pairs, n, percent)
-        labels = components(links.unionByName(more))
+    # components: first against pivots, then all of them.
+    rest = _unlike(groups.where("doc <> head and members > 2"), labels)
+    for turn in range(TURNS + 1):
+        pairs = _with_pivots(rest, percent, turn) if turn < TURNS else _all_pairs(rest, facts, percent)
+        pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
+        pairs = written(_likely(pairs, facts, percent), "gram-more")
+        if pairs.isEmpty():
+            continue
+        links = links.unionByName(_links(docs, order, repeated, ids, pairs, n, percent))
+        labels = components(links)
+        if turn < TURNS:
+            checked = checked.unionByName(pairs)
+            rest = _unlike(rest, labels)
 
     # The label is the smallest node, which says nothing of the ids.
     placed = written(classes.join(labels, "node", "left").select("k1", "k2", "head", "label"), "gram-placed")
