@@ -96,6 +96,35 @@ def test_ngram_join(documents, copies, n, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.components(copies, n, percent)
 
 
+def test_groups_are_paired_in_turns_and_parts(documents, monkeypatch):
+    """Near copies of which some link only through others, and one passage
+    with differing ends."""
+    for name, value in (("TURNS", 1), ("PIVOTS", 1), ("PART", 4)):
+        monkeypatch.setattr(ngram_join, name, value)
+    draw = random.Random(5)
+    rows = []
+    for i in range(36):
+        words = [f"w{k}" for k in range(120)]
+        for _ in range(draw.randrange(5)):
+            words[draw.randrange(120)] = f"x{draw.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows += [(i, passage + "".join(f" t{i}-{k}" for k in range(draw.randrange(1, 12)))) for i in range(36, 56)]
+    want = brute.components(rows, 4, 85)
+    assert 10 < len({c for _, c in want.values()}) < 50
+    got = ngram_join.ngram_join(documents(rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
+def test_bitmaps_differ_in_no_more_cells_than_sets():
+    draw = np.random.default_rng(3)
+    for size in (0, 1, 40, 900):
+        every = np.unique(draw.integers(0, 2**63, size, dtype=np.uint64))
+        one, two = (every[draw.random(len(every)) < 0.8] for _ in range(2))
+        cells = int(np.bitwise_count(ngram_join.bitmap(one) ^ ngram_join.bitmap(two)).sum())
+        assert cells <= len(np.setxor1d(one, two))
+
+
 def test_chains_and_rings_are_components(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (101, 102), (102, 100), (7, 200)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
