@@ -39,7 +39,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -55,7 +54,9 @@ BUCKET_BITS = 21
 BUCKETS = 1 << BUCKET_BITS
 BLOCK = 1 << 14
 FRAGMENTS = 8
-CACHE_WORDS = 300_000
+PIECE = 1 << 16  # bytes of text whose words are hashed at once
+BLANKS = b" \t\n\x0b\x0c\r"
+BASE = 0x9E3779B97F4A7C13
 BITMAP = 512
 TURNS = 2
 PIVOTS = 4
@@ -65,33 +66,58 @@ KEYS = "doc bigint, k1 bigint, k2 bigint, n bigint"
 
 
 class Grams:
-    """Sorted distinct n-gram hashes of texts."""
+    """Sorted distinct n-gram hashes of texts. A word's hash is a polynomial
+    in ``BASE`` of the hashes of its bytes, A-Z as a-z; all words of a piece
+    of text are hashed at once."""
 
     def __init__(self, n: int):
         self.n = n
-        self.known: dict[bytes, int] = {}
-
-    def words(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-
-    def of(self, text: bytes) -> np.ndarray:
-        words = text.lower().split()
-        if not words:
-            return np.empty(0, np.uint64)
-        if len(words) < self.n:
-            return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=1)], np.uint64)
-        each = self.words(words)
-        mixed = each[: len(each) - self.n + 1].copy()
+        self.value = np.array([xxhash.xxh3_64_intdigest(bytes([c]).lower()) for c in range(256)], np.uint64)
+        self.value[list(BLANKS)] = 0
+        self.power, self.inverse = np.ones(1, np.uint64), np.ones(1, np.uint64)
+
+    def words(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Where the words of a text that starts with a blank start, and
+        their hashes."""
+        chars = np.frombuffer(text, np.uint8)
+        inside = (self.value != 0)[chars]
+        starts = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1
+        cuts = np.unique(np.searchsorted(starts, np.arange(0, len(chars) + PIECE, PIECE)))
+        parts = []
+        for i, j in zip(cuts, cuts[1:]):
+            own = chars[starts[i] : starts[j] if j < len(starts) else len(chars)]
+            if len(own) > len(self.power):
+                size = max(len(own), PIECE)
+                self.power, self.inverse = (
+                    np.multiply.accumulate(np.r_[np.uint64(1), np.full(size - 1, x, np.uint64)])
+                    for x in (BASE, pow(BASE, -1, 2**64))
+                )
+            at = starts[i:j] - starts[i]
+            parts.append(np.add.reduceat(self.value[own] * self.power[: len(own)], at) * self.inverse[at])
+        found = np.concatenate([*parts, np.empty(0, np.uint64)])
+        found = (found ^ (found >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        return starts, found ^ (found >> np.uint64(32))
+
+    def sets(self, texts: list[bytes]) -> list[np.ndarray]:
+        starts, each = self.words(b" ".join([b"", *texts]))
+        begins = np.cumsum([1, *(len(t) + 1 for t in texts)])
+        first = np.searchsorted(starts, begins).tolist()
+        count = max(len(each) - self.n + 1, 0)
+        mixed = each[:count]
         for k in range(1, self.n):
             mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            mixed += each[k : len(each) - self.n + 1 + k]
+            mixed += each[k : count + k]
         mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-        return np.unique(mixed ^ (mixed >> np.uint64(29)))
+        mixed ^= mixed >> np.uint64(29)
+        return [self._set(each[i:j], mixed[i : max(j - self.n + 1, i)]) for i, j in zip(first, first[1:])]
+
+    def _set(self, words: np.ndarray, grams: np.ndarray) -> np.ndarray:
+        if len(grams):
+            grams = np.sort(grams)
+            return grams[np.concatenate([[True], grams[1:] != grams[:-1]])]
+        if len(words):
+            return np.array([xxhash.xxh3_64_intdigest(words.tobytes(), seed=1)], np.uint64)
+        return np.empty(0, np.uint64)
 
 
 def bucket(grams: np.ndarray) -> np.ndarray:
@@ -103,11 +129,11 @@ def bucket(grams: np.ndarray) -> np.ndarray:
 
 def _sketch(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, total = Grams(n), np.zeros(BUCKETS, np.int64)
+        grams, total = Grams(n), np.zeros(BUCKETS, np.uint32)
         for batch in slices(batches):
-            sets = [grams.of(t) for t in raw(batch.column("text"))]
+            sets = grams.sets(raw(batch.column("text")))
             if sets:
-                total += np.bincount(bucket(np.concatenate(sets)), minlength=BUCKETS)
+                np.add.at(total, bucket(np.concatenate(sets)), np.uint32(1))
         for block in range(BUCKETS // BLOCK):
             part = total[block * BLOCK : (block + 1) * BLOCK]
             used = np.flatnonzero(part)
@@ -115,18 +141,19 @@ def _sketch(n: int):
                 {
                     "block": pa.array([block], pa.int32()),
                     "places": pa.array([used.astype(np.uint16).tobytes()], pa.binary()),
-                    "counts": pa.array([part[used].astype(np.uint32).tobytes()], pa.binary()),
+                    "counts": pa.array([part[used].tobytes()], pa.binary()),
                 }
             )
 
     return run
 
 
-def _add(parts: pd.DataFrame) -> pd.DataFrame:
+def _add(parts: pa.Table) -> pa.Table:
     total = np.zeros(BLOCK, np.int64)
-    for places, counts in zip(parts.places, parts.counts):
+    for places, counts in zip(parts.column("places").to_pylist(), parts.column("counts").to_pylist()):
         total[np.frombuffer(places, np.uint16)] += np.frombuffer(counts, np.uint32)
-    return pd.DataFrame({"block": [parts.block.iloc[0]], "counts": [total.tobytes()]})
+    block = pa.array([parts.column("block")[0].as_py()], pa.int32())
+    return pa.table({"block": block, "counts": pa.array([total.tobytes()], pa.binary())})
 
 
 class Order:
@@ -144,7 +171,7 @@ class Order:
     @classmethod
     def over(cls, docs: DataFrame, n: int, fragments: int) -> Order:
         parts = docs.select("text").mapInArrow(_sketch(n), "block int, places binary, counts binary")
-        summed = parts.groupBy("block").applyInPandas(_add, "block int, counts binary")
+        summed = parts.groupBy("block").applyInArrow(_add, "block int, counts binary")
         counts = np.zeros(BUCKETS, np.int64)
         for row in summed.collect():  # BUCKETS counts in all
             counts[row.block * BLOCK : (row.block + 1) * BLOCK] = np.frombuffer(row.counts, np.int64)
@@ -192,7 +219,7 @@ def _keys(n: int, *keep: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams(n)
         for batch in slices(batches):
-            own = [grams.of(text) for text in raw(batch.column("text"))]
+            own = grams.sets(raw(batch.column("text")))
             keys = set_keys(own)
             sizes = pa.array([len(x) for x in own], pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -211,7 +238,7 @@ def _leads(order_, wanted_, repeated_, n: int, percent: int):
         order, grams, wanted, repeated = order_(), Grams(n), wanted_(), repeated_()
         for batch in slices(batches):
             batch = batch.filter(pa.array(passing(wanted, batch.column("places"))))
-            sets = [grams.of(text) for text in raw(batch.column("text"))]
+            sets = grams.sets(raw(batch.column("text")))
             sizes = [len(x) for x in sets]
             lead = [order.sort(x)[0][: len(x) - -(-percent * len(x) // 100) + 1] for x in sets]
             flat = np.concatenate([*lead, np.empty(0, np.uint64)]).view(np.int64)
@@ -238,7 +265,7 @@ def _segments(order_, wanted_, repeated_, n: int):
         order, grams, wanted, repeated = order_(), Grams(n), wanted_(), repeated_()
         for batch in slices(batches):
             batch = batch.filter(pa.array(passing(wanted, batch.column("places"))))
-            sets = [grams.of(text) for text in raw(batch.column("text"))]
+            sets = grams.sets(raw(batch.column("text")))
             docs, again, fragments, parts = [], [], [], []
             for node, more, own in zip(_nodes(batch, sets).to_pylist(), _again(repeated, batch).to_pylist(), sets):
                 own, ranks = order.sort(own)

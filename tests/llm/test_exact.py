@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,6 +127,45 @@ def test_bitmaps_differ_in_no_more_cells_than_sets():
         assert cells <= len(np.setxor1d(one, two))
 
 
+def test_ngram_sets_of_odd_texts(monkeypatch):
+    """Sets by hash have the sizes and overlaps of sets of word tuples, over
+    pieces of any size, of texts one by one and together."""
+    draw = random.Random(3)
+    odd = ["", " \t\n", "a", "A", "a b", "b a", "aa a", "a aa", "x" * 70_000 + " y z w v", " \x0bÀé\x0c É\r\x00 \u2003b\u2003 q"]
+    texts = odd + [prose(draw, k).replace(" w1", "\tW1") for k in (2, 3, 4, 5, 40, 900)] * 2
+
+    def brute_set(text):
+        words = [w for w in text.encode().lower().split()]
+        return {tuple(words[i : i + 4]) for i in range(max(1, len(words) - 3))} if words else set()
+
+    raw, want = [t.encode() for t in texts], [brute_set(t) for t in texts]
+    for piece in (1 << 16, 50, 1):
+        monkeypatch.setattr(ngram_join, "PIECE", piece)
+        grams = ngram_join.Grams(4)
+        got = grams.sets(raw)
+        assert all((a == b).all() for t, a in zip(raw, got) for b in grams.sets([t]))
+        assert grams.sets([]) == []
+        for i, a in enumerate(got):
+            assert (np.diff(a.astype(object)) > 0).all()
+            assert [len(np.intersect1d(a, b)) for b in got] == [len(want[i] & w) for w in want]
+
+
+def test_ngram_sets_take_the_same_memory_for_any_vocabulary():
+    """What a task holds does not grow with the distinct words it has met."""
+    texts = [" ".join(f"{k}w{i}" for i in range(4000)) for k in range(60)]
+
+    def batches():
+        for k, text in enumerate(texts):
+            yield pa.RecordBatch.from_pydict({"doc": pa.array([k], pa.int64()), "text": [text]})
+
+    tracemalloc.start()
+    sizes = [n for batch in ngram_join._keys(4)(batches()) for n in batch.column("n").to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sizes == [3997] * 60
+    assert peak < 12e6
+
+
 def test_chains_and_rings_are_components(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (101, 102), (102, 100), (7, 200)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
