@@ -183,9 +183,20 @@ class Slice:
         self.sizes = np.diff([*self.starts, len(self.tokens)])
 
 
+def packed(x: np.ndarray) -> bytes:
+    """The lowest bytes of all numbers, then the next ones and so on: what
+    small numbers leave empty stands together, and shuffles compress it."""
+    return x.view(np.uint8).reshape(len(x), -1).T.tobytes()
+
+
+def unpacked(planes: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(size, -1).T).view(kind)[:, 0]
+
+
 def _count_grams(heavy_: Callable, block_bits: int):
     """A slice's distinct words and pairs with their counts in training
-    texts, packed per block."""
+    texts, packed per block: the first n-gram and the steps to the next."""
 
     def run(rows: pa.Table) -> pa.Table:
         own = Slice(raw(rows.column("text")))
@@ -198,13 +209,15 @@ def _count_grams(heavy_: Callable, block_bits: int):
         block = (own.grams >> np.uint64(64 - block_bits)).astype(np.int64)
         used, first = np.unique(block, return_index=True)
         ends = np.append(first[1:], len(block))
+        steps = np.diff(own.grams, prepend=np.uint64(0))
+        steps[first] = own.grams[first]
         return pa.table(
             {
                 "slice": pa.array([rows.column("slice")[0].as_py()] * len(used), pa.int64()),
                 "block": pa.array(used, pa.int64()),
                 **{
-                    name: pa.array([x[i:j].tobytes() for i, j in zip(first, ends)], pa.binary())
-                    for name, x in (("grams", own.grams), ("counts", n), ("classes", kind))
+                    name: pa.array([packed(x[i:j]) for i, j in zip(first, ends)], pa.binary())
+                    for name, x in (("grams", steps), ("counts", n), ("classes", kind))
                 },
             }
         )
@@ -315,11 +328,12 @@ class Filter:
 def _levels(parts: pd.DataFrame) -> pd.DataFrame:
     """The levels of each slice's n-grams in one block; in its first row the
     pair tokens of the classes."""
-    made = _build(2**32 - 1)(parts).iloc[0]
+    grams = [np.cumsum(unpacked(g, np.uint64), dtype=np.uint64) for g in parts.grams]
+    counts = [unpacked(c, np.uint32) for c in parts.counts]
+    made = _build(2**32 - 1)(parts.assign(grams=grams, counts=counts)).iloc[0]
     # Both halves of the hashes have the one block.
     size, probes = np.full(2, made["size"], np.int64), np.full(2, made.probes, np.int64)
     block = Filter(1, np.frombuffer(made.bits, np.uint8), np.zeros(2, np.int64), size, probes)
-    grams = [np.frombuffer(g, np.uint64) for g in parts.grams]
     levels = block.levels(np.concatenate(grams)).astype(np.uint8)
     cuts, rest = np.cumsum([len(g) for g in grams])[:-1], [None] * (len(parts) - 1)
     return pd.DataFrame(

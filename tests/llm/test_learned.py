@@ -8,6 +8,7 @@ from collections import Counter
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from plantlens.llm import lm_score, quality_classifier, toxicity
@@ -194,6 +195,22 @@ def test_filter_never_underestimates():
     assert np.mean(blocks.counts(draw.integers(0, 2**64, 20_000, np.uint64)) > 0) < 0.05
 
 
+def test_ngrams_are_shuffled_in_few_bytes():
+    """A slice's n-grams, counts and classes, as the shuffle compresses
+    them, and back."""
+    draw = np.random.default_rng(6)
+    texts = [" ".join(f"w{i}" for i in draw.integers(0, 50_000, 500)) for _ in range(400)]
+    rows = pa.table({"slice": pa.array([1] * 400, pa.int64()), "held": [False] * 400, "text": texts})
+    heavy = lm_score.Heavy(np.empty(0, np.uint64), np.empty(0, np.int64), 0, 0)
+    parts = lm_score._count_grams(lambda: heavy, 6)(rows).to_pandas()
+    own = lm_score.Slice([t.encode() for t in texts])
+    sent = sum(len(pa.compress(bytes(x), codec="lz4_raw")) for name in ("grams", "counts", "classes") for x in parts[name])
+    assert sent < 8 * len(own.grams)  # 13 bytes each before they are compressed
+    grams = np.concatenate([np.cumsum(lm_score.unpacked(g, np.uint64), dtype=np.uint64) for g in parts.grams])
+    counts = np.concatenate([lm_score.unpacked(c, np.uint32) for c in parts.counts])
+    assert (grams == own.grams).all() and counts.sum() == len(own.tokens) * 2
+
+
 def test_bits_for_an_entry_do_not_depend_on_the_size(documents, monkeypatch):
     """Scores with many small slices and blocks, and with few: no fixed
     number of bits is shared by all entries."""
