@@ -47,14 +47,16 @@ ODDS = 0.1  # of a landmark in other texts, against toxic ones
 SURE = 5.0  # standard errors
 SAMPLE = 20_000
 CACHE_UNITS = 300_000
-CHUNK = 2048
-ORDERED = 1 << 17  # pairs whose letters are compared in order at once
-SLICE_BYTES = 16 << 20
+CHUNK = 512
+ORDERED = 1 << 14  # pairs whose letters are compared in order at once
+SLICE_BYTES = 4 << 20
 THRESHOLD = 0.3
 SPELLED = re.compile(rb"(?<!\S)(?:\S[ \t]){2,}\S(?!\S)")
 BLANKS = b" \t\n\x0b\x0c\r"
 #: ASCII characters that are neither letters nor blanks.
 INSERTED = bytes(c for c in range(128) if c not in BLANKS and not chr(c).isalpha())
+#: Blanks as spaces, all else as x: the shape of SPELLED is a plain string.
+SHAPE = bytes(32 if c in BLANKS else 120 for c in range(256))
 LETTERS = re.compile(rb"[^a-z\x80-\xff]+")
 
 
@@ -63,8 +65,9 @@ def units(text: bytes) -> list[bytes]:
     runs of single characters spell; cut into windows where they are long."""
     text = text.lower()
     found = text.translate(None, INSERTED).split()
-    found += [b"".join(run.split()).translate(None, INSERTED) for run in SPELLED.findall(text)]
-    if any(len(u) > WIDTH for u in found):
+    if b" x x x " in b" %b " % text.translate(SHAPE):
+        found += [b"".join(run.split()).translate(None, INSERTED) for run in SPELLED.findall(text)]
+    if max(map(len, found), default=0) > WIDTH:
         half = WIDTH // 2
         found = [u[at : at + WIDTH] for u in found for at in range(0, max(len(u) - half, 1), half)]
     return found
@@ -106,22 +109,22 @@ def kernel(match: list[np.ndarray]) -> np.ndarray:
     ``match[i]`` tells for the first string's character i where the second
     string has it. ``ending`` weighs the common subsequences that end at a
     pair of characters; ``before`` sums them up to each pair, decayed."""
-    match = [m * DECAY**2 for m in match]
-    before = None
-    for _ in range(ORDER):
-        total, table, upto = 0.0, [], 0.0
-        for i, own in enumerate(match):
-            ending = own.copy()
-            if before is not None:
-                ending[0] = 0
-                ending[1:] *= before[i - 1][:-1] if i else 0
-            total = total + ending.sum(axis=0)
-            for j in range(1, len(ending)):
-                ending[j] += DECAY * ending[j - 1]
-            upto = ending + DECAY * upto
-            table.append(upto)
-        before = table
-    return total
+    rows, columns = len(match) - ORDER + 1, len(match[0]) - ORDER + 1
+    if rows < 1 or columns < 1:
+        return np.zeros(match[0].shape[1])
+    # The k-th letter (from 0) of ORDER has k characters before it and
+    # ORDER - 1 - k after it, in both strings.
+    match, before = np.asarray(match), 1.0
+    for k in range(ORDER):
+        ending = match[k : k + rows, k : k + columns] * DECAY**2
+        ending *= before
+        if k < ORDER - 1:
+            for j in range(1, columns):
+                ending[:, j] += DECAY * ending[:, j - 1]
+            for i in range(1, rows):
+                ending[i] += DECAY * ending[i - 1]
+            before = ending
+    return ending.sum(axis=1).sum(axis=0)
 
 
 def closeness(rows: np.ndarray, landmarks: np.ndarray, alone: np.ndarray) -> np.ndarray:
@@ -131,7 +134,7 @@ def closeness(rows: np.ndarray, landmarks: np.ndarray, alone: np.ndarray) -> np.
     how much else the row holds of these letters, the kernel relative to
     the landmark's own (``alone``) how wide the gaps are. Below LEAST, which
     the cosine cannot raise, it counts as 0."""
-    both = kernel([rows == letter for letter in landmarks])
+    both = kernel(rows == landmarks[:, None])
     out = np.zeros(rows.shape[1])
     near = np.flatnonzero(both >= LEAST * alone)
     if len(near):
@@ -220,7 +223,7 @@ class Profile:
             self.known.clear()
             self.near.clear()
         every = [set(units(t)) for t in texts]
-        new = sorted(set().union(*every).difference(self.known))
+        new = list(set().union(*every).difference(self.known))
         for at in range(0, len(new), 1 << 16):
             part = new[at : at + (1 << 16)]
             rows = self.landmarks.closeness(part)
@@ -228,8 +231,9 @@ class Profile:
         self.known.update(new)
         out, near = np.zeros((len(texts), len(self.landmarks.words))), set(self.near)
         for k, own in enumerate(every):
-            for unit in own & near:
-                np.maximum(out[k], self.near[unit], out=out[k])
+            close = [self.near[unit] for unit in own & near]
+            if close:
+                out[k] = np.maximum.reduce(close)
         return out
 
 

@@ -75,6 +75,20 @@ def test_masked_letters_and_other_scripts_are_compared():
             assert (row[k] > 0) == (value >= toxicity.LEAST * alone)
 
 
+def test_spelled_runs_are_looked_for_only_where_they_can_be(monkeypatch):
+    """The pattern is not run over texts without one; the units stay."""
+    texts = [b"a b c", b"x a\tb c", b"a b", b" a b c\n", b"aa b c d", b"a\nb c d", b"a b\nc", b"1 - 2", b"\xc3 b c d e", b"plain words of a text"]
+
+    def every(text):
+        text = text.lower()
+        runs = [b"".join(r.split()).translate(None, toxicity.INSERTED) for r in toxicity.SPELLED.findall(text)]
+        return text.translate(None, toxicity.INSERTED).split() + runs
+
+    assert [toxicity.units(t) for t in texts] == [every(t) for t in texts]
+    monkeypatch.setattr(toxicity, "SPELLED", None)
+    assert toxicity.units(b"Plain words of a text I.D!iot") == [b"plain", b"words", b"of", b"a", b"text", b"idiot"]
+
+
 def test_units_spell_and_clean():
     assert toxicity.units(b"You I.D!iot9 i d i o t") == [b"you", b"idiot", b"i", b"d", b"i", b"o", b"t", b"idiot"]
     assert b"".join(toxicity.units(b"x" * 100)[::2])[:96] == b"x" * 96
