@@ -47,8 +47,9 @@ ODDS = 0.1  # of a landmark in other texts, against toxic ones
 SURE = 5.0  # standard errors
 SAMPLE = 20_000
 CACHE_UNITS = 300_000
-CHUNK = 512
+CHUNK = 1024
 ORDERED = 1 << 14  # pairs whose letters are compared in order at once
+ROUNDING = 1e-4  # far more than single precision loses in sums of positive numbers
 SLICE_BYTES = 4 << 20
 THRESHOLD = 0.3
 SPELLED = re.compile(rb"(?<!\S)(?:\S[ \t]){2,}\S(?!\S)")
@@ -104,27 +105,28 @@ def fewest_bits(row: np.ndarray) -> int:
     return bits
 
 
-def kernel(match: list[np.ndarray]) -> np.ndarray:
+def kernel(match: list[np.ndarray], kind: type = np.float64) -> np.ndarray:
     """Subsequence kernel of pairs of strings, one pair per column:
     ``match[i]`` tells for the first string's character i where the second
-    string has it. ``ending`` weighs the common subsequences that end at a
-    pair of characters; ``before`` sums them up to each pair, decayed."""
+    string has it. What a common subsequence costs depends on where it
+    starts and ends: ``sums`` adds those that end at a pair of characters by
+    their starts, then up to each pair."""
+    match = np.asarray(match).astype(kind)
     rows, columns = len(match) - ORDER + 1, len(match[0]) - ORDER + 1
     if rows < 1 or columns < 1:
-        return np.zeros(match[0].shape[1])
+        return np.zeros(match[0].shape[1], kind)
+    at = DECAY ** np.add.outer(np.arange(rows), np.arange(columns))[:, :, None]
     # The k-th letter (from 0) of ORDER has k characters before it and
     # ORDER - 1 - k after it, in both strings.
-    match, before = np.asarray(match), 1.0
-    for k in range(ORDER):
-        ending = match[k : k + rows, k : k + columns] * DECAY**2
-        ending *= before
-        if k < ORDER - 1:
-            for j in range(1, columns):
-                ending[:, j] += DECAY * ending[:, j - 1]
-            for i in range(1, rows):
-                ending[i] += DECAY * ending[i - 1]
-            before = ending
-    return ending.sum(axis=1).sum(axis=0)
+    sums = match[:rows, :columns] * (1 / at).astype(kind)
+    for k in range(1, ORDER):
+        for j in range(1, columns):
+            sums[:, j] += sums[:, j - 1]
+        for i in range(1, rows):
+            sums[i] += sums[i - 1]
+        sums *= match[k : k + rows, k : k + columns]
+    sums *= (DECAY ** (2 * ORDER) * at).astype(kind)
+    return sums.reshape(rows * columns, -1).sum(axis=0)
 
 
 def closeness(rows: np.ndarray, landmarks: np.ndarray, alone: np.ndarray) -> np.ndarray:
@@ -133,12 +135,17 @@ def closeness(rows: np.ndarray, landmarks: np.ndarray, alone: np.ndarray) -> np.
     gaps. The cosine (cubed, so that only what is nearly equal counts) tells
     how much else the row holds of these letters, the kernel relative to
     the landmark's own (``alone``) how wide the gaps are. Below LEAST, which
-    the cosine cannot raise, it counts as 0."""
-    both = kernel(rows == landmarks[:, None])
+    the cosine cannot raise, it counts as 0; single precision tells where it
+    is far below."""
+    match = rows == landmarks[:, None]
     out = np.zeros(rows.shape[1])
-    near = np.flatnonzero(both >= LEAST * alone)
+    near = np.flatnonzero(kernel(match, np.float32) >= (1 - ROUNDING) * LEAST * alone)
     if len(near):
-        rows, landmarks, both, alone = rows[:, near], landmarks[:, near], both[near], alone[near]
+        both = kernel(match[:, :, near])
+        over = both >= LEAST * alone[near]
+        near, both = near[over], both[over]
+    if len(near):
+        rows, landmarks, alone = rows[:, near], landmarks[:, near], alone[near]
         own = np.zeros(rows.shape, dtype=bool)
         for letter in landmarks:
             own |= rows == letter
@@ -156,10 +163,10 @@ class Landmarks:
         self.sizes = (self.rows != 0).sum(axis=1)
         self.bits = letter_bits(self.rows)
         self.least = np.array([fewest_bits(row) for row in self.rows])
-        self.spots = np.zeros((len(self.words), 256), np.uint64)  # of each byte in the landmark, as bits
+        self.spots = np.zeros((len(self.words), 256), np.uint32)  # of each byte in the landmark, as bits
         for k, word in enumerate(self.words):
             for at, c in enumerate(word):
-                self.spots[k, c] |= np.uint64(1 << at)
+                self.spots[k, c] |= np.uint32(1 << at)
         self.alone = np.array([self._alone(k) for k in range(len(self.words))])
         near = self.closeness(self.words)
         values, vectors = np.linalg.eigh((near + near.T) / 2)
@@ -172,11 +179,11 @@ class Landmarks:
     def ordered(self, rows: np.ndarray, marks: np.ndarray) -> np.ndarray:
         """Whether each row has ORDER letters of its landmark in the same
         order: the longest common subsequence, bit by bit."""
-        left = np.full(len(rows), 2**64 - 1, np.uint64)
+        first, left = marks * 256, np.full(len(rows), 2**32 - 1, np.uint32)
         for column in rows.T:
-            met = left & self.spots[marks, column]
+            met = left & self.spots.ravel().take(first + column)
             left = (left + met) | (left - met)
-        inside = (np.uint64(1) << self.sizes[marks].astype(np.uint64)) - np.uint64(1)
+        inside = (np.uint32(1) << self.sizes[marks].astype(np.uint32)) - np.uint32(1)
         return np.bitwise_count(~left & inside) >= ORDER
 
     def closeness(self, strings: list[bytes]) -> np.ndarray:
@@ -189,7 +196,7 @@ class Landmarks:
             marks = np.flatnonzero(self.sizes == size)
             near = [np.flatnonzero(np.bitwise_count(bits & self.bits[k]) >= self.least[k]) for k in marks]
             string, mark = np.concatenate(near), np.repeat(marks, [len(x) for x in near])
-            order = np.argsort(sizes[string], kind="stable")
+            order = np.argsort(sizes[string].astype(np.uint8), kind="stable")
             string, mark = string[order], mark[order]
             kept = [
                 self.ordered(rows[own, : int(sizes[own].max())], mark[at : at + ORDERED])

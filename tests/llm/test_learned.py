@@ -75,6 +75,34 @@ def test_masked_letters_and_other_scripts_are_compared():
             assert (row[k] > 0) == (value >= toxicity.LEAST * alone)
 
 
+def test_single_precision_rules_out_what_is_far_below_least(monkeypatch):
+    """It errs by less than ROUNDING, also in the longest strings; only what
+    it lets pass is computed in double precision, with the same results."""
+    draw = random.Random(5)
+    strings = ["".join(draw.choice("abcd") for _ in range(toxicity.WIDTH)).encode() for _ in range(200)]
+    rows = toxicity.matrix(strings).T
+    match = rows[:, :100] == rows[:, None, 100:]
+    exact = toxicity.kernel(match)
+    assert np.abs(toxicity.kernel(match, np.float32) / exact - 1).max() < toxicity.ROUNDING / 10
+
+    mark = b"worthless"
+    units = [b"worthless", b"worxthless", b"wxoxrxtx", b"other", b"wortbcdefg", b"wrhesoxt"]
+    landmarks = np.repeat(toxicity.matrix([mark]).T[: len(mark)], len(units), axis=1)
+    alone = np.full(len(units), kernel_brute(mark.decode(), mark.decode()))
+    plain, pairs = toxicity.kernel, []
+
+    def counted(match, kind=np.float64):
+        pairs.append((kind, np.asarray(match).shape[2]))
+        return plain(match, kind)
+
+    monkeypatch.setattr(toxicity, "kernel", counted)
+    found = toxicity.closeness(toxicity.matrix(units).T, landmarks, alone)
+    both = [kernel_brute("".join(c if c.encode() in mark else " " for c in u.decode()), mark.decode()) for u in units]
+    want = np.array(both) >= toxicity.LEAST * alone
+    assert (found > 0).tolist() == want.tolist() and 0 < want.sum() < len(units)
+    assert pairs[0] == (np.float32, len(units)) and {n for kind, n in pairs[1:] if kind is np.float64} == {want.sum()}
+
+
 def test_spelled_runs_are_looked_for_only_where_they_can_be(monkeypatch):
     """The pattern is not run over texts without one; the units stay."""
     texts = [b"a b c", b"x a\tb c", b"a b", b" a b c\n", b"aa b c d", b"a\nb c d", b"a b\nc", b"1 - 2", b"\xc3 b c d e", b"plain words of a text"]
