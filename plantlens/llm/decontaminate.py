@@ -227,18 +227,28 @@ def _blocks(benchmark: DataFrame, item: str, text: str, limit: int) -> Iterator[
 
 def _scanned(
     documents: DataFrame, benchmark: DataFrame, item_col: str, text_col: str, window: int, shard_words: int,
-    block_words: int,
+    block_words: int, cut_out: bool = False,
 ) -> DataFrame:
     """(row, text, n_words, spans, items) of ``documents`` (row, text), over
-    all blocks of the benchmark."""
+    all blocks of the benchmark; or (row, text) with the spans cut out. One
+    worker takes a batch through all of it."""
     found = documents.select(
         "row", "text", F.lit(0).cast("bigint").alias("n_words"), F.lit(None).cast(SPANS).alias("spans"),
         F.array().cast("array<string>").alias("items"),
     )
-    for block in _blocks(benchmark, item_col, text_col, block_words):
-        windows = shipped(documents.sparkSession, Windows(block, window))
-        found = found.mapInArrow(_scan(windows, shard_words), found.schema)
-    return found
+    steps = [
+        _scan(shipped(documents.sparkSession, Windows(block, window)), shard_words)
+        for block in _blocks(benchmark, item_col, text_col, block_words)
+    ]
+    if cut_out:
+        steps.append(_cut)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for step in steps:
+            batches = step(batches)
+        return batches
+
+    return found.mapInArrow(run, documents.schema if cut_out else found.schema)
 
 
 def contamination(
@@ -275,6 +285,5 @@ def decontaminate(
     text."""
     rest = [F.col(f"`{c}`") for c in documents.columns if c != text_col]
     rows = documents.select(F.struct(*(rest or [F.lit(0)])).alias("row"), F.col(text_col).alias("text"))
-    found = _scanned(rows, benchmark, item_col, text_col, window, shard_words, block_words)
-    clean = found.select("row", "text", "spans").mapInArrow(_cut, rows.schema)
+    clean = _scanned(rows, benchmark, item_col, text_col, window, shard_words, block_words, cut_out=True)
     return with_text(clean, documents.columns, text_col)

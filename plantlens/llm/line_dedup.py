@@ -57,18 +57,24 @@ def _order(doc_id: str) -> Column:
     return F.coalesce(F.col(doc_id).cast("bigint"), F.lit(2**63 - 1))
 
 
-def references(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def references(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", filters_=None) -> DataFrame:
     """Distinct (k1, k2, doc) of the documents' countable lines; doc is the
-    id, the largest bigint for null."""
+    id, the largest bigint for null. With broadcast filters, only keys that
+    may be in them; the lines are probed by the worker that splits them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filters: Filters | None = filters_ and filters_()
         for batch in slices(batches):
             ids, found = [], []
             for doc, text in zip(batch.column(0).to_pylist(), raw(batch.column(1))):
                 own = {k for k in keys(text) if k}
                 found += own
                 ids += [doc] * len(own)
-            yield _key_batch(found, {"doc": pa.array(ids, pa.int64())})
+            pairs = _key_batch(found, {"doc": pa.array(ids, pa.int64())})
+            if filters:
+                k1, k2 = (pairs.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+                pairs = pairs.filter(pa.array(filters.holds(k1, k2)))
+            yield pairs
 
     lines = documents.select(_order(id_col).alias("doc"), F.col(text_col).alias("text"))
     return lines.mapInArrow(run, "k1 bigint, k2 bigint, doc bigint")
@@ -254,9 +260,7 @@ class LineIndex:
         spark = documents.sparkSession
         maybe = None
         for group in self._groups():
-            held = references(documents, id_col, text_col).mapInArrow(
-                _probe(shipped(spark, group)), "k1 bigint, k2 bigint, doc bigint"
-            )
+            held = references(documents, id_col, text_col, shipped(spark, group))
             maybe = held if maybe is None else maybe.unionByName(held)
         lost = maybe.distinct().join(self.shared, ["k1", "k2"]).where("doc <> keeper")
         return lost.groupBy("doc").agg(F.collect_list(F.struct("k1", "k2")).alias("lost"))
@@ -304,16 +308,6 @@ def _move(filters: pd.DataFrame, moves: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def _probe(filters_):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters: Filters = filters_()
-        for batch in batches:
-            k1, k2 = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            yield batch.filter(pa.array(filters.holds(k1, k2)))
-
-    return run
-
-
 def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         texts, lines, dropped = [], [], []

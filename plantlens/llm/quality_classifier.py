@@ -151,6 +151,13 @@ def quality(
     )
 
 
+def _with_text_column(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of (row), with the text of the row as a column."""
+    for batch in batches:
+        row = batch.column("row")
+        yield pa.RecordBatch.from_arrays([row, row.field("text")], ["row", "text"])
+
+
 def keep_good(
     documents: DataFrame, labels: DataFrame, *, folds: int = 5, held: int = 0, sample: int = SAMPLE, pairs: int = PAIRS,
 ) -> DataFrame:
@@ -162,10 +169,9 @@ def keep_good(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: Model = model()
-        for batch in batches:
-            row = batch.column("row")
-            good = own.score(measured(raw(row.field("text")))) >= THRESHOLD
-            yield pa.RecordBatch.from_arrays([row.filter(pa.array(good))], ["row"])
+        for batch in slices(_with_text_column(batches)):
+            good = own.score(measured(raw(batch.column("text")))) >= THRESHOLD
+            yield pa.RecordBatch.from_arrays([batch.column("row").filter(pa.array(good))], ["row"])
 
     rows = documents.select(F.struct("*").alias("row"))
     return rows.mapInArrow(run, rows.schema).select("row.*")

@@ -71,6 +71,16 @@ def test_line_index_is_reversible(documents):
     assert state(index, docs) == brute.line_dedup(docs)
 
 
+def python_steps(df) -> int:
+    return df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")
+
+
+def test_lines_are_split_and_probed_by_one_worker(documents):
+    """Python steps in a row keep a worker each in memory."""
+    docs = documents(lines(random.Random(3)))
+    assert python_steps(line_dedup.LineIndex.build(docs).drops(docs)) == 1
+
+
 def test_cuckoo_filter_holds_and_forgets():
     draw = np.random.default_rng(0)
     k1, k2 = draw.integers(-(2**63), 2**63 - 1, (2, 5000))
@@ -213,6 +223,13 @@ def test_one_of_each_keeps_different_texts_without_own_ids(documents, unnumbered
 # --- decontamination -------------------------------------------------------------------
 
 
+def test_all_blocks_are_scanned_and_cut_by_one_worker(documents, benchmark):
+    docs = documents([(1, "a b c d"), (2, "x y z")])
+    items = benchmark([(k, f"{w} {w}") for k, w in enumerate("abc")])
+    assert python_steps(decontaminate.contamination(docs, items, block_words=2)) == 1
+    assert python_steps(decontaminate.decontaminate(docs, items, block_words=2)) == 1
+
+
 def test_suffix_array_and_search():
     draw = np.random.default_rng(3)
     symbols = draw.integers(0, 4, 3000)

@@ -284,3 +284,34 @@ def test_boosted_expression_equals_the_model(spark):
     rows = spark.createDataFrame([c.values for c in cells], "a int, b int")
     for r in rows.select("a", "b", model.column([F.col("a"), F.col("b")]).alias("p")).collect():
         assert r.p == pytest.approx(model.probability((r.a, r.b)))
+
+
+def test_good_documents_are_kept_slice_by_slice(documents, labels, monkeypatch):
+    """A batch is scored in slices of bounded size, with the same result."""
+    draw = random.Random(8)
+    rows = [(k, " ".join(draw.choice("abcdefgh") * (1 + k % 2) for _ in range(40 + k % 7))) for k in range(60)]
+    rows.append((60, None))
+    docs, marks = documents(rows), labels([(k, k % 2, k % 2) for k in range(60)])
+    want = {r.doc_id for r in quality_classifier.quality(docs, marks).where("predicted = 1").collect()}
+    taken = []
+
+    class Whole:
+        """A model that notes how many texts it is given at once."""
+
+        def score(self, x):
+            taken.append(len(x))
+            return np.ones(len(x))
+
+    kept = quality_classifier.keep_good(docs, marks)
+    assert {r.doc_id for r in kept.collect()} == want and 0 < len(want) < len(rows)
+    assert kept.schema == docs.schema
+
+    run = {}
+    monkeypatch.setattr(quality_classifier, "fit", lambda *a, **k: None)
+    monkeypatch.setattr(quality_classifier, "shipped", lambda spark, value: Whole)
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, function, schema: run.setdefault("f", function) and self)
+    quality_classifier.keep_good(docs, marks)
+    text = pa.array(["x" * 1000] * 5000)
+    batch = pa.RecordBatch.from_arrays([pa.StructArray.from_arrays([text], ["text"])], ["row"])
+    assert sum(b.num_rows for b in run["f"](iter([batch]))) == 5000
+    assert len(taken) > 1 and max(taken) <= 2200
