@@ -23,9 +23,13 @@ different components are paired in the end, a large group in parts. Links
 inside a component that is already connected are not looked for; the
 components are those of all links.
 
-Before n-grams are counted, two bounds drop pairs that cannot link: the
-leading n-grams that two documents share, and a bitmap of each whole set.
-Both bound the overlap from above, so no link is lost.
+A pair is looked for in the group of its first common n-gram in the global
+order: what it shares lies from there on in both. Before n-grams are
+counted, two more bounds drop pairs that cannot link: the leading n-grams
+that two documents share, and a bitmap of each whole set. All bound the
+overlap from above, so no link is lost. Members that no other one of their
+group can link with by these bounds leave it after the first check, so that
+the turns do not carry rows that merely share an n-gram.
 
 Defined results: null or empty text has an empty set and is its own
 component; each row gets its result by its own text, rows of one id with
@@ -41,7 +45,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -302,16 +306,19 @@ def _linked(overlap: Column, percent: int) -> Column:
 
 
 def _possible(percent: int) -> Column:
-    """Whether a pair that shares an n-gram at positions pa and pb can link:
-    by length, and by what can be common before and after the n-gram."""
+    """Whether a pair that shares an n-gram at positions pa and pb can link,
+    if that is its first common one: by length, by the n-grams from there on,
+    and by the leading ones among them that others have too."""
     length = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    around = F.least("pa", "pb") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    return length & _linked(around, percent)
+    rest = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    leading = F.least("latera", "laterb") + _after_leads(percent)
+    return length & _linked(F.least(rest, leading), percent)
 
 
-def _after_lead(n: Column, percent: int) -> Column:
-    """The n-grams after the leading ones."""
-    return F.ceil(percent * n / 100) - 1
+def _after_leads(percent: int) -> Column:
+    """The most n-grams that a pair can share after the leading ones of the
+    document where these end earlier in the global order."""
+    return F.greatest(*(F.ceil(percent * F.col(n) / 100) - 1 for n in ("na", "nb")))
 
 
 def _digest(gram: Column) -> Column:
@@ -337,8 +344,7 @@ def _by_leads(percent: int) -> Column:
     the one whose leading n-grams end earlier in the global order can share
     beyond them only its n-grams after them."""
     common = F.size(F.array_intersect("digestsa", "digestsb")) + F.col("losta") + F.col("lostb")
-    after = F.greatest(_after_lead(F.col("na"), percent), _after_lead(F.col("nb"), percent))
-    return _linked(common + after, percent)
+    return _linked(common + _after_leads(percent), percent)
 
 
 def _side(rows: DataFrame, end: str) -> DataFrame:
@@ -353,11 +359,30 @@ def _likely(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
     return both.where(_by_bitmap(percent) & _by_leads(percent)).select("a", "b", "na", "nb")
 
 
+def _with_match(rows: DataFrame, may: Column) -> DataFrame:
+    """The rows of groups that ``may`` link with another one of their group."""
+    one, two = (_side(rows, x).withColumnRenamed("gram", f"gram{x}") for x in "ab")
+    same = (F.col("grama") == F.col("gramb")) & (F.col("a") != F.col("b"))
+    return one.join(two, same & may, "left_semi").toDF(*rows.columns)
+
+
+def _matched(groups: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """The members of groups, but their heads, that can link with another
+    one by all bounds. Members of groups of more than PART stay untested."""
+    own = ("gram", "doc", "n", "pos", "later")
+    rest = groups.where("doc <> head and members > 2").select(*own, "members")
+    small = _with_match(rest.where(F.col("members") <= PART).select(*own), _possible(percent))
+    small = written(small.join(facts.drop("n"), "doc"), "gram-match")
+    matched = _with_match(small, _possible(percent) & _by_bitmap(percent) & _by_leads(percent))
+    large = rest.where(F.col("members") > PART)
+    return written(matched.select(*own).unionByName(large.select(*own)), "gram-rest")
+
+
 def _unlike(rest: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of groups with members in different components, with their
     labels and the group's size."""
-    placed = rest.select("gram", "doc", "n", "pos").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
-    placed = placed.withColumn("label", F.coalesce("label", "doc"))
+    placed = rest.select("gram", "doc", "n", "pos", "later").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
+    placed = written(placed.withColumn("label", F.coalesce("label", "doc")), "gram-labels")
     mixed = placed.groupBy("gram").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")
     )
@@ -367,12 +392,12 @@ def _unlike(rest: DataFrame, labels: DataFrame) -> DataFrame:
 def _with_pivots(rest: DataFrame, percent: int, turn: int) -> DataFrame:
     """Pairs (a, b) of group members with PIVOTS of their group."""
     row = rest.drop("size")
+    own = ("doc", "n", "pos", "later", "label")
     drawn = (
-        F.min(F.struct(F.xxhash64(F.lit(turn * PIVOTS + k), F.col("doc")).alias("draw"), "doc", "n", "pos", "label"))
-        for k in range(PIVOTS)
+        F.min(F.struct(F.xxhash64(F.lit(turn * PIVOTS + k), F.col("doc")).alias("draw"), *own)) for k in range(PIVOTS)
     )
     pivots = rest.groupBy("gram").agg(F.array_distinct(F.array(*drawn)).alias("pivots"))
-    one = pivots.select("gram", F.explode("pivots").alias("one")).select("gram", "one.doc", "one.n", "one.pos", "one.label")
+    one = pivots.select("gram", F.explode("pivots").alias("one")).select("gram", *(f"one.{c}" for c in own))
     pairs = _side(row, "a").join(_side(one, "b"), "gram").where((F.col("labela") != F.col("labelb")) & _possible(percent))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -448,22 +473,22 @@ def _classes(docs: DataFrame, n: int, percent: int, fragments: int) -> tuple[Dat
     once = _once(leads, "doc")
     lead = once.select("doc", "n", F.posexplode("lead").alias("pos", "gram"))
     heads = lead.groupBy("gram").agg(F.min("doc").alias("head"), F.count("*").alias("members")).where("members > 1")
-    groups = written(lead.join(heads, "gram"), "gram-groups")
+    from_here = F.count("*").over(Window.partitionBy("doc").orderBy(F.desc("pos")))
+    groups = written(lead.join(heads, "gram").withColumn("later", from_here), "gram-groups")
     facts = written(_facts(once, groups), "gram-facts")
 
     # Every member against the smallest of its group.
-    member = groups.where("doc <> head").select(
-        "gram", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("head").alias("a")
-    )
-    head = groups.where("doc = head").select("gram", F.col("n").alias("na"), F.col("pos").alias("pa"))
+    row = groups.select("gram", "doc", "n", "pos", "later", "head")
+    member = _side(row.where("doc <> head").drop("head"), "b")
+    head = _side(row.where("doc = head").drop("head"), "a")
     stars = member.join(head, "gram").where(_possible(percent)).select("a", "b").distinct()
     checked = written(_likely(stars, facts, percent), "gram-pairs")
     links = _links(docs, order, repeated, ids, checked, n, percent)
     labels = components(links)
 
-    # Members of one group, but its head, that are still in different
-    # components: first against pivots, then all of them.
-    rest = _unlike(groups.where("doc <> head and members > 2"), labels)
+    # Members of one group, but its head, that can link with each other and
+    # are still in different components: first against pivots, then all of them.
+    rest = _unlike(_matched(groups, facts, percent), labels)
     for turn in range(TURNS + 1):
         pairs = _with_pivots(rest, percent, turn) if turn < TURNS else _all_pairs(rest, facts, percent)
         pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")

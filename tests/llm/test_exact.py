@@ -128,6 +128,28 @@ def test_groups_are_paired_in_turns_and_parts(documents, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
 
 
+def test_members_that_cannot_link_are_not_carried_through_the_turns(documents, monkeypatch):
+    """Texts of common words, which share leading n-grams but link with
+    nothing, and near copies of one of other lengths."""
+    draw = random.Random(8)
+    texts = [[f"w{k}" for k in draw.sample(range(600), 40)] for _ in range(60)]
+    texts += [texts[0][k:] + [f"x{k}"] for k in (1, 2, 3, 4, 7)]
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts)]
+    carried = []
+
+    def written(df, label, write=ngram_join.written):
+        out = write(df, label)
+        carried.extend([r.doc for r in out.select("doc").distinct().collect()] if label == "gram-rest" else [])
+        return out
+
+    monkeypatch.setattr(ngram_join, "written", written)
+    got = ngram_join.ngram_join(documents(rows), n=1).collect()
+    want = brute.components(rows, 1, 85)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert len({c for _, c in want.values()}) in range(60, 62)
+    assert len(set(carried)) <= 6
+
+
 def test_bitmaps_differ_in_no_more_cells_than_sets():
     draw = np.random.default_rng(3)
     for size in (0, 1, 40, 900):
