@@ -296,6 +296,13 @@ def _segments(order_, wanted_, repeated_, n: int):
 # --- the join -------------------------------------------------------------------------
 
 
+def _packed(rows: DataFrame, label: str) -> DataFrame:
+    """The little that tasks made of their texts, written in as many files as
+    its size asks for instead of one a task: without Hadoop's native library
+    an executor starts a process or more for every file."""
+    return written(rows.hint("rebalance", "doc"), label)
+
+
 def _once(rows: DataFrame, *keys: str) -> DataFrame:
     """Rows of the same node once. Only rows of repeated ids are shuffled."""
     return rows.where("not again").unionByName(rows.where("again").dropDuplicates(list(keys))).drop("again")
@@ -424,7 +431,7 @@ def _links(docs: DataFrame, order_, repeated_, ids: DataFrame, pairs: DataFrame,
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
     wanted = shipped(docs.sparkSession, id_filter(ids.join(nodes, "doc", "left_semi").select("id"), "id"))
     segments = _once(
-        written(
+        _packed(
             docs.select("doc", "text", places("doc").alias("places")).mapInArrow(
                 _segments(order_, wanted, repeated_, n), "doc bigint, again boolean, fragment int, grams array<bigint>"
             ),
@@ -453,7 +460,7 @@ def _classes(docs: DataFrame, n: int, percent: int, fragments: int) -> tuple[Dat
     of the component with the smallest document: doc, k1, k2)."""
     spark = docs.sparkSession
     order = shipped(spark, Order.over(docs, n, fragments))
-    sets = written(docs.select("doc", "text").mapInArrow(_keys(n), KEYS), "gram-sets")
+    sets = _packed(docs.select("doc", "text").mapInArrow(_keys(n), KEYS), "gram-sets")
     classes = written(
         sets.where("n > 0").groupBy("k1", "k2").agg(F.min("doc").alias("head"))
         .withColumn("node", F.col("k1").bitwiseXOR(F.col("head"))), "gram-classes",

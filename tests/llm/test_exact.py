@@ -150,6 +150,22 @@ def test_members_that_cannot_link_are_not_carried_through_the_turns(documents, m
     assert len(set(carried)) <= 6
 
 
+def test_tables_made_of_texts_are_written_in_few_files(documents, monkeypatch, copies):
+    """One file, not one a task, for what is far smaller than a file."""
+    files = {}
+
+    def written(df, label, write=ngram_join.written):
+        out = write(df, label)
+        files.setdefault(label, []).append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(ngram_join, "written", written)
+    got = ngram_join.ngram_join(documents(copies).repartition(9)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.components(copies, 4, 85)
+    assert files["gram-sets"] == [1]
+    assert set(files["segments"]) == {1}
+
+
 def test_bitmaps_differ_in_no_more_cells_than_sets():
     draw = np.random.default_rng(3)
     for size in (0, 1, 40, 900):
