@@ -490,8 +490,7 @@ def _classes(docs: DataFrame, n: int, percent: int, fragments: int) -> tuple[Dat
     head = _side(row.where("doc = head").drop("head"), "a")
     stars = member.join(head, "gram").where(_possible(percent)).select("a", "b").distinct()
     checked = written(_likely(stars, facts, percent), "gram-pairs")
-    links = _links(docs, order, repeated, ids, checked, n, percent)
-    labels = components(links)
+    labels = components(_links(docs, order, repeated, ids, checked, n, percent))
 
     # Members of one group, but its head, that can link with each other and
     # are still in different components: first against pivots, then all of them.
@@ -502,8 +501,7 @@ def _classes(docs: DataFrame, n: int, percent: int, fragments: int) -> tuple[Dat
         pairs = written(_likely(pairs, facts, percent), "gram-more")
         if pairs.isEmpty():
             continue
-        links = links.unionByName(_links(docs, order, repeated, ids, pairs, n, percent))
-        labels = components(links)
+        labels = components(_links(docs, order, repeated, ids, pairs, n, percent), labels)
         if turn < TURNS:
             checked = checked.unionByName(pairs)
             rest = _unlike(rest, labels)

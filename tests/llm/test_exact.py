@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plantlens.llm import decontaminate, line_dedup, mixing, ngram_join, pii, quality_rules
+from plantlens.llm import components as components_module
 from plantlens.llm.components import components
 from plantlens.llm.fm_index import FMIndex, suffix_array
 
@@ -220,6 +221,40 @@ def test_chains_and_rings_are_components(spark):
     assert got == {**dict.fromkeys([*range(61), 200], 0), **dict.fromkeys((100, 101, 102), 100)}
 
 
+def test_links_of_many_nodes_with_the_same_heads_are_thinned_out(spark, monkeypatch):
+    """Components, at once and in two parts, and how many links are spread:
+    fewer than twice the nodes."""
+    draw = random.Random(4)
+    links = [(head, i) for i in range(100, 400) for head in draw.sample(range(i % 2, 40, 2), 10)]
+    more = [(100, 102), (398, 500), (500, 501), (600, 601), (601, 601), (700, 700)]
+    spread = []
+
+    def written(df, label, write=components_module.written):
+        out = write(df, label)
+        spread.append(out.count() if label == "links" else 0)
+        return out
+
+    monkeypatch.setattr(components_module, "written", written)
+
+    def labels(*parts):
+        known = None
+        for part in parts:
+            known = components(spark.createDataFrame(part, "a bigint, b bigint"), known)
+        found = [(r.node, r.label) for r in known.collect()]
+        assert len(found) == len(dict(found))
+        return dict(found)
+
+    ids = {i for link in links for i in link}
+    assert labels(links) == {i: i % 2 for i in ids}
+    assert len(links) == 3000 and 0 < max(spread) < 2 * len(ids)
+    want = {i: i % 2 for i in ids} | {500: 0, 501: 0, 600: 600, 601: 600, 700: 700}
+    assert labels(links + more) == want
+    spread.clear()
+    assert labels(links, more, [(0, 1)]) == {i: c if c >= 600 else 0 for i, c in want.items()}
+    assert spread[0] > 300 and max(spread[1:]) <= len(more)
+    assert labels(links, [(0, 2)]) == {i: i % 2 for i in ids}
+
+
 def test_one_of_each(documents, copies):
     kept = {r.doc_id for r in ngram_join.one_of_each(documents(copies), n=5, percent=80).collect()}
     assert kept == {c for _, c in brute.components(copies, 5, 80).values()}
